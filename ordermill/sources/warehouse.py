@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.schema import RAW_COLUMNS
+from ordermill.sources.orders import JSON
 
 
 # Known schemas, so that opening a table reads no file footers.
@@ -84,7 +85,7 @@ def retail_text(spark: SparkSession, folder: str, columns: list[str] = RAW_COLUM
 def order_messages(raw: DataFrame) -> DataFrame:
     """Raw lines as JSON payloads; those of some invoices are cut short."""
     corrupt = F.col("InvoiceNo").cast("bigint") % 101 == 0
-    payload = F.to_json(F.struct(*[F.col(c) for c in RAW_COLUMNS]))
+    payload = F.to_json(F.struct(*RAW_COLUMNS), JSON)
     return raw.select(F.when(corrupt, F.substring(payload, 1, 10)).otherwise(payload).alias("value"))
 
 
