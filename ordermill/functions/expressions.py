@@ -13,7 +13,7 @@ def mean(total: Column, n: Column, digits: int = 2) -> Column:
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part`` as a percentage of ``whole``; null when ``whole`` is 0."""
-    return F.round(F.try_divide(part.cast("decimal(28,2)") * 100, whole.cast("decimal(28,2)")), digits)
+    return F.round(F.try_divide(part.cast("decimal(20,2)") * 100, whole.cast("decimal(20,2)")), digits)
 
 
 def revenue() -> Column:

@@ -23,7 +23,7 @@ def run_scheduled(raw: DataFrame, folder: str, total_tasks: int = 5, **forest) -
     spark = raw.sparkSession
     read, read_rows = observe_rows(raw, "read")
     cleaned, cleaned_rows = observe_rows(clean_for_schedule(read), "cleaned")
-    cleaned.write.mode("overwrite").partitionBy("Date").parquet(f"{folder}/cleaned")
+    cleaned.hint("rebalance", "Date").write.mode("overwrite").partitionBy("Date").parquet(f"{folder}/cleaned")
     lines = spark.read.parquet(f"{folder}/cleaned")
 
     metrics, metric_rows = observe_rows(daily_document(lines), "metrics")
