@@ -1,5 +1,8 @@
 """Readers, writers and samples. Files are written from the given tables and read back."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.base import ROW_KEY, lines, query, raw, text, with_lines, with_raw
@@ -108,8 +111,15 @@ def folder_totals(spark, folder):
     return O.folder_inventory(O.dataset_inventory(spark, [folder]))
 
 
-@query("table_completeness", " union all ".join(
-    f"select '{n}.parquet' as file_name, true as exists, 'healthy' as status" for n in warehouse.TABLES))
+@query("table_completeness")
 def table_completeness(spark, folder):
     """Which of the expected files exist."""
     return O.completeness(O.dataset_inventory(spark, [folder]), [f"{n}.parquet" for n in warehouse.TABLES])
+
+
+@query("file_rows", " union all ".join(
+    f"select '{n}.parquet' as file_name, count(*) as rows from {n}" for n in warehouse.TABLES))
+def file_rows(spark, folder):
+    """Rows per file of the given tables."""
+    counted = [O.file_rows(spark, f"{folder}/{n}.parquet", s) for n, s in warehouse.TABLES.items()]
+    return reduce(DataFrame.unionByName, counted)

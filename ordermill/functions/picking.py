@@ -8,6 +8,7 @@ from ordermill.functions.expressions import key_number, keyed
 SMALL_N = 1000
 MERGE_WAYS = 64
 KEY_BUCKETS = 1 << 16
+ROWS_PER_PART = 5000
 
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -49,7 +50,10 @@ def sample_n(df: DataFrame, n: int, key: Column, seed: int | None = None) -> Dat
         )
     )
     picked = tagged.where(F.col("_bucket") <= cut.scalar())
-    return top_n(picked, n, F.col("_key").asc()).drop("_key", "_bucket")
+    best = top_n(picked, n, F.col("_key").asc())
+    if n > SMALL_N:
+        best = best.repartition(-(-n // ROWS_PER_PART), "_key")
+    return best.drop("_key", "_bucket")
 
 
 def latest_n(df: DataFrame, n: int, time: str, *ties: Column) -> DataFrame:

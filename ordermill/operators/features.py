@@ -7,6 +7,7 @@ from ordermill import schema as S
 from ordermill.functions import expressions as E
 from ordermill.functions.picking import sample_n
 from ordermill.operators import cleaning as C
+from ordermill.session import settled
 
 ENCODED = [f"{c}_encoded" for c in S.CATEGORY_FEATURES]
 FEATURES = S.NUMERIC_FEATURES + ENCODED
@@ -16,7 +17,7 @@ RANGE_ENCODED = [f"{c}_encoded" for c in S.RANGE_FEATURES]
 def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
     """``feature, category, code``: the place of each category among the sorted ones.
 
-    Missing values are the category ``nan``. All columns share one pass. Categories are ranked
+    Missing values are the category ``nan``. ``df`` is read once. Categories are ranked
     within their first two characters and offset by the counts of the earlier ones, so no task
     holds the whole dictionary of a column with very many categories.
     """
@@ -24,7 +25,7 @@ def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("category"))
         for c in columns
     ]
-    categories = df.select(F.inline(F.array(*cells))).distinct()
+    categories = settled(df.select(F.inline(F.array(*cells))).distinct())
     categories = categories.withColumn("initial", F.substring("category", 1, 2))
     earlier = Window.partitionBy("feature").orderBy("initial").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -99,6 +100,8 @@ def model_columns(lines: DataFrame) -> DataFrame:
 def train_features(raw: DataFrame, sample_size: int | None = 50000) -> tuple[DataFrame, DataFrame]:
     """The ten features, Revenue and row key of the training lines; and the label dictionary."""
     lines = model_columns(training_sample(raw, sample_size))
+    if sample_size is not None:
+        lines = settled(lines)
     dictionary = label_dictionary(lines, S.CATEGORY_FEATURES)
     encoded = label_encode(lines, dictionary, S.CATEGORY_FEATURES)
     return encoded.select(*FEATURES, "Revenue", E.row_key().alias("row_key")), dictionary

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,3 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """Unused path under the shared folder."""
     return f"{shared_folder(spark)}/ordermill/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept on shared storage, where it outlives lost executors.
+
+    For small tables that several later steps read, such as a sample or a dictionary.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

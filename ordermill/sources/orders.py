@@ -101,6 +101,12 @@ def dataset_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def file_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows per parquet file under ``path``."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def folder_inventory(files: DataFrame) -> DataFrame:
     return files.groupBy("folder").agg(
         F.count(F.lit(1)).alias("file_count"),
