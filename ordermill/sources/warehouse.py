@@ -30,6 +30,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A large table. Read in so few splits that cores would idle, its rows are dealt out by
+    ``keys``; with as many splits as cores or more it stays as it is read."""
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 # Column rules of the order-line view, first match wins.
 RULES = {
     "InvoiceNo": "cast(l_orderkey as string)",
@@ -38,15 +46,12 @@ RULES = {
         when l_partkey % 11 = 0 then concat('  ', p_name, ' ')
         when l_partkey % 13 = 0 and l_orderkey % 7 = 0 then concat(p_name, ' v2')
         else p_name end""",
-    "Quantity": """case when l_orderkey % 53 = 0 then -cast(l_quantity as int)
-        when l_orderkey % 59 = 0 then 0
-        when l_orderkey % 67 = 0 then 10 * cast(l_quantity as int)
-        else cast(l_quantity as int) end""",
+    "Quantity": """cast(l_quantity as int) * case when l_orderkey % 53 = 0 then -1
+        when l_orderkey % 59 = 0 then 0 when l_orderkey % 67 = 0 then 10 else 1 end""",
     "InvoiceDate": """timestampadd(minute, cast((l_orderkey * 37) % 1440 as int),
         cast(o_orderdate as timestamp))""",
-    "UnitPrice": """cast(case when l_partkey % 89 = 0 then 0
-        when l_partkey % 83 = 0 then cast(25 + (l_partkey * 7919) % 4000 as decimal(4,0)) * 0.5
-        else cast(25 + (l_partkey * 7919) % 4000 as decimal(4,0)) * 0.01 end as decimal(10,2))""",
+    "UnitPrice": """cast((25 + (l_partkey * 7919) % 4000) * case when l_partkey % 89 = 0 then 0
+        when l_partkey % 83 = 0 then 50 else 1 end as decimal(7,0)) * 0.01""",
     "CustomerID": "case when l_orderkey % 41 = 0 then null else o_custkey end",
     "Country": """case n_nationkey when 0 then 'UK' when 1 then 'UNITED KINGDOM'
         when 2 then ' USA ' when 3 then 'US' else n_name end""",
@@ -58,7 +63,9 @@ def retail_raw(spark: SparkSession, folder: str, columns: list[str] = RAW_COLUMN
 
     ``lines`` replaces the line-item table, for instance by a stream of it.
     """
-    out = table(spark, folder, "lineitem") if lines is None else lines
+    out = lines
+    if lines is None:
+        out = fact_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
     if {"InvoiceDate", "CustomerID", "Country"} & set(columns):
         orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
