@@ -3,17 +3,17 @@ from them, and are checked against the SQL of the same rules on the whole tables
 
 from pyspark.sql import functions as F
 
-from checks.base import RAW, lines, query, raw, text, with_lines
+from checks.base import RAW, half_up, query, raw, text, with_lines
 from checks.model import PRICED, fitted
 from checks.quality import DATE, PRICE
-from ordermill.operators import flow, metrics, scoring
+from ordermill.operators import flow, metrics
 from ordermill.session import fresh_path
-from ordermill.sources.orders import JSON
 from ordermill.sources.warehouse import TABLES, metric_readings, order_lifecycle, order_messages, table
 from ordermill.streaming import flow as stream_flow
 from ordermill.streaming import orders as stream
 
 AS_OF = "2024-01-15 12:00:00"
+RECENT = f"completion > timestamp '{AS_OF}' - interval 60 minute"
 
 
 def lifecycle(order_id: str) -> str:
@@ -55,8 +55,9 @@ def law(order_id: str) -> str:
       count(*) filter (arrival > timestamp '{AS_OF}' - interval 60 minute) / 60 as rate,
       coalesce(sum(lead) filter (completion > timestamp '{AS_OF}' - interval 60 minute) / 60000000
         / count(*) filter (completion > timestamp '{AS_OF}' - interval 60 minute), 0) as w,
+      coalesce({half_up(f"sum(lead) filter ({RECENT})", f"60000000 * count(*) filter ({RECENT})")}, 0) as lead_time,
       count(*) as completed from matched)
-    select l as l_work_in_progress, round(rate, 3) as lambda_arrival_rate, round(w, 2) as w_lead_time_minutes,
+    select l as l_work_in_progress, round(rate, 3) as lambda_arrival_rate, lead_time as w_lead_time_minutes,
       round(rate * w, 2) as littles_law_predicted, round(abs(l - rate * w), 2) as difference,
       abs(l - rate * w) < 1.0 as is_balanced, '{AS_OF}' as as_of, """
 
@@ -81,7 +82,7 @@ def flow_report(spark, folder):
 
 
 WINDOWS = f"""select {text('start')} as window_start, {text("start + interval 60 minute")} as window_end,
-  count(*) as completions, round(sum(lead) / 60000000 / count(*), 2) as w_lead_time_minutes,
+  count(*) as completions, {half_up('sum(lead)', '60000000 * count(*)')} as w_lead_time_minutes,
   round(count(*) / 60, 3) as throughput_per_minute
 from (select lead, time_bucket(interval 5 minute, completion) - interval 5 minute * k as start
   from matched, range(12) t(k)) group by start"""

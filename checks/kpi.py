@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.base import COUNTRY, REVENUE, half_up, lines, mean_cents, quantile, query, raw, with_lines, with_raw
-from ordermill.functions import expressions as E
+from checks.base import REVENUE, half_up, lines, mean_cents, query, raw, with_lines, with_raw
 from ordermill.operators import cleaning, customers, kpi, products
 from ordermill.plans import reports
 

@@ -3,11 +3,12 @@ arithmetic SQL can repeat; queries on the random forest are checked for rows."""
 
 from pyspark.sql import functions as F
 
-from checks.base import LINES, ROW_KEY, bins, half_up, lines, mean_cents, query, raw, with_lines
+from checks.base import ROW_KEY, bins, half_up, lines, mean_cents, query, raw, with_lines
 from checks.quality import CATEGORIES, FLAGS, TRIMMED
 from checks.sources import CAPPED
 from ordermill import schema as S
-from ordermill.operators import cleaning, features, forecast, kpi, metrics, model, scoring
+from ordermill.functions import expressions as E
+from ordermill.operators import features, forecast, kpi, model, scoring
 from ordermill.plans.scheduled import run_scheduled
 from ordermill.session import fresh_path, settled
 from ordermill.sources.warehouse import scoring_requests
@@ -48,17 +49,17 @@ def fitted(spark, folder):
 
 
 @query("weekday_hour_patterns", with_lines("""
-select DayOfWeek, Hour, round(avg(cast(cents as double) / 100), 4) as avg_revenue, count(InvoiceNo) as orders,
-  round(avg(Quantity), 4) as avg_quantity, round(avg(cast(UnitPrice as double)), 4) as avg_price
+select DayOfWeek, Hour, cast(sum(cents) as double) / 100 / count(*) as avg_revenue, count(InvoiceNo) as orders,
+  cast(sum(Quantity) as double) / count(*) as avg_quantity, cast(sum(price_cents) as double) / 100 / count(*) as avg_price
 from lines group by DayOfWeek, Hour"""))
 def weekday_hour_patterns(spark, folder):
     """F1."""
-    patterns = forecast.weekday_hour_patterns(lines(spark, folder, "InvoiceNo"))
-    return patterns.withColumns({c: F.round(c, 4) for c in ["avg_revenue", "avg_quantity", "avg_price"]})
+    return forecast.weekday_hour_patterns(lines(spark, folder, "InvoiceNo"))
 
 
-PATTERNS = f"""patterns as (select DayOfWeek, Hour, avg(cast(cents as double) / 100) as revenue, count(*) as orders,
-  avg(Quantity) as quantity, avg(cast(UnitPrice as double)) as price from lines group by DayOfWeek, Hour),
+PATTERNS = f"""patterns as (select DayOfWeek, Hour, cast(sum(cents) as double) / 100 / count(*) as revenue,
+  count(*) as orders, cast(sum(Quantity) as double) / count(*) as quantity,
+  cast(sum(price_cents) as double) / 100 / count(*) as price from lines group by DayOfWeek, Hour),
 calendar as (select cast(unnest(range(date '{START}', date '{START}' + interval 7 day, interval 1 day)) as date) as date),
 coming as (select date, isodow(date) - 1 as day_of_week, dayname(date) as day_name, sum(revenue) as revenue,
   sum(orders) as orders, cast(floor(avg(quantity)) as bigint) as quantity, avg(price) as price
@@ -235,19 +236,13 @@ from pairs group by side""")
 def regression_metrics(spark, folder):
     """M6 on both sides of the split."""
     sold, mean_price = fitted(spark, folder)
-    train = E_side()
-    scored = scoring.enrich_with_prediction(sold, mean_price).withColumn("side", train)
+    side = F.when(E.key_number(E.row_key()) % 100 < 80, "train").otherwise("test")
+    scored = scoring.enrich_with_prediction(sold, mean_price).withColumn("side", side)
     judged = scoring.regression_metrics(scored, by=("side",))
     digits = {"mse": 2, "rmse": 4, "mae": 4, "r2_score": 6}
     return judged.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
-def E_side():
-    from ordermill.functions import expressions as E
-
-    return F.when(E.key_number(E.row_key()) % 100 < 80, "train").otherwise("test")
-
-
 @query("score_orders", f"""{with_lines('')}, {PRICED},
 requests as (select Quantity as quantity, cast(UnitPrice as double) as unit_price,
   coalesce(case when CustomerID % 5 <> 0 then Hour end, 14) as hour, DayOfWeek as day_of_week, Month as month,

@@ -4,13 +4,11 @@ from pyspark.sql import functions as F
 
 from checks.base import (
     COUNTRY,
-    DERIVED,
     DESCRIPTION,
     LINES,
     RAW,
     bins,
     half_up,
-    lines,
     mean_cents,
     quantile,
     query,

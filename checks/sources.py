@@ -5,9 +5,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.base import ROW_KEY, lines, query, raw, text, with_lines, with_raw
+from checks.base import ROW_KEY, lines, query, raw, with_lines, with_raw
 from checks.quality import CLEAN, DATE, PARTS, PRICE
-from ordermill import schema as S
 from ordermill.operators import cleaning, features, kpi
 from ordermill.session import fresh_path
 from ordermill.sources import orders as O

@@ -12,6 +12,7 @@ from ordermill.session import settled
 ENCODED = [f"{c}_encoded" for c in S.CATEGORY_FEATURES]
 FEATURES = S.NUMERIC_FEATURES + ENCODED
 RANGE_ENCODED = [f"{c}_encoded" for c in S.RANGE_FEATURES]
+BROADCAST_CODES = 100000
 
 
 def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,15 +45,17 @@ def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
 def label_encode(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<column>_encoded``; categories that are not in the dictionary get 0.
 
-    The dictionary is joined without a hint: Spark broadcasts it when it measures it small.
+    A dictionary of up to ``BROADCAST_CODES`` entries, as counted here, is broadcast, so the
+    lines stay where they are however many share a category. A larger one is joined by shuffle.
     """
+    small = dictionary.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES
     for c in columns:
         codes = dictionary.where(F.col("feature") == c).select(
             F.col("category").alias("_category"), F.col("code").alias("_code")
         )
         category = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
         df = (
-            df.join(codes, category == F.col("_category"), "left")
+            df.join(F.broadcast(codes) if small else codes, category == F.col("_category"), "left")
             .withColumn(f"{c}_encoded", F.coalesce("_code", F.lit(0)))
             .drop("_category", "_code")
         )

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.functions import expressions as E
+
 SLOT_SECONDS = 3600
 
 
@@ -51,6 +53,11 @@ def lead_micros() -> Column:
     return F.unix_micros("completion_time") - F.unix_micros("arrival_time")
 
 
+def mean_lead(micros: Column, n: Column) -> Column:
+    """Mean lead time in minutes to two digits."""
+    return E.mean(micros, n * 60000000)
+
+
 def open_orders(events: DataFrame) -> DataFrame:
     """Orders whose last event is an arrival, with its time."""
     order = F.struct("ts", "seq")
@@ -85,12 +92,13 @@ def littles_law(events: DataFrame, as_of: str, window_minutes: int = 60, include
         F.col("open.n").alias("l"),
         ((F.col("arrivals") + F.col("open.recent")) / window_minutes).alias("rate"),
         F.coalesce(F.try_divide(F.col("lead") / 60000000, F.col("completions")), F.lit(0.0)).alias("w"),
+        F.coalesce(mean_lead(F.col("lead"), F.col("completions")), F.lit(0)).alias("lead_time"),
     )
     gap = F.abs(F.col("l") - F.col("rate") * F.col("w"))
     return measured.select(
         F.col("l").alias("l_work_in_progress"),
         F.round("rate", 3).alias("lambda_arrival_rate"),
-        F.round("w", 2).alias("w_lead_time_minutes"),
+        F.col("lead_time").cast("double").alias("w_lead_time_minutes"),
         F.round(F.col("rate") * F.col("w"), 2).alias("littles_law_predicted"),
         F.round(gap, 2).alias("difference"),
         (gap < 1.0).alias("is_balanced"),
@@ -122,7 +130,7 @@ def flow_windows(completed: DataFrame, minutes: int = 60, slide: int = 5) -> Dat
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
             "completions",
-            F.round(F.col("lead_micros") / 60000000 / F.col("completions"), 2).alias("w_lead_time_minutes"),
+            mean_lead(F.col("lead_micros"), F.col("completions")).cast("double").alias("w_lead_time_minutes"),
             F.round(F.col("completions") / minutes, 3).alias("throughput_per_minute"),
         )
     )

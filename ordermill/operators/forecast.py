@@ -8,12 +8,15 @@ from ordermill.operators.scoring import score_orders
 
 
 def weekday_hour_patterns(lines: DataFrame) -> DataFrame:
-    """Mean revenue, lines, mean quantity and mean price per weekday and hour: at most 168 rows."""
+    """Mean revenue, lines, mean quantity and mean price per weekday and hour: at most 168 rows.
+
+    Money is summed exactly before the division.
+    """
     return lines.groupBy("DayOfWeek", "Hour").agg(
-        F.avg(F.col("Revenue").cast("double")).alias("avg_revenue"),
+        (F.sum("Revenue").cast("double") / F.count("Revenue")).alias("avg_revenue"),
         F.count("InvoiceNo").alias("orders"),
         F.avg("Quantity").alias("avg_quantity"),
-        F.avg(F.col("UnitPrice").cast("double")).alias("avg_price"),
+        (F.sum("UnitPrice").cast("double") / F.count("UnitPrice")).alias("avg_price"),
     )
 
 

@@ -32,7 +32,7 @@ def top_products_by_quantity(lines: DataFrame, n: int = 5) -> DataFrame:
     """Best ``n`` products by units, then a look-up of their names only."""
     units = lines.where(F.col("StockCode").isNotNull()).groupBy("StockCode")
     best = units.agg(F.sum("Quantity").alias("units")).orderBy(F.desc("units"), "StockCode").limit(n)
-    named = lines.join(F.broadcast(best.select("StockCode")), "StockCode", "left_semi")
+    named = lines.join(best.select("StockCode"), "StockCode", "left_semi")
     return best.join(product_labels(named), "StockCode", "left").transform(truncate_text, "Description", 30)
 
 
@@ -45,7 +45,7 @@ def price_patterns(raw: DataFrame, max_products: int | None = 200) -> DataFrame:
     """Lowest, highest and mean price of the first ``max_products`` products, or of all."""
     priced = raw.where(F.col("StockCode").isNotNull() & (F.col("UnitPrice") > 0))
     if max_products is not None:
-        priced = priced.join(F.broadcast(first_products(raw, max_products)), "StockCode", "left_semi")
+        priced = priced.join(first_products(raw, max_products), "StockCode", "left_semi")
     return priced.groupBy("StockCode").agg(
         F.min("UnitPrice").alias("min_price"),
         F.max("UnitPrice").alias("max_price"),
