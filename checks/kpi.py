@@ -369,7 +369,7 @@ def patterns(first: str) -> str:
 @query("price_patterns", patterns(
     "and StockCode in (select distinct StockCode from retail_raw order by StockCode limit 200)"))
 def price_patterns(spark, folder):
-    """The first 200 products, as the reference profile has it."""
+    """The first 200 products, the size of the profile."""
     return products.price_patterns(raw(spark, folder, "StockCode", "Description"))
 
 

@@ -48,17 +48,31 @@ def service_alerts(states: DataFrame) -> DataFrame:
 
 
 def session_report(readings: DataFrame, thresholds: dict = S.METRIC_THRESHOLDS) -> DataFrame:
-    """Checks, mean, maximum and alerts per metric, and over all in the row ``all``."""
+    """Checks, mean, maximum and alerts per metric, and over all in the row ``all``.
+
+    The last row is made of the rows per metric, not of the readings again.
+    """
     status = F.col("status")
-    return (
+    metrics = (
         status_level(readings, thresholds)
-        .rollup("metric")
+        .groupBy("metric")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("value").alias("measured"),
+            F.sum("value").alias("total"),
+            F.max("value").alias("highest"),
+            F.count_if(status != "healthy").alias("raised"),
+            F.count_if(status == "critical").alias("critical"),
+        )
+    )
+    return (
+        metrics.rollup("metric")
         .agg(
-            F.count(F.lit(1)).alias("checks"),
-            F.round(F.avg("value"), 1).alias("avg_value"),
-            F.round(F.max("value"), 1).alias("max_value"),
-            F.count_if(status != "healthy").alias("alerts"),
-            F.count_if(status == "critical").alias("critical_alerts"),
+            F.sum("n").alias("checks"),
+            F.round(F.try_divide(F.sum("total"), F.sum("measured")), 1).alias("avg_value"),
+            F.round(F.max("highest"), 1).alias("max_value"),
+            F.sum("raised").alias("alerts"),
+            F.sum("critical").alias("critical_alerts"),
         )
         .withColumn("metric", F.coalesce("metric", F.lit("all")))
     )

@@ -172,18 +172,30 @@ def revenue_band(actual: Column) -> Column:
 
 
 def performance_by_revenue_range(records: DataFrame) -> DataFrame:
-    """Accuracy per band of actual revenue, and over all bands in the row ``overall``."""
-    judged = records.where(F.col("prediction_accuracy").isNotNull())
-    banded = judged.withColumn("revenue_range", revenue_band(F.col("actual_revenue")))
+    """Accuracy per band of actual revenue, and over all bands in the row ``overall``.
+
+    The overall row is made of the four bands, not of the records again.
+    """
     accuracy = F.col("prediction_accuracy")
+    bands = (
+        records.groupBy(revenue_band(F.col("actual_revenue")).alias("revenue_range"))
+        .agg(
+            F.count(accuracy).alias("n"),
+            F.sum(accuracy).alias("total"),
+            F.min(accuracy).alias("low"),
+            F.max(accuracy).alias("high"),
+        )
+        .where(F.col("n") > 0)
+    )
     return (
-        banded.rollup("revenue_range")
+        bands.rollup("revenue_range")
         .agg(
-            F.count(accuracy).alias("count"),
-            E.mean(F.sum(accuracy), F.count(accuracy)).alias("avg_accuracy"),
-            F.min(accuracy).alias("min_accuracy"),
-            F.max(accuracy).alias("max_accuracy"),
+            F.sum("n").alias("count"),
+            E.mean(F.sum("total"), F.sum("n")).alias("avg_accuracy"),
+            F.min("low").alias("min_accuracy"),
+            F.max("high").alias("max_accuracy"),
         )
+        .where(F.col("count").isNotNull())
         .withColumn("revenue_range", F.coalesce("revenue_range", F.lit("overall")))
     )
 

@@ -1,5 +1,7 @@
 """Every query with an oracle agrees with it, and every other one gives rows."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as driver
@@ -31,3 +33,10 @@ def test_driver_contract(spark):
 
 def test_canonical_ignores_order():
     assert canonical(["b", "a"], [(1, 2), (0, 5)]) == canonical(["a", "b"], [(5, 0), (2, 1)])
+
+
+def test_every_inventory_id_is_named_by_a_query():
+    families = {"S": 14, "P": 23, "J": 7, "A": 23, "Q": 9, "W": 6, "O": 2, "U": 1, "F": 8, "M": 12, "ST": 9, "K": 4}
+    wanted = {f"{family}{i}" for family, n in families.items() for i in range(1, n + 1)}
+    named = set(re.findall(r"\b[A-Z]{1,2}\d+\b", " ".join(q.__doc__ for q in QUERIES.values())))
+    assert wanted - named == set()
