@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 LABELLED_ROWS = 20_000
 LEXICON_TERMS = 2_000
 #: A term must be in so many toxic rows (and such a share of them), and so many times likelier there.
-LEAST_ROWS, LEAST_SHARE, LEAST_ODDS = 3, 0.01, 8.0
+LEAST_ROWS, LEAST_SHARE, LEAST_ODDS = 3, 0.05, 8.0
 #: Words added to each text's length, so that one hit in a very short text isn't all.
 LENGTH_PRIOR = 20
 #: Phrases in which a lexicon term says nothing bad.
