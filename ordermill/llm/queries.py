@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, pii, secret_scan, toxicity, url_filter
+from ordermill.llm import decontaminate, pii, secret_scan, suffix_dedup, toxicity, url_filter
 from ordermill.llm.store import ship
 
 QUERIES = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_suffix_dedup", suffix_dedup.ORACLE)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 bytes and more that stand in an earlier document, removed from every later one."""
+    return suffix_dedup.deduplicated(table(spark, folder, "documents"))
+
+
 @query("op3_pii")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data: counts of base spans, their digest and all spans of every document."""
