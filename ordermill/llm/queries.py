@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, pii, secret_scan, suffix_dedup, toxicity, url_filter
+from ordermill.llm import decontaminate, line_dedup, pii, secret_scan, suffix_dedup, toxicity, url_filter
 from ordermill.llm.store import ship
 
 QUERIES = {}
@@ -56,6 +56,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, folder, "pages"))
 
 
+@query("op9_line_dedup", line_dedup.ORACLE)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document that repeat an earlier run of lines, and what is left without them."""
+    return line_dedup.line_report(table(spark, folder, "documents"))
+
+
 @query("op10_toxicity")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that aren't held out."""
