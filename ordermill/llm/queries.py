@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, line_dedup, pii, secret_scan, suffix_dedup, toxicity, url_filter
+from ordermill.llm import decontaminate, fingerprint, line_dedup, mixing, pii, secret_scan, suffix_dedup, toxicity, url_filter
 from ordermill.llm.store import ship
 
 QUERIES = {}
@@ -50,12 +50,24 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(table(spark, folder, "documents"))
 
 
+@query("op6_fingerprint")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like each other they are."""
+    return fingerprint.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op7_url_filter", url_filter.ORACLE)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     return url_filter.url_verdicts(table(spark, folder, "pages"))
 
 
+@query("op8_mixing", mixing.ORACLE)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document so that each source comes near its target."""
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
 @query("op9_line_dedup", line_dedup.ORACLE)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of every document that repeat an earlier run of lines, and what is left without them."""
