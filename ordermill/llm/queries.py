@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, fingerprint, line_dedup, mixing, pii, secret_scan, suffix_dedup, toxicity, url_filter
+from ordermill.llm import decontaminate, fingerprint, line_dedup, minhash, mixing, pii, secret_scan, suffix_dedup, toxicity, url_filter
 from ordermill.llm.store import ship
 
 QUERIES = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_minhash", minhash.ORACLE)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates of every document: its component and whether it is the one kept."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op2_suffix_dedup", suffix_dedup.ORACLE)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 bytes and more that stand in an earlier document, removed from every later one."""
@@ -78,3 +84,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that aren't held out."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over the whole documents table."""
+    import corpus_pipeline
+
+    ship(spark)
+    return corpus_pipeline.run(spark, folder)
