@@ -2,7 +2,7 @@
 
 A paragraph is a line, cut once more after each sentence, so that short texts have several too. Its vector has two
 parts. The dense part has eight lanes of 32 bits, all of them hashed anew: the sums tell equal texts, or texts of the
-same paragraphs in any order, from all others. The sparse part has six tiers of 16 lanes of 16 bits; a paragraph falls
+same paragraphs in any order, from all others. The sparse part has nine tiers of 16 lanes of 16 bits; a paragraph falls
 into one tier (the first with chance 1/2, each next one half as often) and adds to one of its lanes. Where two
 documents share a paragraph its lane stays equal, so the share of equal lanes, in the first tier that isn't crowded
 and those after it, estimates how much the two have in common.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DENSE, DENSE_BITS = 8, 32
-TIERS, LANES, LANE_BITS = 6, 16, 16
+TIERS, LANES, LANE_BITS = 9, 16, 16
 #: Lanes of a tier in use (by either document) above which it counts as crowded.
 CROWDED = 11
 PARAGRAPHS = "(?<=[.!?])[ \\t]+|\\n+"

@@ -58,12 +58,12 @@ def fold(text: str) -> str:
 
 @dataclass(frozen=True)
 class Model:
-    """What is learned: weights of folded terms, exception phrases, and the logistic curve."""
+    """What is learned: weights of folded terms, exception phrases, and the logistic curve (unfitted, no hit is harmless)."""
 
     weights: dict[str, float]
     exceptions: tuple[str, ...]
     slope: float = 1.0
-    middle: float = 0.0
+    middle: float = 1.0
 
 
 def matcher(model: Model) -> ahocorasick.Automaton:
