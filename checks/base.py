@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from ordermill.operators import kpi
 from ordermill.schema import RAW_COLUMNS
-from ordermill.sources.warehouse import retail_raw
+from checks.warehouse import retail_raw
 
 QUERIES = {}
 ORACLES = {}
@@ -96,8 +96,11 @@ VALID = "Quantity > 0 and UnitPrice > 0 and CustomerID is not null and InvoiceDa
 LINES = f"""{RAW},
 lines as (select *, {DERIVED} from retail_raw where {VALID})"""
 
-ROW_KEY = """md5(concat_ws('|', InvoiceNo, StockCode, cast(Quantity as varchar),
-    cast(InvoiceDate as varchar), cast(UnitPrice as varchar), cast(CustomerID as varchar)))"""
+ROW_KEY = "md5(" + " || ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')"
+    for c in ["InvoiceNo", "StockCode", "Description", "cast(Quantity as varchar)", "cast(InvoiceDate as varchar)",
+              "cast(cast(UnitPrice as decimal(18,4)) as varchar)", "cast(CustomerID as varchar)", "Country"]
+) + ")"
 
 REVENUE = "cast(sum(cents) as double) / 100"
 

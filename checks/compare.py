@@ -2,13 +2,14 @@
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
 from pyspark.sql import SparkSession
 
 from checks.registry import ORACLES, QUERIES
-from ordermill.sources.warehouse import TABLES
+from checks.warehouse import TABLES
 
 
 def session() -> SparkSession:
@@ -16,6 +17,7 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ordermill-"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

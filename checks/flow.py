@@ -8,7 +8,7 @@ from checks.model import PRICED, fitted
 from checks.quality import DATE, PRICE
 from ordermill.operators import flow, metrics
 from ordermill.session import fresh_path
-from ordermill.sources.warehouse import TABLES, metric_readings, order_lifecycle, order_messages, table
+from checks.warehouse import TABLES, metric_readings, order_lifecycle, order_messages, table
 from ordermill.streaming import flow as stream_flow
 from ordermill.streaming import orders as stream
 
@@ -113,7 +113,7 @@ def status(limits: dict) -> str:
         return f"case event_type {' '.join(f'''when '{m}' then {w[which]}''' for m, w in limits.items())} else {default} end"
 
     return f"""case when value >= {cut(1, 95)} then 'critical' when value >= {cut(0, 80)} then 'warning'
-      else 'healthy' end"""
+      when value is null then 'unknown' else 'healthy' end"""
 
 
 READINGS = f"""readings as (select event_id as reading_id, ts, event_type as metric, value, {status(LIMITS)} as status
@@ -130,36 +130,53 @@ def status_level(spark, folder):
     return metrics.status_level(readings(spark, folder), LIMITS)
 
 
-ALERTS = f"""select reading_id, metric as type, status as level,
-  'High ' || metric || ' usage: ' || cast(cast(value as decimal(18,2)) as varchar) || '%' as message, {text('ts')} as ts
-from readings where status <> 'healthy'"""
+SYSTEM = {"click": "CPU", "view": "memory"}
+ALERTS = f"""select reading_id, 'system' as type, status as level,
+  'High ' || case metric when 'click' then 'CPU' else 'memory' end || ' usage: '
+    || cast(cast(value as decimal(18,2)) as varchar) || '%' as message, {text('ts')} as ts
+from readings where status in ('warning', 'critical') and metric in ('click', 'view')"""
 
 
 @query("metric_alerts", f"with {READINGS} {ALERTS}")
 def metric_alerts(spark, folder):
-    """K2."""
-    return metrics.metric_alerts(readings(spark, folder), LIMITS)
+    """K2: clicks stand for processor readings, purchases for response times, which raise no alerts."""
+    return metrics.metric_alerts(readings(spark, folder), LIMITS, SYSTEM)
 
 
-@query("service_alerts", f"""select event_id as reading_id, 'user ' || user_id as type,
-  case event_type when 'signup' then 'critical' else 'warning' end as level,
-  'user ' || user_id || case event_type when 'signup' then ' is offline' else ' error' end as message, {text('ts')} as ts
-from events where event_type in ('signup', 'error')""")
-def service_alerts(spark, folder):
-    """K2 for service states; here a signup stands for an offline service."""
+SERVICE = f"""select event_id as reading_id, 'api' as type, case event_type when 'signup' then 'critical' else 'warning' end as level,
+  case when event_type = 'signup' then 'ML API is offline' when user_id % 2 = 0 then 'ML API error: Unknown error'
+    else 'ML API error: user ' || user_id end as message, {text('ts')} as ts
+from events where event_type in ('signup', 'error')"""
+
+
+def service_states(spark, folder):
+    """Events as states of a service: a signup stands for an offline one."""
     state = F.when(F.col("event_type") == "signup", "offline").otherwise(F.col("event_type"))
-    states = table(spark, folder, "events").select(
+    return table(spark, folder, "events").select(
         F.col("event_id").alias("reading_id"),
         F.col("ts").cast("timestamp").alias("ts"),
-        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("service"),
         state.alias("state"),
+        F.when(F.col("user_id") % 2 == 1, F.concat(F.lit("user "), F.col("user_id").cast("string"))).alias("error"),
     )
-    return metrics.service_alerts(states)
+
+
+@query("service_alerts", SERVICE)
+def service_alerts(spark, folder):
+    """K2 for service states."""
+    return metrics.service_alerts(service_states(spark, folder))
+
+
+@query("alert_breakdown", f"""with {READINGS}, every as (select type from ({ALERTS}) union all select type from ({SERVICE}))
+select coalesce(type, 'all') as type, count(*) as alerts from every group by rollup (type)""")
+def alert_breakdown(spark, folder):
+    """K3: alerts by type over system and service alerts."""
+    system = metrics.metric_alerts(readings(spark, folder), LIMITS, SYSTEM)
+    return metrics.alert_breakdown(system, metrics.service_alerts(service_states(spark, folder)))
 
 
 @query("session_report", f"""with {READINGS}
 select coalesce(metric, 'all') as metric, count(*) as checks, round(avg(value), 1) as avg_value,
-  round(max(value), 1) as max_value, count(*) filter (status <> 'healthy') as alerts,
+  round(max(value), 1) as max_value, count(*) filter (status in ('warning', 'critical')) as alerts,
   count(*) filter (status = 'critical') as critical_alerts from readings group by rollup (metric)""")
 def session_report(spark, folder):
     """K3."""

@@ -154,10 +154,10 @@ def weekly_total(spark, folder):
 
 
 @query("growth_by_country", with_lines(f"""
-select Country, count(*) as periods, {growth("cents", "Month")} as revenue_growth
-from (select Country, Month, sum(cents) as cents from lines group by Country, Month) group by Country"""))
+select Country, count(*) as periods, {growth("cents", "month")} as revenue_growth
+from (select Country, date_trunc('month', Date) as month, sum(cents) as cents from lines group by 1, 2) group by Country"""))
 def growth_by_country(spark, folder):
-    """W2 per group: growth from the first to the last month of the year."""
+    """W2 per group: growth from the first to the last month, of whatever year."""
     return kpi.growth_by(lines(spark, folder, "Country"), "Country")
 
 
@@ -380,10 +380,10 @@ def price_patterns_all(spark, folder):
 
 
 @query("distinct_values", with_raw("""
-select * from (select distinct 'product' as kind, StockCode as value from retail_raw order by value limit 200)
+select distinct 'product' as kind, StockCode as value from retail_raw where StockCode is not null
 union all select distinct 'country', Country from retail_raw where Country is not null"""))
 def distinct_values(spark, folder):
-    """A21."""
+    """All products and countries."""
     return products.distinct_values(raw(spark, folder, "StockCode", "Country"))
 
 

@@ -19,7 +19,7 @@ from checks.base import (
 )
 from ordermill import schema as S
 from ordermill.operators import cleaning, quality
-from ordermill.sources.warehouse import retail_text
+from checks.warehouse import retail_text
 
 COLUMNS = ", ".join(S.RAW_COLUMNS)
 PRICE = "cast(UnitPrice as double) as UnitPrice"

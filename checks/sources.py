@@ -5,12 +5,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.base import ROW_KEY, lines, query, raw, with_lines, with_raw
+from checks import warehouse
+from checks.base import RAW, ROW_KEY, lines, query, raw, with_lines, with_raw
 from checks.quality import CLEAN, DATE, PARTS, PRICE
 from ordermill.operators import cleaning, features, kpi
+from ordermill.schema import RAW_COLUMNS
 from ordermill.session import fresh_path
 from ordermill.sources import orders as O
-from ordermill.sources import warehouse
+from ordermill.streaming import orders as stream
+from checks import warehouse
 
 ROW = f"InvoiceNo, StockCode, Description, Quantity, {DATE}, {PRICE}, CustomerID, Country"
 
@@ -38,6 +41,111 @@ def orders_json(spark, folder):
     return O.read_orders_json(spark, path, multi_line=False)
 
 
+# Files of other hands: their text is put together by SQL rules, not by this library's writers.
+
+FOREIGN_PRICE = """case StockCode % 5 when 0 then '0.001' when 1 then '0.055' else {price} end"""
+BAD_DATE, BAD_CUSTOMER, BAD_QUANTITY = "InvoiceNo % 37 = 0", "InvoiceNo % 31 = 0", "InvoiceNo % 29 = 0"
+
+
+def foreign(spark, folder):
+    """Raw lines with every field as the text that spreadsheets and float columns make of it."""
+    return raw(spark, folder).selectExpr(
+        "InvoiceNo",
+        "StockCode",
+        "Description",
+        f"case when {BAD_QUANTITY} then 'many' else cast(Quantity as string) end as Quantity",
+        f"""case when {BAD_DATE} then 'soon' when InvoiceNo % 3 = 0 then date_format(InvoiceDate, 'M/d/yyyy H:mm')
+          when InvoiceNo % 3 = 1 then date_format(InvoiceDate, 'yyyy-MM-dd HH:mm')
+          else concat(date_format(InvoiceDate, "yyyy-MM-dd'T'HH:mm:ss"), '.123456') end as InvoiceDate""",
+        FOREIGN_PRICE.format(price="cast(cast(UnitPrice as decimal(12,2)) as string)") + " as UnitPrice",
+        f"case when {BAD_CUSTOMER} then 'x' else concat(CustomerID, '.0') end as CustomerID",
+        "Country",
+    )
+
+
+BAD = " or ".join(f"cast(InvoiceNo as bigint) {c.removeprefix('InvoiceNo ')}" for c in (BAD_DATE, BAD_CUSTOMER, BAD_QUANTITY))
+
+
+def unless(condition: str, value: str) -> str:
+    return f"case when cast(InvoiceNo as bigint) {condition.removeprefix('InvoiceNo ')} then null else {value} end"
+
+
+FOREIGN = f"""with {RAW}, typed as (select InvoiceNo, StockCode, Description, {unless(BAD_QUANTITY, 'Quantity')} as Quantity,
+  {unless(BAD_DATE, 'InvoiceDate')} as InvoiceDate, case cast(StockCode as bigint) % 5 when 0 then 0.001 when 1 then 0.055
+    else UnitPrice end as UnitPrice, {unless(BAD_CUSTOMER, 'CustomerID')} as CustomerID, Country from retail_raw)"""
+FOREIGN_ROW = f"""{FOREIGN} select InvoiceNo, StockCode, Description, Quantity, {DATE},
+  cast(UnitPrice as double) as UnitPrice, CustomerID, Country from typed"""
+# A line whose customer is missing and not just untyped is no reject.
+REJECTS = f"""with {RAW} select InvoiceNo, StockCode, array_to_string(list_filter([
+  case when cast(InvoiceNo as bigint) % 29 = 0 then 'Quantity' end, case when cast(InvoiceNo as bigint) % 37 = 0 then 'InvoiceDate' end,
+  case when cast(InvoiceNo as bigint) % 31 = 0 then 'CustomerID' end], lambda x: x is not null), ',') as fields
+from retail_raw where {BAD}"""
+
+
+def foreign_csv(spark, folder):
+    path = fresh_path(spark, "foreign-csv")
+    quoted = ["concat('\"', Description, '\"')" if c == "Description" else c for c in RAW_COLUMNS]
+    fields = ", ".join(f"coalesce({c}, '')" for c in quoted)
+    head = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
+    # a header goes before the lines of every file
+    lines_of = foreign(spark, folder).selectExpr(f"concat_ws(',', {fields}) as value").coalesce(1)
+    head.union(lines_of).coalesce(1).write.option("encoding", "ISO-8859-1").text(path)
+    return path
+
+
+@query("foreign_csv", FOREIGN_ROW)
+def read_foreign_csv(spark, folder):
+    """Spreadsheet dates, customers with a point, prices under a cent, fields of the wrong type."""
+    return O.read_orders_csv(spark, foreign_csv(spark, folder))
+
+
+@query("foreign_csv_rejects", REJECTS)
+def foreign_csv_rejects(spark, folder):
+    """Lines with fields that aren't of their type, and which."""
+    rejected = O.rejected_orders(O.read_csv_text(spark, foreign_csv(spark, folder)))
+    return rejected.select("InvoiceNo", "StockCode", F.array_join("rejected_fields", ",").alias("fields"))
+
+
+def json_of(columns: list) -> str:
+    """One JSON object by concatenation, nulls left out."""
+    cells = ", ".join(f"concat('\"{c}\": \"', {c}, '\"')" for c in columns)
+    return f"concat('{{', concat_ws(', ', {cells}), '}}')"
+
+
+@query("foreign_json", FOREIGN_ROW)
+def read_foreign_json(spark, folder):
+    """Files that each hold a JSON array of orders, with microseconds and floats, one array for each weekday."""
+    path = fresh_path(spark, "foreign-json")
+    orders = foreign(spark, folder).selectExpr(f"{json_of(RAW_COLUMNS)} as value", "InvoiceNo % 7 as file")
+    arrays = orders.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    arrays.repartition(7, "file").write.partitionBy("file").text(path)
+    return O.read_orders_json(spark, f"{path}/*")
+
+
+def foreign_messages(spark, folder):
+    """Messages of a producer that writes microseconds, and for some invoices leaves fields out."""
+    path = fresh_path(spark, "foreign-messages")
+    whole, empty, part = json_of(RAW_COLUMNS), "'{}'", json_of(["InvoiceNo", "Quantity"])
+    kind = f"case when InvoiceNo % 23 = 0 then {empty} when InvoiceNo % 19 = 0 then {part} else {whole} end"
+    foreign(spark, folder).selectExpr(f"{kind} as value").write.text(path)
+    return spark.read.text(path)
+
+
+WHOLE = f"not ({BAD}) and cast(InvoiceNo as bigint) % 23 <> 0 and cast(InvoiceNo as bigint) % 19 <> 0"
+
+
+@query("foreign_messages", f"{FOREIGN_ROW} where {WHOLE}")
+def parse_foreign_messages(spark, folder):
+    """ST1: messages with microseconds."""
+    return stream.parse_orders(foreign_messages(spark, folder))
+
+
+@query("foreign_dead_letters", f"with {RAW} select count(*) as n from retail_raw where not ({WHOLE})")
+def foreign_dead_letters(spark, folder):
+    """ST1: messages without an invoice or amounts, or with fields that aren't of their type."""
+    return stream.dead_letters(foreign_messages(spark, folder)).agg(F.count(F.lit(1)).alias("n"))
+
+
 SCANNED = f"{ROW}, cast(cents as double) / 100 as Revenue, {PARTS}"
 
 
@@ -88,32 +196,14 @@ select cast(Date as varchar) as Date, cast(sum(cents) as double) / 100 as revenu
 union all select cast(Date as varchar), null, null, arg_min(Hour, (-cents, Hour)) from (
   select Date, Hour, sum(cents) as cents from lines group by Date, Hour) group by Date"""))
 def appended_metrics(spark, folder):
-    """Two runs append to one table, the second with a new column."""
+    """Two runs append to one table, the second with a new column; the first is tried twice."""
     sold = lines(spark, folder, "InvoiceDate")
     path = fresh_path(spark, "metrics")
-    O.append_metrics(
-        sold.groupBy("Date").agg(kpi.total_revenue().alias("revenue"), kpi.rows().alias("orders")), path
-    )
-    O.append_metrics(kpi.peak_hour(sold).select("Date", F.col("peak_hour").alias("best_hour")), path)
-    return O.read_metrics(spark, path).drop("processing_timestamp")
-
-
-@query("table_inventory")
-def table_inventory(spark, folder):
-    """File sizes and times of change of the given tables."""
-    return O.dataset_inventory(spark, [folder])
-
-
-@query("folder_totals")
-def folder_totals(spark, folder):
-    """Number and size of the files per folder."""
-    return O.folder_inventory(O.dataset_inventory(spark, [folder]))
-
-
-@query("table_completeness")
-def table_completeness(spark, folder):
-    """Which of the expected files exist."""
-    return O.completeness(O.dataset_inventory(spark, [folder]), [f"{n}.parquet" for n in warehouse.TABLES])
+    daily = sold.groupBy("Date").agg(kpi.total_revenue().alias("revenue"), kpi.rows().alias("orders"))
+    O.append_metrics(daily, path, "first")
+    O.append_metrics(kpi.peak_hour(sold).select("Date", F.col("peak_hour").alias("best_hour")), path, "second")
+    O.append_metrics(daily, path, "first")
+    return O.read_metrics(spark, path).drop("processing_timestamp", "run_id")
 
 
 @query("file_rows", " union all ".join(

@@ -30,14 +30,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
-    """A large table. Read in so few splits that cores would idle, its rows are dealt out by
-    ``keys``; with as many splits as cores or more it stays as it is read."""
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 # Column rules of the order-line view, first match wins.
 RULES = {
     "InvoiceNo": "cast(l_orderkey as string)",
@@ -65,7 +57,7 @@ def retail_raw(spark: SparkSession, folder: str, columns: list[str] = RAW_COLUMN
     """
     out = lines
     if lines is None:
-        out = fact_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+        out = table(spark, folder, "lineitem")
     if {"InvoiceDate", "CustomerID", "Country"} & set(columns):
         orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -120,9 +112,10 @@ def metric_readings(events: DataFrame) -> DataFrame:
     )
 
 
-def scoring_requests(lines: DataFrame) -> DataFrame:
+def scoring_requests(lines: DataFrame, *more: str) -> DataFrame:
     """Scoring requests made of order lines, some without hour or country."""
     return lines.select(
+        *more,
         F.col("Quantity").alias("quantity"),
         F.col("UnitPrice").alias("unit_price"),
         F.when(F.col("CustomerID") % 5 != 0, F.col("Hour")).alias("hour"),

@@ -2,22 +2,23 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ordermill.schema import MONEY, WEEKDAYS
+from ordermill.schema import DATE_FORMATS, RAW_COLUMNS, REVENUE, WEEKDAYS
 
 
 def mean(total: Column, n: Column, digits: int = 2) -> Column:
     """``total / n`` in decimal arithmetic, rounded half up; null when ``n`` is 0."""
-    return F.round(F.try_divide(total.cast("decimal(28,2)"), n.cast("decimal(20,0)")), digits)
+    return F.round(F.try_divide(total.cast("decimal(28,4)"), n.cast("decimal(20,0)")), digits)
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part`` as a percentage of ``whole``; null when ``whole`` is 0."""
-    return F.round(F.try_divide(part.cast("decimal(20,2)") * 100, whole.cast("decimal(20,2)")), digits)
+    return F.round(F.try_divide(part.cast("decimal(22,4)") * 100, whole.cast("decimal(22,4)")), digits)
 
 
 def revenue() -> Column:
-    return (F.col("Quantity") * F.col("UnitPrice")).cast(MONEY)
+    return (F.col("Quantity") * F.col("UnitPrice")).cast(REVENUE)
 
 
 def right_closed(value: Column, edges: list, labels: list, open_below: bool = False) -> Column:
@@ -40,9 +41,29 @@ def weekday_name(index: Column) -> Column:
 
 
 def row_key() -> Column:
-    """Repeatable key of an order line; copies of a line share it."""
-    columns = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID"]
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
+    """Repeatable key of an order line; lines that are equal in every column share it, no others do.
+
+    Each value has its length before it, so no two lines run together to the same text.
+    """
+    parts = []
+    for c in RAW_COLUMNS:
+        text = F.col(c).cast("decimal(18,4)").cast("string") if c == "UnitPrice" else F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat(*parts))
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """A text field as a value of ``kind``, or null if it isn't one.
+
+    Whole numbers may have zeros after a point, as files that went through floating point have. Times come as ISO
+    text with or without seconds, fractions and zone, or in one of the formats of the order files.
+    """
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        tries = [F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]]
+        return F.coalesce(*tries).cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast(kind)
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
 
 
 def key_number(key: Column) -> Column:

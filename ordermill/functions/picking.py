@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.expressions import key_number, keyed
 
-SMALL_N = 1000
 MERGE_WAYS = 64
 KEY_BUCKETS = 1 << 16
 ROWS_PER_PART = 5000
@@ -14,18 +13,30 @@ ROWS_PER_PART = 5000
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """First ``n`` rows in ``order``.
 
-    A plain sort-and-limit sends up to ``n`` rows of every input partition to one task. Beyond
-    ``SMALL_N`` the partitions first merge in ``MERGE_WAYS`` tasks that keep ``n`` rows each.
+    A plain sort-and-limit sends up to ``n`` rows of every input partition to one task, so the
+    partitions first merge in ``MERGE_WAYS`` tasks that keep ``n`` rows each.
     """
-    if n > SMALL_N:
-        way = Window.partitionBy("_way").orderBy(*order)
-        df = (
-            df.withColumn("_way", F.spark_partition_id() % MERGE_WAYS)
-            .withColumn("_place", F.row_number().over(way))
-            .where(F.col("_place") <= n)
-            .drop("_way", "_place")
-        )
-    return df.orderBy(*order).limit(n)
+    way = Window.partitionBy("_way").orderBy(*order)
+    merged = (
+        df.withColumn("_way", F.spark_partition_id() % MERGE_WAYS)
+        .withColumn("_place", F.row_number().over(way))
+        .where(F.col("_place") <= n)
+        .drop("_way", "_place")
+    )
+    return merged.orderBy(*order).limit(n)
+
+
+def top_n_by(df: DataFrame, n: int, by: list[str], *order: Column) -> DataFrame:
+    """First ``n`` rows in ``order`` of every ``by``, with their ``place``, merged in two steps like ``top_n``."""
+    way = Window.partitionBy(*by, "_way").orderBy(*order)
+    merged = (
+        df.withColumn("_way", F.spark_partition_id() % MERGE_WAYS)
+        .withColumn("_place", F.row_number().over(way))
+        .where(F.col("_place") <= n)
+        .drop("_way", "_place")
+    )
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return merged.withColumn("place", place).where(F.col("place") <= n)
 
 
 def sample_n(df: DataFrame, n: int, key: Column, seed: int | None = None) -> DataFrame:
@@ -50,9 +61,7 @@ def sample_n(df: DataFrame, n: int, key: Column, seed: int | None = None) -> Dat
         )
     )
     picked = tagged.where(F.col("_bucket") <= cut.scalar())
-    best = top_n(picked, n, F.col("_key").asc())
-    if n > SMALL_N:
-        best = best.repartition(-(-n // ROWS_PER_PART), "_key")
+    best = top_n(picked, n, F.col("_key").asc()).repartition(-(-n // ROWS_PER_PART), "_key")
     return best.drop("_key", "_bucket")
 
 

@@ -35,26 +35,37 @@ def _whole_number(df: DataFrame, column: str) -> tuple[Column, int, int]:
     raise TypeError(f"exact quantiles need a whole or decimal(<=18) column, {column} is {kind}")
 
 
+def scale_of(df: DataFrame, column: str) -> int:
+    """The power of ten that ``value_counts`` scales a column by."""
+    return _whole_number(df, column)[1]
+
+
+def value_counts(df: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
+    """``name, v, n``: how often each column has each value, as a whole number of its smallest digit; nulls left out."""
+    cells = [F.struct(F.lit(c).alias("name"), _whole_number(df, c)[0].alias("v")) for c in columns]
+    weighed = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    values = df.select(F.inline(F.array(*cells)), weighed.alias("n")).where("v is not null")
+    return values.groupBy("name", "v").agg(F.sum("n").alias("n"))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     fractions: list[float],
     weight: str | None = None,
     few: int = 1 << STEP_BITS,
+    counts: DataFrame | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles of every column in the order of ``fractions``; nulls are ignored.
 
     ``weight`` names a column that says how often a row counts. A column without any value
-    has ``None`` for quantiles.
+    has ``None`` for quantiles. ``counts`` gives the value counts where they are at hand.
     """
-    cells, scales, width = [], {}, 0
-    for column in columns:
-        value, scales[column], bits = _whole_number(df, column)
-        cells.append(F.struct(F.lit(column).alias("name"), value.alias("v")))
-        width = max(width, bits)
-    weighed = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    values = df.select(F.inline(F.array(*cells)), weighed.alias("n")).where("v is not null")
-    counts = values.groupBy("name", "v").agg(F.sum("n").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    scales = {c: _whole_number(df, c)[1] for c in columns}
+    width = max(_whole_number(df, c)[2] for c in columns)
+    if counts is None:
+        counts = value_counts(df, columns, weight)
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         steps = 1 if counts.count() <= few else -(-width // STEP_BITS)
         shifts = [STEP_BITS * s for s in reversed(range(steps))]

@@ -7,6 +7,7 @@ from ordermill import schema as S
 from ordermill.functions import expressions as E
 from ordermill.functions.quantiles import exact_quantiles
 from ordermill.operators.cleaning import valid_sales, with_revenue
+from ordermill.session import settled
 
 
 def customer_totals(lines: DataFrame) -> DataFrame:
@@ -60,10 +61,13 @@ def with_quantile_segment(customers: DataFrame, quantiles: dict = S.SEGMENT_QUAN
 
 
 def customer_segments_quantile(lines: DataFrame, quantiles: dict = S.SEGMENT_QUANTILES) -> DataFrame:
-    """Size, total and mean revenue and mean order count of the quantile segments."""
+    """Size, total and mean revenue and mean order count of the quantile segments.
+
+    The totals per customer are kept on shared storage: the quantiles and the segments both read them.
+    """
     n = F.count(F.lit(1))
     return (
-        with_quantile_segment(customer_totals(lines), quantiles)
+        with_quantile_segment(settled(customer_totals(lines)), quantiles)
         .groupBy("segment")
         .agg(
             n.alias("customer_count"),

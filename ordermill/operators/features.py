@@ -12,32 +12,33 @@ from ordermill.session import settled
 ENCODED = [f"{c}_encoded" for c in S.CATEGORY_FEATURES]
 FEATURES = S.NUMERIC_FEATURES + ENCODED
 RANGE_ENCODED = [f"{c}_encoded" for c in S.RANGE_FEATURES]
-BROADCAST_CODES = 100000
 
 
 def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
     """``feature, category, code``: the place of each category among the sorted ones.
 
-    Missing values are the category ``nan``. ``df`` is read once. Categories are ranked
-    within their first two characters and offset by the counts of the earlier ones, so no task
-    holds the whole dictionary of a column with very many categories.
+    Missing values are the category ``nan``. ``df`` is read once. The categories are sorted by ranges, ranked within
+    each range and offset by the counts of the earlier ranges, so no task holds the whole dictionary of a column with
+    very many categories, whatever they begin with. The finished dictionary is kept on shared storage.
     """
     cells = [
         F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("category"))
         for c in columns
     ]
-    categories = settled(df.select(F.inline(F.array(*cells))).distinct())
-    categories = categories.withColumn("initial", F.substring("category", 1, 2))
-    earlier = Window.partitionBy("feature").orderBy("initial").rowsBetween(Window.unboundedPreceding, -1)
+    spark = df.sparkSession
+    distinct = df.select(F.inline(F.array(*cells))).distinct()
+    ranges = distinct.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "feature", "category")
+    categories = settled(ranges.withColumn("part", F.spark_partition_id()))
+    earlier = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        categories.groupBy("feature", "initial")
+        categories.groupBy("feature", "part")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("feature", "initial", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        .select("feature", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     )
-    place = F.row_number().over(Window.partitionBy("feature", "initial").orderBy("category"))
-    return (
+    place = F.row_number().over(Window.partitionBy("feature", "part").orderBy("category"))
+    return settled(
         categories.withColumn("place", place)
-        .join(offsets, ["feature", "initial"])
+        .join(offsets, ["feature", "part"])
         .select("feature", "category", (F.col("before") + F.col("place") - 1).cast("int").alias("code"))
     )
 
@@ -45,17 +46,16 @@ def label_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
 def label_encode(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<column>_encoded``; categories that are not in the dictionary get 0.
 
-    A dictionary of up to ``BROADCAST_CODES`` entries, as counted here, is broadcast, so the
-    lines stay where they are however many share a category. A larger one is joined by shuffle.
+    How each look-up is joined is left to Spark, which broadcasts a dictionary that it measures as small and splits
+    the lines of a frequent category where it shuffles.
     """
-    small = dictionary.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES
     for c in columns:
         codes = dictionary.where(F.col("feature") == c).select(
             F.col("category").alias("_category"), F.col("code").alias("_code")
         )
         category = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
         df = (
-            df.join(F.broadcast(codes) if small else codes, category == F.col("_category"), "left")
+            df.join(codes, category == F.col("_category"), "left")
             .withColumn(f"{c}_encoded", F.coalesce("_code", F.lit(0)))
             .drop("_category", "_code")
         )
@@ -122,9 +122,9 @@ def prepare_ml_dataset(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     dictionary = label_dictionary(lines, S.RANGE_FEATURES)
     encoded = label_encode(lines, dictionary, S.RANGE_FEATURES)
     columns = S.NUMERIC_FEATURES + RANGE_ENCODED
-    rows = encoded.select(*columns, "Revenue", E.row_key().alias("row_key"))
+    rows = settled(encoded.select(*columns, "Revenue", E.row_key().alias("row_key")))
     train, test = train_test_split(rows, key=F.col("row_key"))
-    stats = scaling(train, columns)
+    stats = settled(scaling(train, columns))
     return standard_scale(train, stats, columns), standard_scale(test, stats, columns), dictionary
 
 

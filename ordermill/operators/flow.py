@@ -4,29 +4,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions import expressions as E
+from ordermill.session import settled
 
-SLOT_SECONDS = 3600
-
-
-def with_event_before(events: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def with_event_before(events: DataFrame) -> DataFrame:
     """Events ``order_id, kind, ts, seq`` with the struct ``before`` of the order's event before.
 
-    ``seq`` orders events of one instant. The lookup runs within time slots of an order, and
-    only the last event of each slot is carried to the next, so an order id with very many
-    events is spread over many tasks.
+    ``seq`` orders events of one instant; events without an order id count as those of one order. The events are dealt
+    out by ranges of order, time and seq, so an order with very many events lies in several ranges. The look-up runs
+    within a range, and only the last event of an order in each range is carried on to its next one. The dealt-out
+    events are kept on shared storage, as both steps read them.
     """
-    slotted = events.withColumn("slot", F.floor(F.unix_micros("ts") / (slot_seconds * 1000000)))
+    spark = events.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = events.select("order_id", "kind", "ts", "seq").repartitionByRange(ranges, "order_id", "ts", "seq")
+    dealt = settled(dealt.withColumn("part", F.spark_partition_id()))
     now = F.struct("kind", "ts")
-    last = slotted.groupBy("order_id", "slot").agg(F.max_by(now, F.struct("ts", "seq")).alias("last"))
+    last = dealt.groupBy("order_id", "part").agg(F.max_by(now, F.struct("ts", "seq")).alias("last"))
     carried = last.select(
-        "order_id",
-        "slot",
-        F.lag("last").over(Window.partitionBy("order_id").orderBy("slot")).alias("carried"),
+        F.col("order_id").alias("id"),
+        F.col("part").alias("range"),
+        F.lag("last").over(Window.partitionBy("order_id").orderBy("part")).alias("carried"),
     )
-    inside = F.lag(now).over(Window.partitionBy("order_id", "slot").orderBy("ts", "seq"))
+    inside = F.lag(now).over(Window.partitionBy("order_id", "part").orderBy("ts", "seq"))
     return (
-        slotted.withColumn("inside", inside)
-        .join(carried, ["order_id", "slot"])
+        dealt.withColumn("inside", inside)
+        .join(carried, F.col("order_id").eqNullSafe(F.col("id")) & (F.col("part") == F.col("range")))
         .select("order_id", "kind", "ts", "seq", F.coalesce("inside", "carried").alias("before"))
     )
 
@@ -36,13 +38,13 @@ def closes_order() -> Column:
     return (F.col("kind") == "complete") & (F.col("before.kind") == "arrive")
 
 
-def match_lifecycle(events: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def match_lifecycle(events: DataFrame) -> DataFrame:
     """Completed orders: arrival, completion and lead time.
 
     An order that arrives again while it is open counts from the later arrival.
     """
     return (
-        with_event_before(events, slot_seconds)
+        with_event_before(events)
         .where(closes_order())
         .select("order_id", F.col("before.ts").alias("arrival_time"), F.col("ts").alias("completion_time"))
         .withColumn("lead_time_minutes", lead_micros() / 60000000)

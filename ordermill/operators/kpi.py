@@ -36,10 +36,25 @@ def mean_revenue() -> Column:
     return E.mean(F.sum("Revenue"), F.count("Revenue"))
 
 
+def latest_day(lines: DataFrame) -> Column:
+    """The latest date with lines, as a scalar that reads ``InvoiceDate`` and what tells valid lines alone."""
+    return lines.agg(F.to_date(F.max("InvoiceDate"))).scalar()
+
+
+def from_day(lines: DataFrame, day: Column) -> DataFrame:
+    """Lines from the beginning of a date on.
+
+    The bound is on ``InvoiceDate`` itself, so it reaches the scan, and on ``Date`` where there is one, so that a
+    table with a folder for each date is pruned.
+    """
+    late = lines.where(F.col("InvoiceDate") >= day.cast("timestamp"))
+    return late.where(F.col("Date") >= day) if "Date" in lines.columns else late
+
+
 def on_date(lines: DataFrame, target_date=None) -> DataFrame:
     """Lines of one date, by default the latest one."""
-    latest = lines.agg(F.max("Date")).scalar()
-    return lines.where(F.col("Date") == (latest if target_date is None else F.lit(target_date).cast("date")))
+    day = latest_day(lines) if target_date is None else F.lit(target_date).cast("date")
+    return from_day(lines, day).where(F.col("InvoiceDate") < F.date_add(day, 1).cast("timestamp"))
 
 
 def daily_breakdown(lines: DataFrame, top: int = 3, dimensions: dict = DAY_DIMENSIONS) -> DataFrame:
@@ -82,8 +97,9 @@ def peak_hour(lines: DataFrame, by: tuple = ("Date",)) -> DataFrame:
     )
 
 
-def daily_counts(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("Date").agg(
+def counts_and_totals() -> list[Column]:
+    """Measures of a date's lines."""
+    return [
         rows().alias("total_orders"),
         total_revenue().alias("total_revenue"),
         F.count_distinct("CustomerID").alias("unique_customers"),
@@ -91,11 +107,19 @@ def daily_counts(lines: DataFrame) -> DataFrame:
         mean_revenue().alias("avg_order_value"),
         F.sum("Quantity").alias("total_quantity"),
         F.count_distinct("Country").alias("countries_served"),
-    )
+    ]
+
+
+def daily_counts(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("Date").agg(*counts_and_totals())
 
 
 def daily_metrics_by_date(lines: DataFrame) -> DataFrame:
-    return daily_counts(lines).join(peak_hour(lines), "Date")
+    """``daily_counts`` with the peak hour, from one read: the revenue of each hour is one more sum of the date."""
+    hours = [F.struct(F.sum(F.when(F.col("Hour") == h, F.col("Revenue"))).alias("revenue"), F.lit(-h).alias("hour")) for h in range(24)]
+    best = F.array_max(F.filter(F.array(*hours), lambda h: h["revenue"].isNotNull()))
+    daily = lines.groupBy("Date").agg(*counts_and_totals(), best.alias("best"))
+    return daily.select("*", (-F.col("best.hour")).alias("peak_hour"), F.col("best.revenue").alias("peak_hour_revenue")).drop("best")
 
 
 def daily_metrics(lines: DataFrame, target_date=None) -> DataFrame:
@@ -112,31 +136,29 @@ def daily_document(lines: DataFrame, target_date=None) -> DataFrame:
         ranked = F.sort_array(F.collect_list(F.when(F.col("dimension") == dimension, entry)))
         return F.transform(ranked, lambda e: F.struct(e[name].alias(name), e["revenue"].alias("revenue")))
 
-    first_hour = (F.col("dimension") == "hour") & (F.col("place") == 1)
+    customers, products, countries = [{d: DAY_DIMENSIONS[d]} for d in ("customer", "product", "country")]
     tops = (
-        daily_breakdown(day)
+        daily_breakdown(day, dimensions=customers | products | countries)
         .groupBy("Date")
         .agg(
-            F.max(F.when(first_hour, F.col("key").cast("int"))).alias("peak_hour"),
-            F.max(F.when(first_hour, F.col("revenue"))).alias("peak_hour_revenue"),
             best("customer", F.col("key").cast("bigint"), "customer_id").alias("top_customers"),
             best("product", F.col("key"), "product_code").alias("top_products"),
             best("country", F.col("key"), "country").alias("top_countries"),
         )
     )
-    return daily_counts(day).join(tops, "Date")
+    return daily_metrics_by_date(day).join(tops, "Date")
 
 
 def daily_trends(raw: DataFrame, days: int | None = 7) -> DataFrame:
     """Per date lines, revenue, customers, products and mean; the newest ``days`` dates or all.
 
-    The newest dates are found first, so that the distinct counts only see their lines.
+    The newest dates are found first, by the lines of each date, so that the distinct counts only see their lines.
     """
     lines = raw.transform(valid_sales, require_date=False).withColumn("order_date", F.to_date("InvoiceDate"))
     if days is not None:
-        dates = lines.select("order_date").distinct()
-        newest = dates.where(F.col("order_date").isNotNull()).orderBy(F.desc("order_date")).limit(days)
-        lines = lines.where(F.col("order_date") >= newest.agg(F.min("order_date")).scalar())
+        dates = lines.where(F.col("InvoiceDate").isNotNull()).groupBy("order_date").agg(F.lit(1))
+        newest = dates.orderBy(F.desc("order_date")).limit(days)
+        lines = from_day(lines, newest.agg(F.min("order_date")).scalar())
     return lines.transform(with_revenue).groupBy("order_date").agg(
         rows().alias("total_orders"),
         total_revenue().alias("total_revenue"),
@@ -148,8 +170,7 @@ def daily_trends(raw: DataFrame, days: int | None = 7) -> DataFrame:
 
 def last_days(lines: DataFrame, days: int = 7) -> DataFrame:
     """Lines of the ``days`` calendar days that end at the latest date."""
-    latest = lines.agg(F.max("Date")).scalar()
-    return lines.where(F.col("Date") >= F.date_sub(latest, days - 1))
+    return from_day(lines, F.date_sub(latest_day(lines), days - 1))
 
 
 def weekly_trends(lines: DataFrame) -> DataFrame:
@@ -161,14 +182,14 @@ def weekly_trends(lines: DataFrame) -> DataFrame:
     )
 
 
+def growth(column: str, time: str) -> Column:
+    """Change of a measure from the first to the last point of a series in percent; 0 for fewer than two points."""
+    first, last = F.min_by(column, time), F.max_by(column, time)
+    return F.when(rows() < 2, F.lit(0).cast(change_type())).otherwise(E.percent((last - first), first))
+
+
 def growth_rate(series: DataFrame, time: str, columns: list[str]) -> DataFrame:
-    """Change from the first to the last point in percent; 0 for fewer than two points."""
-    measures = []
-    for c in columns:
-        first, last = F.min_by(c, time), F.max_by(c, time)
-        change = E.percent((last - first), first)
-        measures.append(F.when(rows() < 2, F.lit(0).cast(change_type())).otherwise(change).alias(f"{c}_growth"))
-    return series.agg(*measures)
+    return series.agg(*[growth(c, time).alias(f"{c}_growth") for c in columns])
 
 
 def change_type() -> str:
@@ -177,16 +198,12 @@ def change_type() -> str:
 
 def weekly_total(lines: DataFrame) -> DataFrame:
     """Bounds and revenue of the last week with its revenue and order growth."""
-    week = weekly_trends(lines)
-    total = week.agg(
+    return weekly_trends(lines).agg(
         F.date_sub(F.max("Date"), 6).alias("week_start"),
         F.max("Date").alias("week_end"),
         F.sum("revenue").alias("total_weekly_revenue"),
-    )
-    growth = growth_rate(week, "Date", ["revenue", "orders"])
-    growth = growth.select(F.struct("revenue_growth", "orders_growth").alias("g")).scalar()
-    return total.withColumn("g", growth).select(
-        "week_start", "week_end", "total_weekly_revenue", "g.revenue_growth", "g.orders_growth"
+        growth("revenue", "Date").alias("revenue_growth"),
+        growth("orders", "Date").alias("orders_growth"),
     )
 
 
@@ -197,24 +214,34 @@ def rolling_revenue(lines: DataFrame, days: int = 7) -> DataFrame:
     return daily.withColumn("trailing_revenue", F.sum("revenue").over(trailing))
 
 
-def growth_by(lines: DataFrame, key: str, time: str = "Month") -> DataFrame:
-    """Growth from the first to the last period of every ``key`` by revenue."""
-    sums = lines.groupBy(key, time).agg(total_revenue().alias("revenue"))
-    first, last = F.min_by("revenue", time), F.max_by("revenue", time)
-    change = F.when(rows() < 2, F.lit(0).cast(change_type())).otherwise(E.percent(last - first, first))
-    return sums.groupBy(key).agg(rows().alias("periods"), change.alias("revenue_growth"))
+def growth_by(lines: DataFrame, key: str, period: str = "month") -> DataFrame:
+    """Growth of every ``key`` from its first to its last period by revenue; a period is one of a certain year."""
+    sums = lines.groupBy(key, F.trunc("Date", period).alias("period")).agg(total_revenue().alias("revenue"))
+    return sums.groupBy(key).agg(rows().alias("periods"), growth("revenue", "period").alias("revenue_growth"))
 
 
 def business_metrics(lines: DataFrame) -> DataFrame:
-    n, days = rows(), F.count_distinct("Date")
-    return lines.agg(
+    """Totals and distinct counts over all lines.
+
+    Lines are first added up by customer, product, date and country, so that only these sums, not the lines, are
+    multiplied for the distinct counts.
+    """
+    each = lines.groupBy("CustomerID", "StockCode", "Date", "Country").agg(
+        rows().alias("n"),
+        total_revenue().alias("revenue"),
+        F.count("Revenue").alias("priced"),
+        F.min("InvoiceDate").alias("first"),
+        F.max("InvoiceDate").alias("last"),
+    )
+    n, days = F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("Date")
+    return each.agg(
         n.alias("total_transactions"),
-        total_revenue().alias("total_revenue"),
-        mean_revenue().alias("avg_order_value"),
+        F.sum("revenue").alias("total_revenue"),
+        E.mean(F.sum("revenue"), F.sum("priced")).alias("avg_order_value"),
         F.count_distinct("CustomerID").alias("unique_customers"),
         F.count_distinct("StockCode").alias("unique_products"),
         F.count_distinct("Country").alias("countries_served"),
-        F.timestamp_diff("DAY", F.min("InvoiceDate"), F.max("InvoiceDate")).alias("date_range_days"),
+        F.timestamp_diff("DAY", F.min("first"), F.max("last")).alias("date_range_days"),
         E.mean(n, days).alias("avg_daily_transactions"),
         F.least(F.lit(10000), F.floor(n / 100)).alias("recommended_batch_size"),
     )

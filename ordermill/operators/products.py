@@ -36,9 +36,10 @@ def top_products_by_quantity(lines: DataFrame, n: int = 5) -> DataFrame:
     return best.join(product_labels(named), "StockCode", "left").transform(truncate_text, "Description", 30)
 
 
-def first_products(raw: DataFrame, n: int = 200) -> DataFrame:
+def first_products(raw: DataFrame, n: int | None = 200) -> DataFrame:
+    """Product codes, the first ``n`` of them or all."""
     codes = raw.select("StockCode").where(F.col("StockCode").isNotNull()).distinct()
-    return codes.orderBy("StockCode").limit(n)
+    return codes if n is None else codes.orderBy("StockCode").limit(n)
 
 
 def price_patterns(raw: DataFrame, max_products: int | None = 200) -> DataFrame:
@@ -54,8 +55,8 @@ def price_patterns(raw: DataFrame, max_products: int | None = 200) -> DataFrame:
     )
 
 
-def distinct_values(raw: DataFrame, max_products: int = 200) -> DataFrame:
-    """First ``max_products`` product codes and all countries as rows ``kind, value``."""
+def distinct_values(raw: DataFrame, max_products: int | None = None) -> DataFrame:
+    """All product codes, or the first ``max_products``, and all countries as rows ``kind, value``."""
     products = first_products(raw, max_products).select(F.lit("product").alias("kind"), F.col("StockCode").alias("value"))
     countries = raw.select(F.lit("country").alias("kind"), F.col("Country").alias("value"))
     return products.unionByName(countries.where(F.col("value").isNotNull()).distinct())

@@ -1,4 +1,4 @@
-"""Data-quality profile and cleaning reports. Each report is one pass over the lines."""
+"""Data-quality profile and cleaning reports."""
 
 from functools import reduce
 
@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
-from ordermill.functions.quantiles import exact_quantiles
+from ordermill.functions.quantiles import exact_quantiles, scale_of, value_counts
 from ordermill.operators.cleaning import drop_critical_nulls, p99_limits, positive_lines
+from ordermill.session import settled
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: position, type, number and percentage of nulls."""
-    nulls = [F.count_if(F.col(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)]
-    once = df.agg(F.count(F.lit(1)).alias("rows"), *nulls)
-    cells = [
+def _null_counts(df: DataFrame) -> list:
+    return [F.count_if(F.col(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)]
+
+
+def _profile_cells(df: DataFrame) -> list:
+    return [
         F.struct(
             F.lit(i + 1).alias("position"),
             F.lit(f.name).alias("column_name"),
@@ -25,7 +27,12 @@ def column_profile(df: DataFrame) -> DataFrame:
         )
         for i, f in enumerate(df.schema)
     ]
-    return once.select(F.inline(F.array(*cells)))
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Per column: position, type, number and percentage of nulls."""
+    once = df.agg(F.count(F.lit(1)).alias("rows"), *_null_counts(df))
+    return once.select(F.inline(F.array(*_profile_cells(df))))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -40,38 +47,51 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def invalid_values(df: DataFrame) -> DataFrame:
-    return df.agg(
+def _invalid_counts() -> list:
+    return [
         F.count_if(F.col("Quantity") < 0).alias("negative_quantity"),
         F.count_if(F.col("Quantity") == 0).alias("zero_quantity"),
         F.count_if(F.col("UnitPrice") < 0).alias("negative_price"),
         F.count_if(F.col("UnitPrice") == 0).alias("zero_price"),
-    )
+    ]
+
+
+def invalid_values(df: DataFrame) -> DataFrame:
+    return df.agg(*_invalid_counts())
+
+
+def _invalid_dates(column: str):
+    return F.count_if(F.try_to_timestamp(column).isNull()).alias("invalid_dates")
 
 
 def invalid_dates(df: DataFrame, column: str = "InvoiceDate") -> DataFrame:
     """Dates that cannot be parsed, missing ones included."""
-    return df.agg(F.count_if(F.try_to_timestamp(column).isNull()).alias("invalid_dates"))
+    return df.agg(_invalid_dates(column))
 
 
 def iqr_outliers(df: DataFrame, columns: tuple = ("Quantity", "UnitPrice")) -> DataFrame:
-    """Per column: quartiles, Q3 + 1.5 IQR, values above it, and the maximum."""
-    quartiles = exact_quantiles(df, list(columns), [0.25, 0.75])
+    """Per column: quartiles, Q3 + 1.5 IQR, values above it, and the maximum.
+
+    ``df`` is read once, into the counts of its values, which everything else comes from.
+    """
+    counts = settled(value_counts(df, list(columns)))
+    quartiles = exact_quantiles(df, list(columns), [0.25, 0.75], counts=counts)
     cells = []
     for c in columns:
         q1, q3 = quartiles[c]
         limit = None if q1 is None else q3 + 1.5 * (q3 - q1)
+        own = F.when(F.col("name") == c, F.col("v") / F.lit(float(10 ** scale_of(df, c))))
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(q1).cast("double").alias("q1"),
                 F.lit(q3).cast("double").alias("q3"),
                 F.lit(limit).cast("double").alias("threshold"),
-                F.count_if(F.col(c).cast("double") > F.lit(limit).cast("double")).alias("outliers"),
-                F.max(c).cast("double").alias("max_value"),
+                F.coalesce(F.sum(F.when(own > F.lit(limit).cast("double"), F.col("n"))), F.lit(0)).alias("outliers"),
+                F.max(own).alias("max_value"),
             )
         )
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return counts.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def inconsistent_products(df: DataFrame) -> DataFrame:
@@ -81,6 +101,21 @@ def inconsistent_products(df: DataFrame) -> DataFrame:
     return named.agg(F.count_if(F.col("names") > 1).alias("products_with_multiple_descriptions"))
 
 
+def copies_and_names(df: DataFrame) -> DataFrame:
+    """``duplicate_rows`` and ``inconsistent_products`` in one row, from one read: equal rows are counted first, then
+    rows, copies and descriptions of each product."""
+    equal = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    products = equal.groupBy("StockCode").agg(
+        F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("extra"), F.count_distinct("Description").alias("names")
+    )
+    total, extra = [F.coalesce(F.sum(c), F.lit(0)) for c in ("rows", "extra")]
+    return products.agg(
+        extra.alias("duplicate_rows"),
+        E.percent(extra, total).alias("duplicate_pct"),
+        F.count_if(F.col("StockCode").isNotNull() & (F.col("names") > 1)).alias("products_with_multiple_descriptions"),
+    )
+
+
 def cleaning_steps(df: DataFrame, aggressive: bool = False) -> list:
     """Ordered ``(step, condition under which a line is removed there)`` of ``clean_for_ml``."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in S.CRITICAL_COLUMNS])
@@ -177,7 +212,7 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_report(df: DataFrame, date_column: str = "InvoiceDate") -> DataFrame:
-    """All checks as rows ``section, metric, column_name, value``."""
+    """All checks as rows ``section, metric, column_name, value``, from three reads of ``df``."""
 
     def long(section: str, frame: DataFrame, metrics: list[str], column=None) -> DataFrame:
         cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
@@ -186,12 +221,16 @@ def quality_report(df: DataFrame, date_column: str = "InvoiceDate") -> DataFrame
         return wide.select(F.lit(section).alias("section"), "metric", "column_name", "value")
 
     raw = df.select(*S.RAW_COLUMNS)
+    once = df.agg(F.count(F.lit(1)).alias("rows"), *_null_counts(raw), *_invalid_counts(), _invalid_dates(date_column))
+    # each of these is a row or two, and everything below reads them instead of the lines
+    once, copies = settled(once), settled(copies_and_names(raw))
+    profile = once.select(F.inline(F.array(*_profile_cells(raw))))
     parts = [
-        long("missing_values", column_profile(raw).where("null_count > 0"), ["null_count", "null_pct"], "column_name"),
-        long("duplicates", duplicate_rows(raw), ["duplicate_rows", "duplicate_pct"]),
-        long("invalid_values", invalid_values(raw), ["negative_quantity", "zero_quantity", "negative_price", "zero_price"]),
-        long("data_type_issues", invalid_dates(df, date_column), ["invalid_dates"]),
+        long("missing_values", profile.where("null_count > 0"), ["null_count", "null_pct"], "column_name"),
+        long("duplicates", copies, ["duplicate_rows", "duplicate_pct"]),
+        long("invalid_values", once, ["negative_quantity", "zero_quantity", "negative_price", "zero_price"]),
+        long("data_type_issues", once, ["invalid_dates"]),
         long("outliers", iqr_outliers(raw), ["outliers", "threshold", "max_value"], "column_name"),
-        long("inconsistencies", inconsistent_products(raw), ["products_with_multiple_descriptions"]),
+        long("inconsistencies", copies, ["products_with_multiple_descriptions"]),
     ]
     return reduce(DataFrame.unionByName, parts)

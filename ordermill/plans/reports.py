@@ -4,9 +4,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import expressions as E
+from ordermill.operators.cleaning import valid_sales
 from ordermill.operators.customers import customer_segments_fixed
 from ordermill.operators.kpi import daily_trends
 from ordermill.operators.products import product_performance
+from ordermill.session import settled
+
+
+READ = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID"]
+
+
+def _read_once(raw: DataFrame) -> DataFrame:
+    """Valid sales with the columns the sections need, kept on shared storage so that ``raw`` is read once."""
+    return settled(raw.select(*READ).transform(valid_sales, require_date=False))
 
 
 def analytics_report(raw: DataFrame) -> DataFrame:
@@ -16,6 +26,8 @@ def analytics_report(raw: DataFrame) -> DataFrame:
     a section does not have are null.
     """
 
+    raw = _read_once(raw)
+
     def section(name: str, frame: DataFrame, key: str, measures: dict) -> DataFrame:
         values = [F.col(column).cast("double").alias(measure) for measure, column in measures.items()]
         return frame.select(F.lit(name).alias("section"), F.col(key).cast("string").alias("key"), *values)
@@ -54,6 +66,7 @@ def analytics_report(raw: DataFrame) -> DataFrame:
 
 def analytics_summary(raw: DataFrame) -> DataFrame:
     """How much the report analysed, and revenue and orders of its days."""
+    raw = _read_once(raw)
     n = F.count(F.lit(1))
     segments = customer_segments_fixed(raw).agg(n).scalar()
     products = product_performance(raw).agg(n).scalar()

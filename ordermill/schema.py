@@ -9,7 +9,7 @@ RAW_ORDER_LINE = T.StructType(
         T.StructField("Description", T.StringType()),
         T.StructField("Quantity", T.IntegerType()),
         T.StructField("InvoiceDate", T.TimestampType()),
-        T.StructField("UnitPrice", T.DecimalType(10, 2)),
+        T.StructField("UnitPrice", T.DecimalType(18, 4)),
         T.StructField("CustomerID", T.LongType()),
         T.StructField("Country", T.StringType()),
     ]
@@ -26,9 +26,13 @@ RAW_ORDER_TEXT = T.StructType(
 )
 
 MONEY = "decimal(18,2)"
+#: Prices have up to four digits after the point, so revenue has too; only results are rounded.
+REVENUE = "decimal(18,4)"
 
 # Defaults and lookup tables that results depend on.
 CRITICAL_COLUMNS = ["CustomerID", "InvoiceDate", "Quantity", "UnitPrice"]
+MESSAGE_COLUMNS = ["InvoiceNo", "Quantity", "UnitPrice"]
+DATE_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss"]
 ANONYMOUS_CUSTOMER = 99999
 UNKNOWN_PRODUCT = "Unknown Product"
 UNKNOWN = "Unknown"
@@ -55,6 +59,7 @@ METRIC_THRESHOLDS = {
     "memory": (80.0, 95.0),
     "api_response": (1000.0, 5000.0),
 }
+SYSTEM_METRICS = {"cpu": "CPU", "memory": "memory"}
 DEFAULT_THRESHOLDS = (80.0, 95.0)
 NUMERIC_FEATURES = [
     "Quantity",
@@ -67,6 +72,7 @@ NUMERIC_FEATURES = [
 ]
 CATEGORY_FEATURES = ["Country", "PriceCategory", "QuantityCategory"]
 RANGE_FEATURES = ["Country", "PriceRange", "QuantityRange"]
+# The scorer's defaults, and those of the batch job, which leaves month and country to the scorer.
 REQUEST_DEFAULTS = {
     "quantity": 1,
     "unit_price": 10.0,
@@ -75,3 +81,4 @@ REQUEST_DEFAULTS = {
     "month": 6,
     "country": "United Kingdom",
 }
+BATCH_REQUEST_DEFAULTS = {"quantity": 1, "unit_price": 0.0, "hour": 12, "day_of_week": 1}

@@ -1,6 +1,6 @@
 """Readers and writers of order lines, metrics and samples."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,43 @@ CSV = {
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
 
+def as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType = RAW_ORDER_LINE) -> DataFrame:
+    """Headered Latin-1 files with every field as text."""
+    return spark.read.schema(as_text(schema)).options(**CSV).csv(path)
+
+
+def read_json_text(spark: SparkSession, path: str, multi_line: bool = True, schema: T.StructType = RAW_ORDER_LINE) -> DataFrame:
+    """JSON arrays of orders, or with ``multi_line=False`` one order per line, with every field as text."""
+    return spark.read.schema(as_text(schema)).json(path, multiLine=multi_line)
+
+
+def typed_orders(text: DataFrame, schema: T.StructType = RAW_ORDER_LINE) -> DataFrame:
+    """Text fields as their types; a field that isn't of its type is null. Works on streams too."""
+    return text.select(*[E.typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def untyped_fields(schema: T.StructType = RAW_ORDER_LINE) -> Column:
+    """Names of the fields that hold something which isn't of their type."""
+    bad = [
+        F.when((F.trim(f.name) != "") & E.typed(F.col(f.name), f.dataType).isNull(), f.name)
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    return F.array_compact(F.array(*bad))
+
+
+def rejected_orders(text: DataFrame, schema: T.StructType = RAW_ORDER_LINE) -> DataFrame:
+    """Lines of which ``typed_orders`` nulls a field, as text, with the names of those fields."""
+    return text.withColumn("rejected_fields", untyped_fields(schema)).where(F.size("rejected_fields") > 0)
+
+
 def read_orders_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_ORDER_LINE) -> DataFrame:
-    """Headered Latin-1 files; a field that does not fit its type is null."""
-    return spark.read.schema(schema).options(**CSV).csv(path)
+    """Headered Latin-1 files; a field that does not fit its type is null (``rejected_orders`` tells which)."""
+    return typed_orders(read_csv_text(spark, path, schema), schema)
 
 
 def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -32,7 +66,7 @@ def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
 def read_orders_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Files that hold one JSON array of orders each, or with ``multi_line=False`` one order per
     line, which Spark can split among tasks."""
-    return spark.read.schema(RAW_ORDER_LINE).options(**JSON).json(path, multiLine=multi_line)
+    return typed_orders(read_json_text(spark, path, multi_line))
 
 
 def write_csv(df: DataFrame, folder: str, run_id: str) -> str:
@@ -49,9 +83,13 @@ def write_json_doc(df: DataFrame, folder: str, run_id: str) -> str:
     return path
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append rows with the time of processing. Later rows may bring new columns."""
-    metrics.withColumn("processing_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """Add the rows of a run with the time of processing; the same run again replaces its rows.
+
+    Later runs may bring new columns.
+    """
+    rows = metrics.withColumn("processing_timestamp", F.current_timestamp())
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -89,39 +127,7 @@ def publish_orders(orders: DataFrame, path: str | None = None, **kafka) -> None:
         writer.format("kafka").options(**kafka).save()
 
 
-def dataset_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Name, size and time of change of every file under ``paths``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.regexp_extract("path", "(.*)/[^/]*$", 1).alias("folder"),
-        F.col("length").alias("size_bytes"),
-        F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"),
-        F.col("modificationTime").alias("modified"),
-    )
-
-
 def file_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows per parquet file under ``path``."""
     rows = spark.read.schema(schema).parquet(path)
     return rows.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def folder_inventory(files: DataFrame) -> DataFrame:
-    return files.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.round(F.sum("size_bytes") / (1024 * 1024), 2).alias("total_size_mb"),
-    )
-
-
-def completeness(files: DataFrame, expected: list[str]) -> DataFrame:
-    """Per expected file whether it exists, with the share of those that do."""
-    spark = files.sparkSession
-    wanted = spark.createDataFrame([(name,) for name in expected], "file_name string")
-    sizes = files.groupBy("file_name").agg(F.max("size_bytes").alias("size_bytes"))
-    found = wanted.join(sizes, "file_name", "left")
-    return found.select(
-        "file_name",
-        F.col("size_bytes").isNotNull().alias("exists"),
-        F.when(F.col("size_bytes").isNotNull(), "healthy").otherwise("missing").alias("status"),
-    )

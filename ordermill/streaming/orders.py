@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ordermill import schema as S
 from ordermill.operators.cleaning import clean_for_streaming, with_revenue
 from ordermill.operators.scoring import score_orders
-from ordermill.sources.orders import JSON
+from ordermill.sources.orders import as_text, typed_orders, untyped_fields
 
 
 def read_order_stream(spark: SparkSession, path: str | None = None, files_per_batch: int = 1000, **kafka) -> DataFrame:
@@ -25,20 +25,24 @@ def read_order_stream(spark: SparkSession, path: str | None = None, files_per_ba
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Payload with its order; a payload that is not a JSON order has no order."""
-    schema = T.StructType([*S.RAW_ORDER_LINE.fields, T.StructField("_corrupt", T.StringType())])
-    order = F.from_json("value", schema, {**JSON, "columnNameOfCorruptRecord": "_corrupt"})
-    return messages.select("value", order.alias("o"))
+    """Payload with its order as text fields, and whether it is one: JSON whose fields are of their types, with an
+    invoice, a quantity and a price."""
+    schema = T.StructType([*as_text(S.RAW_ORDER_LINE).fields, T.StructField("_corrupt", T.StringType())])
+    order = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    fields = messages.select("value", order.alias("o")).select("value", "o.*", F.col("o").isNull().alias("_none"))
+    whole = ~F.col("_none") & F.col("_corrupt").isNull() & (F.size(untyped_fields()) == 0)
+    for name in S.MESSAGE_COLUMNS:
+        whole = whole & (F.coalesce(F.trim(name), F.lit("")) != "")
+    return fields.withColumn("_whole", whole)
 
 
 def parse_orders(messages: DataFrame) -> DataFrame:
-    good = _parsed(messages).where(F.col("o").isNotNull() & F.col("o._corrupt").isNull())
-    return good.select(*[F.col(f"o.{c}").alias(c) for c in S.RAW_COLUMNS])
+    return _parsed(messages).where("_whole").transform(typed_orders)
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
     """Payloads that ``parse_orders`` leaves out."""
-    return _parsed(messages).where(F.col("o").isNull() | F.col("o._corrupt").isNotNull()).select("value")
+    return _parsed(messages).where("not _whole").select("value")
 
 
 def stream_revenue(orders: DataFrame) -> DataFrame:

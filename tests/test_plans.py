@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import QUERIES
 from ordermill.operators import customers, kpi, products, quality
 from ordermill.session import fresh_path
-from ordermill.sources.warehouse import retail_raw
+from checks.warehouse import retail_raw
 
 LAZY = [
     "daily_trends",

@@ -7,9 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ordermill.functions.expressions import row_key
 from ordermill.functions.picking import latest_n, sample_n, top_n
 from ordermill.functions.quantiles import exact_quantiles
-from ordermill.operators.flow import littles_law, match_lifecycle, open_orders
+from ordermill.operators.features import label_dictionary
+from ordermill.operators.flow import littles_law, match_lifecycle, open_orders, with_event_before
+from ordermill.operators.metrics import latest_metrics, latest_per_metric
 
 FRACTIONS = [0.0, 0.25, 0.33, 0.5, 0.67, 0.95, 0.99, 1.0]
 
@@ -90,16 +93,53 @@ def as_frame(spark, events):
     return df.withColumn("ts", F.timestamp_seconds("t")).drop("t")
 
 
-@pytest.mark.parametrize("slot", [1, 600, 10**6])
-def test_flow_matches_replay_for_any_slot(spark, slot):
+def test_flow_matches_replay(spark):
     events = lifecycle(3000)
     still, done = replay(events)
     df = as_frame(spark, events)
-    got = match_lifecycle(df, slot).select("order_id", F.unix_seconds("arrival_time"), F.unix_seconds("completion_time"))
+    got = match_lifecycle(df).select("order_id", F.unix_seconds("arrival_time"), F.unix_seconds("completion_time"))
     assert rows(got) == sorted(done, key=repr)
     assert rows(open_orders(df).select("order_id", F.unix_seconds("arrival_time"))) == sorted(still.items(), key=repr)
 
 
+def test_one_order_in_one_instant_lies_in_several_ranges(spark):
+    """A hot order id, all of its events in one second, and events without an id."""
+    events = [("hot", ("arrive", "complete")[i % 2], 5, i) for i in range(8000)]
+    events += [(None, "arrive", 1, 9000), (None, "complete", 61, 9001)]
+    got = match_lifecycle(as_frame(spark, events).repartition(8))
+    assert got.groupBy("order_id").count().orderBy("order_id").collect() == [(None, 1), ("hot", 4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = with_event_before(as_frame(spark, events).repartition(8)).groupBy(F.spark_partition_id()).count()
+        assert sizes.agg(F.max("count")).first()[0] < 6000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_one_common_prefix_of_labels_lies_in_several_ranges(spark):
+    df = spark.range(4000).select(F.format_string("SKU-%06d", F.col("id") * 7 % 4000).alias("code"))
+    got = label_dictionary(df.union(spark.createDataFrame([(None,)], "code string")), ["code"])
+    want = sorted([*(f"SKU-{k:06d}" for k in range(4000)), "nan"])
+    assert [r["category"] for r in got.orderBy("code").collect()] == want
+    assert [r["code"] for r in got.orderBy("code").collect()] == list(range(4001))
+
+
+def test_one_metric_over_many_partitions(spark):
+    df = spark.range(0, 200_000, numPartitions=200).select(
+        F.col("id").alias("reading_id"), F.timestamp_seconds(F.col("id") * 7919 % 200_000).alias("ts"),
+        F.lit("cpu").alias("metric"), F.lit(1.0).alias("value"),
+    )
+    want = [r["reading_id"] for r in df.orderBy(F.desc("ts"), F.desc("reading_id")).limit(100).collect()]
+    assert [r["reading_id"] for r in latest_per_metric(df).orderBy("place").collect()] == want
+    assert {r["reading_id"] for r in latest_metrics(df).collect()} == set(want)
+
+
+def test_rows_that_differ_in_country_alone_have_other_keys(orders):
+    line = ("1", "A", "x", 2, "2024-01-01 10:00:00", 1.5, 7)
+    keys = orders((*line, "UK"), (*line, "US"), (*line, None), (*line, "UK"), ("1", "A", None, 2, None, 1.5, 7, "xUK"))
+    assert keys.select(row_key().alias("k")).distinct().count() == 4
+
+
 def test_littles_law_window_starts_after_its_bound(spark):
     minute = 60
     events = [("a", "arrive", 0, 1), ("a", "complete", 30 * minute, 2), ("b", "arrive", 10 * minute, 3),

@@ -5,9 +5,10 @@ import json
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ordermill.operators import model
+from ordermill.operators import cleaning, model
 from ordermill.session import fresh_path
 from ordermill.sources import orders as O
+from ordermill.streaming import orders as stream
 
 
 def test_latin1_csv_with_bad_fields(spark, tmp_path):
@@ -25,10 +26,47 @@ def test_json_array_file(spark, tmp_path):
     assert rows(got.select("InvoiceNo", F.hour("InvoiceDate"))) == [("0", 10), ("1", 10), ("2", 10)]
 
 
-def test_missing_files_show_in_the_inventory(spark, small):
-    files = O.dataset_inventory(spark, [small])
-    found = {r["file_name"]: r["status"] for r in O.completeness(files, ["orders.parquet", "gone.parquet"]).collect()}
-    assert found == {"orders.parquet": "healthy", "gone.parquet": "missing"}
+LINES = """InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country
+1,A,x,2,12/1/2010 8:26,1.50,17850.0,UK
+2,A,x,2,2010-12-01 08:26,0.001,17850,UK
+3,A,x,2.0,2010-12-01 08:26:00.5,0.055, 17850 ,UK
+4,A,x,2,2010-12-01T08:26:00.123456,1e-3,17850.5,UK
+5,A,x,two,soon,free,,UK
+6,A,x,,,,,UK
+"""
+
+
+def test_every_field_is_typed_or_told(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text(LINES)
+    got = O.read_orders_csv(spark, str(tmp_path))
+    parts = got.select("InvoiceNo", "Quantity", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm"), F.col("UnitPrice").cast("string"), "CustomerID")
+    day = "2010-12-01 08:26"
+    assert rows(parts) == [
+        ("1", 2, day, "1.5000", 17850),
+        ("2", 2, day, "0.0010", 17850),
+        ("3", 2, day, "0.0550", 17850),
+        ("4", 2, day, "0.0010", None),
+        ("5", None, None, None, None),
+        ("6", None, None, None, None),
+    ]
+    rejected = O.rejected_orders(O.read_csv_text(spark, str(tmp_path)))
+    assert rows(rejected, "InvoiceNo", "rejected_fields") == [("4", ["CustomerID"]), ("5", ["Quantity", "InvoiceDate", "UnitPrice"])]
+    priced = got.transform(cleaning.valid_sales).transform(cleaning.with_revenue)
+    assert rows(priced.select("InvoiceNo", F.col("Revenue").cast("string"))) == [("1", "3.0000"), ("2", "0.0020"), ("3", "0.1100")]
+
+
+def test_messages_without_amounts_are_dead(spark):
+    whole = json.dumps({"InvoiceNo": "1", "Quantity": 2, "UnitPrice": 0.055, "InvoiceDate": "2024-01-01T10:00:00.123456", "CustomerID": 17850.0})
+    messages = spark.createDataFrame([(whole,), ("{}",), ('{"Quantity": 2}',), ('{"InvoiceNo": "1", "Quantity": "x", "UnitPrice": 1}',)], "value string")
+    parsed = stream.parse_orders(messages)
+    assert rows(parsed.select("InvoiceNo", "Quantity", F.col("UnitPrice").cast("string"), F.minute("InvoiceDate"), "CustomerID")) == [("1", 2, "0.0550", 0, 17850)]
+    assert stream.dead_letters(messages).count() == 3
+
+
+def test_a_run_that_is_tried_again_replaces_its_metrics(spark, tmp_path):
+    for run in ("a", "b", "a"):
+        O.append_metrics(spark.createDataFrame([(run, 1)], "run string, n int"), str(tmp_path), run)
+    assert rows(O.read_metrics(spark, str(tmp_path)), "run", "n") == [("a", 1), ("b", 1)]
 
 
 def test_model_survives_saving(spark):
