@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,8 @@ from ordermill.llm.store import dropped, written
 #: Bytes of text of a block. One document alone may be longer; memory for a pass is some 60 bytes for each of these.
 BLOCK = 1 << 21
 #: Bytes of text for each bucket of keys.
-BUCKET = 1 << 24
+BUCKET = 1 << 23
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: The order of documents without an id: after all others.
 LAST = np.iinfo(np.int64).max
 
@@ -90,7 +92,7 @@ def _answer(group: pa.Table) -> pa.Table:
     """Bits for each packed row of a bucket: whether another block has the key, or one of smaller order has it."""
     got = [_unpack(k, o) for k, o in zip(group.column("keys").to_pylist(), group.column("orders").to_pylist(), strict=True)]
     keys = np.concatenate([k for k, _ in got])
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
     head = np.flatnonzero(new)
     if got[0][1] is None:
@@ -178,7 +180,8 @@ class Corpus:
         sent = self._blocks().mapInArrow(send, "bucket bigint, part bigint, block bigint, keys binary, orders binary")
         told = sent.groupBy("bucket").applyInArrow(_answer, "part bigint, block bigint, bucket bigint, bits binary")
         told = told.where("bits is not null").groupBy("part").agg(F.collect_list(F.struct("block", "bucket", "bits")).alias("answers"))
-        self.replies.append(written(told, "replies"))
+        with self._short_batches():
+            self.replies.append(written(told, "replies"))
 
     def result(self, finish: Callable[[Block, list], pa.RecordBatch], schema: str, name: str) -> DataFrame:
         """One last pass over the blocks with all replies, written to the shared folder; then the blocks go."""
@@ -187,10 +190,21 @@ class Corpus:
             for rows, replies, _, _ in _each(batches):
                 yield finish(Block(rows), replies)
 
-        out = written(self._blocks().mapInArrow(run, schema), name)
+        with self._short_batches():
+            out = written(self._blocks().mapInArrow(run, schema), name)
         self.close()
         return out
 
+    @contextmanager
+    def _short_batches(self):
+        """Meanwhile Arrow batches hold a few blocks only, as Python and the executor both keep a copy of one."""
+        before = self.spark.conf.get(BATCH)
+        self.spark.conf.set(BATCH, str(4 * BLOCK))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(BATCH, before)
+
     def close(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         for reply in self.replies:

@@ -88,13 +88,13 @@ class Windows:
         self.starts, self.lengths = np.concatenate([empty, *self.starts]), np.concatenate([empty, *self.lengths])
         anchors = np.concatenate([np.empty(0, np.uint64), *anchors])
         document = np.searchsorted(block.offsets, self.starts, side="right") - 1
-        order = np.argsort(anchors, kind="stable")
+        order = np.argsort(anchors)
         new = np.ones(len(order), dtype=bool)
         new[1:] = anchors[order[1:]] != anchors[order[:-1]]
         head = np.flatnonzero(new)
         self.anchors = anchors[order[head]]
-        last = np.append(head[1:], len(order)) - 1
-        self.shared = block.ids[document[order[head]]] != block.ids[document[order[last]]] if len(order) else np.empty(0, bool)
+        own = block.ids[document[order]]
+        self.shared = np.minimum.reduceat(own, head) != np.maximum.reduceat(own, head) if len(order) else np.empty(0, bool)
         self.number = np.empty(len(order), np.int64)
         self.number[order] = np.cumsum(new) - 1
 
@@ -122,10 +122,11 @@ class Survivors:
                 sums = tx.prefix_sums(block.data[a : a + CHUNK + threshold])
                 digests[i:j] = tx.run_hashes(sums, places[i:j] - a, places[i:j] - a + threshold)
         ids = block.ids[np.searchsorted(block.offsets, places, side="right") - 1]
-        order = np.argsort(digests, kind="stable")
+        order = np.argsort(digests)
         new = np.ones(len(order), dtype=bool)
         new[1:] = digests[order[1:]] != digests[order[:-1]]
-        head = order[new]  # the first place of each group, so of the smallest id
+        # the first place of each group, so of the smallest id
+        head = np.minimum.reduceat(order, np.flatnonzero(new)) if len(order) else order
         self.group = np.empty(len(order), np.int64)
         self.group[order] = np.cumsum(new) - 1
         self.later = ids > ids[head][self.group] if len(order) else np.empty(0, bool)
@@ -165,9 +166,8 @@ def repeated_bytes(docs: DataFrame, finish, schema: str, name: str, threshold: i
         _, _, gone = whole_copies(block, threshold, buckets, replies[0])
         left = survivors(block, replies)
         places = left.removed(answered(left.digests, buckets, replies[2]))
-        edge = np.zeros(len(block.data) + 1, np.int32)
-        np.add.at(edge, places, 1)
-        np.add.at(edge, places + threshold, -1)
+        n = len(block.data) + 1
+        edge = np.bincount(places, minlength=n) - np.bincount(places + threshold, minlength=n)
         removed = np.cumsum(edge[:-1]) > 0
         removed |= np.repeat(gone, block.sizes)
         return finish(block, removed)
