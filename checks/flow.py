@@ -214,6 +214,16 @@ def messages(spark, folder):
     return stream.read_order_stream(spark, path)
 
 
+def yearly_messages(spark, folder):
+    """The same payloads with one file for each year, written one after the other."""
+    path = fresh_path(spark, "messages")
+    lines_of = raw(spark, folder)
+    years = [r["y"] for r in lines_of.select(F.year("InvoiceDate").alias("y")).distinct().orderBy("y").collect()]
+    for year in years:
+        order_messages(lines_of.where(F.year("InvoiceDate").eqNullSafe(F.lit(year)))).coalesce(1).write.mode("append").text(path)
+    return path
+
+
 def appended(spark, streamed):
     """Run a stream of finished rows to its end and read what it wrote."""
     path = fresh_path(spark, "stream")
@@ -306,11 +316,12 @@ def windowed_revenue(spark, folder):
 
 @query("stream_windowed_revenue", f"with {RAW}, {SOLD} {HOURS}")
 def stream_windowed_revenue(spark, folder):
-    """ST9 on the stream."""
+    """ST9 on the stream: a micro-batch for each year, in order, with the library's watermark."""
     path = fresh_path(spark, "windows")
-    orders = stream.stream_revenue(stream.stream_clean(stream.parse_orders(messages(spark, folder))))
+    payloads = stream.read_order_stream(spark, yearly_messages(spark, folder), files_per_batch=1)
+    orders = stream.stream_revenue(stream.stream_clean(stream.parse_orders(payloads)))
     sinks = {"windows": lambda batch: batch}
-    stream.write_batches(stream.windowed_revenue(orders, lateness="3650 days"), sinks, path, "update").awaitTermination()
+    stream.write_batches(stream.windowed_revenue(orders), sinks, path, "update").awaitTermination()
     return stream.latest_rows(spark.read.parquet(f"{path}/windows"), ["window_start"])
 
 
@@ -342,6 +353,6 @@ def stream_flow_windows(spark, folder):
     path = streamed_flow(spark, folder)
     schema = "order_id string, arrival_time timestamp, completion_time timestamp, lead_time_minutes double"
     completed = spark.readStream.schema(schema).parquet(f"{path}/completed/*")
-    windows = flow.flow_windows(completed.withWatermark("completion_time", "3650 days"))
+    windows = stream_flow.windowed_flow(completed)
     stream.write_batches(windows, {"windows": lambda batch: batch}, f"{path}/windowed", "update").awaitTermination()
     return stream.latest_rows(spark.read.parquet(f"{path}/windowed/windows"), ["window_start"])

@@ -1,7 +1,11 @@
 """Where jobs may write intermediate tables."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +30,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ordermill/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, where it isn't installed on them."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="ordermill-code-")  # the driver serves the file as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept on shared storage, where it outlives lost executors.
 

@@ -1,64 +1,113 @@
 """Order flow on streams: completed orders, open orders and windowed lead times.
 
-Every micro-batch is matched together with the orders still open after the batch before it,
-by the same ``match_lifecycle`` that serves batch tables. What carries over is the table of
-open orders only, written per batch id to shared storage, so a batch that is run again after
-a failure starts from the same state and replaces its own output.
+What carries over between micro-batches is the arrival of each open order, in Spark's keyed state on RocksDB: a batch
+reads and changes only the orders it has events of. A timer gives an order up that stays open for too long.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+
+from ordermill.operators.flow import flow_windows, lead_micros
+from ordermill.session import ship
+
+OPEN = "arrival_time timestamp, seq bigint"
+OUTCOME = "order_id string, arrival_time timestamp, completion_time timestamp"
+LATENESS = "10 minutes"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class OrderTracker(StatefulProcessor):
+    """Matches completions to arrivals, order by order.
+
+    An order that arrives again while it is open counts from the later arrival; a completion without an open order is
+    left out. Rows come out when an order completes, or without a completion when it is given up.
+    """
+
+    def __init__(self, give_up: timedelta | None):
+        self.give_up = give_up
 
-from ordermill.operators.flow import match_lifecycle, open_orders
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", OPEN)
 
-OPEN = "order_id string, arrival_time timestamp, seq bigint"
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrival = self.open.get() if self.open.exists() else None
+        for row in sorted(rows, key=lambda r: (r.ts, r.seq)):
+            if row.kind == "arrive":
+                arrival = (row.ts, row.seq)
+            elif arrival is not None:
+                yield Row(order_id=key[0], arrival_time=arrival[0], completion_time=row.ts)
+                arrival = None
+        if self.give_up is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+        if arrival is None:
+            self.open.clear()
+            return
+        self.open.update(tuple(arrival))
+        if self.give_up is not None:
+            self.handle.registerTimer(int((arrival[0] + self.give_up).timestamp() * 1000))
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.open.exists():
+            yield Row(order_id=key[0], arrival_time=self.open.get()[0], completion_time=None)
+            self.open.clear()
 
-def read_open(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """Orders that are open after a batch; none before the first."""
-    if batch_id < 0:
-        return spark.createDataFrame([], OPEN)
-    return spark.read.schema(OPEN).parquet(f"{folder}/open/batch_id={batch_id}")
+    def close(self) -> None:
+        pass
 
 
-def order_flow(events: DataFrame, folder: str, give_up: str | None = None) -> StreamingQuery:
+def order_flow(events: DataFrame, folder: str, give_up: timedelta | None = None, lateness: str = LATENESS) -> StreamingQuery:
     """Match a stream of lifecycle events ``order_id, kind, ts, seq``.
 
-    Completed orders go to ``folder/completed``, the open ones to ``folder/open``, both per
-    batch. With ``give_up``, such as ``7 days``, orders that are open for longer than that at
-    the time of the newest event are written to ``folder/expired`` instead of being kept.
+    Completed orders go to ``folder/completed``, per batch. With ``give_up`` orders that are open for longer than that
+    when the watermark, ``lateness`` behind the newest event, comes by are written to ``folder/expired`` and forgotten.
+    All events of one order in one micro-batch are sorted in one task.
     """
+    spark = events.sparkSession
+    ship(spark)
+    source = events.select("order_id", "kind", "ts", "seq")
+    if give_up is not None:
+        source = source.withWatermark("ts", lateness)
+    time = "none" if give_up is None else "eventTime"
+    outcomes = source.groupBy("order_id").transformWithState(OrderTracker(give_up), OUTCOME, "append", time)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        carried = read_open(spark, folder, batch_id - 1).select(
-            "order_id", F.lit("arrive").alias("kind"), F.col("arrival_time").alias("ts"), "seq"
-        )
-        events = batch.select("order_id", "kind", "ts", "seq").unionByName(carried).persist()
+        done = F.col("completion_time").isNotNull()
+        batch = batch.persist()
         try:
-            completed = match_lifecycle(events)
+            completed = batch.where(done).withColumn("lead_time_minutes", lead_micros() / 60000000)
             completed.write.mode("overwrite").parquet(f"{folder}/completed/batch_id={batch_id}")
-            still = open_orders(events)
             if give_up is not None:
-                newest = events.agg(F.max("ts")).scalar()
-                old = F.col("arrival_time") < newest - F.expr(f"interval {give_up}")
-                still.where(old).write.mode("overwrite").parquet(f"{folder}/expired/batch_id={batch_id}")
-                still = still.where(~old)
-            still.write.mode("overwrite").parquet(f"{folder}/open/batch_id={batch_id}")
+                expired = batch.where(~done).drop("completion_time")
+                expired.write.mode("overwrite").parquet(f"{folder}/expired/batch_id={batch_id}")
         finally:
-            events.unpersist()
+            batch.unpersist()
 
-    return (
-        events.writeStream.foreachBatch(step)
-        .option("checkpointLocation", f"{folder}/_checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        return (
+            outcomes.writeStream.foreachBatch(step)
+            .option("checkpointLocation", f"{folder}/_checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def last_open(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders that are open after the newest batch."""
-    written = spark.read.schema(OPEN + ", batch_id int").parquet(f"{folder}/open")
-    newest = written.agg(F.max("batch_id")).scalar()
-    return written.where(F.col("batch_id") == newest).drop("batch_id")
+    """Orders that are open after the newest batch, read from the state itself."""
+    state = spark.read.format("statestore").option("path", f"{folder}/_checkpoint").option("stateVarName", "open").load()
+    return state.select("key.order_id", "value.arrival_time", "value.seq")
+
+
+def windowed_flow(completed: DataFrame, minutes: int = 60, slide: int = 5, lateness: str = LATENESS) -> DataFrame:
+    """``flow_windows`` over a stream of completed orders; windows that the watermark has passed leave the state."""
+    return flow_windows(completed.withWatermark("completion_time", lateness), minutes, slide)

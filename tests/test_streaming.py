@@ -1,6 +1,7 @@
 """Streams: parsing, late rows, restarts and carried state."""
 
 import json
+from datetime import timedelta
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -73,10 +74,33 @@ def test_open_orders_carry_over_batches(spark):
 
 
 def test_orders_that_never_complete_expire(spark):
-    events = [("old", "arrive", 0, 1), ("new", "arrive", 9 * 86400, 2)]
+    """An order is given up when the watermark passes its time, unless it went on; its state goes."""
+    day = 86400
     path = fresh_path(spark, "expire")
-    as_frame(spark, events).select("order_id", "kind", "seq", "ts").write.parquet(f"{path}/in")
-    source = spark.readStream.schema("order_id string, kind string, seq bigint, ts timestamp").parquet(f"{path}/in")
-    flow.order_flow(source, f"{path}/flow", give_up="7 days").awaitTermination()
-    assert rows(flow.last_open(spark, f"{path}/flow"), "order_id") == [("new",)]
+    parts = [
+        [("old", "arrive", 0, 1), ("again", "arrive", 0, 2), ("done", "arrive", 0, 3)],
+        [("again", "arrive", 5 * day, 4), ("done", "complete", 6 * day, 5)],
+        [("new", "arrive", 9 * day, 6)],
+        [("other", "arrive", 9 * day + 1, 7)],
+    ]
+    for events in parts:
+        as_frame(spark, events).select("order_id", "kind", "seq", "ts").write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema("order_id string, kind string, seq bigint, ts timestamp").parquet(f"{path}/in")
+        flow.order_flow(source, f"{path}/flow", give_up=timedelta(days=7)).awaitTermination()
+    assert rows(flow.last_open(spark, f"{path}/flow"), "order_id") == [("again",), ("new",), ("other",)]
     assert rows(spark.read.parquet(f"{path}/flow/expired"), "order_id") == [("old",)]
+    assert rows(spark.read.parquet(f"{path}/flow/completed"), "order_id") == [("done",)]
+
+
+def test_windows_leave_the_state(spark):
+    """Of ten hours in as many batches, the state holds only the windows the watermark hasn't passed."""
+    path = fresh_path(spark, "evict")
+    for hour in range(10):
+        lines = [(payload("1", 1, 10.0, f"2024-01-01T{hour:02d}:{m:02d}:00"),) for m in (0, 30)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(f"{path}/in")
+    read = orders.stream_revenue(orders.parse_orders(orders.read_order_stream(spark, f"{path}/in", files_per_batch=1)))
+    query = orders.write_batches(orders.windowed_revenue(read), {"windows": lambda b: b}, f"{path}/out", "update")
+    query.awaitTermination()
+    left = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert left[-1] <= 2
+    assert orders.latest_rows(spark.read.parquet(f"{path}/out/windows"), ["window_start"]).count() == 10
