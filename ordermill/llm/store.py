@@ -5,31 +5,11 @@ They outlive lost executors, are read as often as needed, and cut lineage.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
-
-from ordermill.session import fresh_path
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, where it isn't installed on them."""
-    if spark.sparkContext.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent.parent
-    folder = tempfile.mkdtemp(prefix="ordermill-code-")  # the driver serves the file as long as it runs
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as out:
-        for file in sorted(root.rglob("*.py")):
-            out.write(file, file.relative_to(root.parent))
-    spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
-    _shipped.add(spark.sparkContext.applicationId)
+from pyspark.sql import DataFrame
+
+from ordermill.session import fresh_path, ship
+
+__all__ = ["dropped", "ship", "written"]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
