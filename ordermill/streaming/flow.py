@@ -4,20 +4,23 @@ What carries over between micro-batches is the arrival of each open order, in Sp
 reads and changes only the orders it has events of. A timer gives an order up that stays open for too long.
 """
 
+import sys
 from collections.abc import Iterator
 from datetime import timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ordermill.operators.flow import flow_windows, lead_micros
-from ordermill.session import ship
 
 OPEN = "arrival_time timestamp, seq bigint"
 OUTCOME = "order_id string, arrival_time timestamp, completion_time timestamp"
 LATENESS = "10 minutes"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# The tracker goes to the Python workers whole: those that set a stream up see no files the session was given.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -70,7 +73,6 @@ def order_flow(events: DataFrame, folder: str, give_up: timedelta | None = None,
     All events of one order in one micro-batch are sorted in one task.
     """
     spark = events.sparkSession
-    ship(spark)
     source = events.select("order_id", "kind", "ts", "seq")
     if give_up is not None:
         source = source.withWatermark("ts", lateness)

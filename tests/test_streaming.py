@@ -84,7 +84,8 @@ def test_orders_that_never_complete_expire(spark):
         [("other", "arrive", 9 * day + 1, 7)],
     ]
     for events in parts:
-        as_frame(spark, events).select("order_id", "kind", "seq", "ts").write.mode("append").parquet(f"{path}/in")
+        later = [(order, kind, t + 100 * day, seq) for order, kind, t, seq in events]
+        as_frame(spark, later).select("order_id", "kind", "seq", "ts").write.mode("append").parquet(f"{path}/in")
         source = spark.readStream.schema("order_id string, kind string, seq bigint, ts timestamp").parquet(f"{path}/in")
         flow.order_flow(source, f"{path}/flow", give_up=timedelta(days=7)).awaitTermination()
     assert rows(flow.last_open(spark, f"{path}/flow"), "order_id") == [("again",), ("new",), ("other",)]
