@@ -7,10 +7,11 @@ classes go on.
 
 In each bucket the smallest class is the centre and the others are candidates with it alone, so pairs grow with the
 documents, not with their square. Each candidate pair is confirmed on the full sets. A link between two members that
-aren't the centre isn't lost: as long as the remaining members of a bucket are in different components, the bucket
-goes on without its centres, with twice as many centres each time. Before that it is cut where distances from the
-first centre leave a gap of more than the link distance, since Jaccard distance is a metric: members on two sides of
-such a gap can't be linked. A bucket ends when its remaining members are in one component or alone.
+aren't the centre isn't lost: where the members of a bucket are in different components after that, they are compared
+with each other. Such a bucket is first cut where distances from the centre leave a gap of more than the link
+distance, since Jaccard distance is a metric: members on two sides of such a gap can't be linked. Then blocks of
+bounded size meet in pairs, a matrix product of their sets gives all intersections, and only links that join
+components leave the task.
 
 With ``BANDS`` = 26 bands of ``ROWS`` = 5 a pair at the threshold shares no bucket with a chance of 2e-7.
 """
@@ -32,6 +33,9 @@ SHINGLE = 5
 SIMILAR = 85
 BANDS, ROWS = 26, 5
 BINS = BANDS * ROWS
+#: Bytes of sets and number of documents of a block, and numbers of a matrix, where members are compared.
+BLOCK_BYTES, BLOCK_ROWS = 1 << 22, 1 << 11
+WIDE = 1 << 22
 
 #: First hash value of each bin, and for each bin the order in which it looks for a full one.
 EDGES = ((np.arange(BINS + 1, dtype=object) * (1 << 64)) // BINS)[:-1].astype(np.uint64)
@@ -128,35 +132,76 @@ def components(links: DataFrame) -> DataFrame:
     roots, until none joins two of them. All steps are joins and groups of tables in the shared folder.
     """
     ids = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
-    labels, edges = written(ids.withColumn("component", F.col("id")), "components"), links.select("a", "b")
+    labels, edges = ids.withColumn("component", F.col("id")), links.select("a", "b")
     while True:
-        edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        hooks = written(edges.groupBy("a").agg(F.min("b").alias("up")), "hooks")
-        if hooks.isEmpty():
+        higher, lower = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+        edges = written(edges.where("a != b").select(higher, lower).distinct(), "links")
+        if edges.isEmpty():
             return labels
-        for _ in range(3):
+        hooks = edges.groupBy("a").agg(F.min("b").alias("up"))
+        for _ in range(2):
+            hooks = written(hooks, "hooks")
             above = hooks.select(F.col("a").alias("up"), F.col("up").alias("higher"))
             hooks = hooks.join(above, "up", "left").select("a", F.coalesce("higher", "up").alias("up"))
         hooks = written(hooks, "hooks")
         moved = labels.join(hooks.withColumnRenamed("a", "component"), "component", "left")
-        labels = written(moved.select("id", F.coalesce("up", "component").alias("component")), "components")
-        for end in ("a", "b"):
+        labels = moved.select("id", F.coalesce("up", "component").alias("component"))
+        for end, other in (("a", "b"), ("b", "a")):
             own = hooks.select(F.col("a").alias(end), "up")
-            other = "b" if end == "a" else "a"
             edges = edges.join(own, end, "left").select(F.coalesce("up", end).alias(end), other)
-        edges = written(edges, "links")
 
 
 def _cut(members: DataFrame) -> DataFrame:
-    """Buckets cut where the distances from the first centre leave a gap wider than that of linked documents."""
+    """Buckets cut where the distances from the centre leave a gap wider than that of linked documents."""
     row = Window.partitionBy("bucket").orderBy("far", "id")
     gap = (F.col("far") - F.lag("far").over(row) > 1 - SIMILAR / 100 + 1e-9).cast("int")
-    part = F.sum(F.coalesce(gap, F.lit(0))).over(Window.partitionBy("bucket").orderBy("far", "id"))
+    part = F.sum(F.coalesce(gap, F.lit(0))).over(row)
     return members.withColumn("part", part).withColumn("bucket", F.xxhash64("bucket", "part")).drop("part")
 
 
+def _rest(group: pa.Table) -> pa.Table:
+    """Links between documents of different components, of one block or of two: as few as join what they join."""
+    block, component = group.column("block").to_numpy(), group.column("component").to_numpy()
+    ids, sets = group.column("id").to_numpy(), [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("shingles")]
+    low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+    one, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = (np.cumsum(shared) - 1)[number]
+    order = np.flatnonzero(shared[number])
+    order = order[np.argsort(column[order], kind="stable")]
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(one), len(other)), np.float32)
+    n_shared = int(shared.sum())
+    width = max(1, min(n_shared, WIDE // len(sets)))
+    for first in range(0, n_shared, width):
+        a, b = np.searchsorted(column, [first, first + width])
+        has = np.zeros((len(sets), width), np.float32)
+        has[owner[a:b], column[a:b] - first] = 1
+        common += has[one] @ has[other].T
+    joint = size[one][:, None] + size[other][None, :] - common
+    x, y = np.nonzero((100 * common >= SIMILAR * joint) & (component[one][:, None] != component[other][None, :]))
+    up: dict = {}
+
+    def root(c: int) -> int:
+        while up.get(c, c) != c:
+            c = up[c]
+        return c
+
+    found = []
+    for i, j in zip(x.tolist(), y.tolist()):
+        a, b = root(int(component[one[i]])), root(int(component[other[j]]))
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            found.append((int(ids[one[i]]), int(ids[other[j]]), int(common[i, j]), int(joint[i, j])))
+    columns = list(zip(*found, strict=True)) if found else [[]] * 4
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "common", "joint"])
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b, common, joint) among ``classes`` (id, bands): all that join different components.
+    """Confirmed links (a, b) among ``classes`` (id, bands, n_shingles): enough to join all that are linked.
 
     ``classes`` is a stored table.
     """
@@ -168,29 +213,27 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id bigint, shingles binary"), "sets")
     tested = written(confirmed(pairs, sets), "tested")
-    far = 1 - F.col("common") / F.col("joint")
-    known = tested.select(F.col("a").alias("centre"), F.col("b").alias("id"), far.alias("far"))
-    left = _cut(members.join(known, ["centre", "id"]).select("bucket", "id", "far"))
-    n_centres = 1
-    while True:
-        groups = components(written(tested.where(_linked()), "links"))
-        state = left.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        several = state.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-        left = written(left.join(several.select("bucket"), "bucket", "left_semi"), "members")
-        if left.isEmpty():
-            return tested.where(_linked())
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("far", "id"))
-        centre = written(left.withColumn("place", place).where(F.col("place") <= n_centres).select("bucket", F.col("id").alias("centre")), "centres")
-        fresh = left.join(centre, "bucket").where("id != centre")
-        pairs = fresh.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        more = written(confirmed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets), "tested")
-        tested = written(tested.select("a", "b", "common", "joint").unionByName(more), "tested")
-        left = written(left.join(centre.withColumnRenamed("centre", "id"), ["bucket", "id"], "left_anti"), "members")
-        n_centres *= 2
-
-
-def _linked():
-    return 100 * F.col("common") >= SIMILAR * F.col("joint")
+    links = written(tested.where(100 * F.col("common") >= SIMILAR * F.col("joint")).select("a", "b"), "links")
+
+    # what is left: buckets whose members, without the centre, are in different components
+    known = tested.select(F.col("a").alias("centre"), F.col("b").alias("id"), (1 - F.col("common") / F.col("joint")).alias("far"))
+    groups = components(links)
+    state = _cut(members.join(known, ["centre", "id"])).join(groups, "id", "left")
+    state = state.select("bucket", "id", F.coalesce("component", "id").alias("component")).join(classes.select("id", "n_shingles"), "id")
+    state = written(state.withColumn("weight", F.greatest(8 * F.col("n_shingles"), F.lit(BLOCK_BYTES // BLOCK_ROWS))), "members")
+    several = state.groupBy("bucket").agg(
+        F.min("component").alias("lowest"), F.max("component").alias("highest"), F.bit_xor(F.xxhash64("id")).alias("mark"),
+        F.count("*").alias("n"), F.sum("weight").alias("weight"),
+    )
+    # buckets of the same members count once
+    several = several.where("lowest != highest").groupBy("mark", "n").agg(F.min("bucket").alias("bucket"), F.min_by("weight", "bucket").alias("total"))
+    left = state.join(several.select("bucket", F.ceil(F.col("total") / BLOCK_BYTES).alias("blocks")), "bucket")
+    left = left.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    left = left.select("bucket", "id", "component", "block", met.alias("other"))
+    left = left.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).join(sets, "id")
+    rest = left.groupBy("bucket", "low", "high").applyInArrow(_rest, "a bigint, b bigint, common bigint, joint bigint")
+    return written(links.unionByName(rest.select("a", "b")), "links")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -199,7 +242,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     full = signs.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "digest_a", "digest_b"]
     classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    found = components(written(linked_classes(docs, classes), "links"))
+    found = components(linked_classes(docs, classes))
     named = written(classes.select(*key, "id").join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id")), "classes")
     return signs.drop("bands").join(named, key, "left").select(
         "doc_id",
