@@ -191,7 +191,7 @@ class Corpus:
                 yield finish(Block(rows), replies)
 
         with self._short_batches():
-            out = written(self._blocks().mapInArrow(run, schema), name)
+            out = written(self._blocks().mapInArrow(run, schema), name, keep=True)
         self.close()
         return out
 

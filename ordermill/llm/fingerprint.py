@@ -118,9 +118,9 @@ def ranges(docs: DataFrame, order: str, chars: str) -> tuple[list[int], int]:
     return sorted(set(borders)), max(1, math.ceil(wanted / n))
 
 
-def with_next(docs: DataFrame, order: str, columns: list[str], chars: str) -> DataFrame:
-    """Adds a struct ``next`` with ``columns`` of the document that follows by ``order`` (a long; ties by a digest of
-    the text column ``columns[0]``); after the last comes the first.
+def with_next(docs: DataFrame, order: str, text: str, chars: str, more: dict) -> DataFrame:
+    """Adds the columns of ``more`` (name: function of the text), and a struct ``next`` with the text and those columns
+    of the document that follows by ``order`` (a long; ties by digests of the text); after the last comes the first.
 
     Documents are dealt out by ranges of the order. The last one of each range gets the first of the next range that
     has any; these few rows alone are joined.
@@ -132,18 +132,19 @@ def with_next(docs: DataFrame, order: str, columns: list[str], chars: str) -> Da
     wide = F.greatest((high - low).cast("double"), F.lit(1.0))
     part = F.least(F.floor((F.col(order) - low).cast("double") * parts / wide), F.lit(parts - 1)) if parts > 1 else F.lit(0)
     spread = docs.withColumn("range", above.cast("bigint") * parts + F.greatest(part, F.lit(0)).cast("bigint"))
-    row = Window.partitionBy("range").orderBy(order, F.xxhash64(columns[0]), F.md5(F.col(columns[0]).cast("binary")))
-    own = F.struct(*columns)
-    seen = spread.withColumn("next", F.lead(own).over(row)).withColumn("nth", F.row_number().over(row))
-    heads = seen.where("nth = 1").select(F.col("range").alias("following"), own.alias("first"))
-    filled = spread.groupBy("range").agg(F.lit(1).alias("one"))
+    ties = [F.col(order), F.xxhash64(text), F.md5(F.col(text).cast("binary"))]
+    row = Window.partitionBy("range").orderBy(*ties)
+    rich = spread.withColumns({name: use(F.col(text)) for name, use in more.items()})
+    seen = rich.withColumn("next", F.lead(F.struct(text, *more)).over(row))
     # one row for each range: a few bytes for every RANGE_CHARS of text
-    after = filled.withColumn("following", F.lead("range").over(Window.partitionBy("one").orderBy("range")))
-    start = filled.agg(F.min("range").alias("start"))
-    after = after.join(F.broadcast(start)).select("range", F.coalesce("following", "start").alias("following"))
+    firsts = spread.groupBy("range").agg(F.min(order).alias(order), F.lit(1).alias("one"))
+    heads = spread.join(firsts.drop("one"), ["range", order]).withColumn("nth", F.row_number().over(row)).where("nth = 1")
+    heads = heads.select(F.col("range").alias("following"), F.struct(F.col(text), *[use(F.col(text)).alias(n) for n, use in more.items()]).alias("first"))
+    after = firsts.withColumn("following", F.lead("range").over(Window.partitionBy("one").orderBy("range")))
+    after = after.select("range", F.coalesce("following", firsts.agg(F.min("range")).scalar()).alias("following"))
     inner = seen.where("next is not null")
     last = seen.where("next is null").drop("next").join(after, "range").join(heads, "following").withColumnRenamed("first", "next")
-    return inner.unionByName(last.drop("following")).drop("range", "nth")
+    return inner.unionByName(last.drop("following")).drop("range")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -158,14 +159,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("order"),
         F.length("text").cast("bigint").alias("n_chars"),
         "text",
-        vector(F.col("text")).alias("own"),
     )
     return _compared(base)
 
 
 def _compared(base: DataFrame) -> DataFrame:
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = with_next(base, "order", ["text", "own"], "n_chars").select(
+    edited = with_next(base, "order", "text", "n_chars", {"own": vector}).select(
         "doc_id",
         "n_chars",
         "own",

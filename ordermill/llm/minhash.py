@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as tx
-from ordermill.llm.store import written
+from ordermill.llm.store import scratch, written
 
 SHINGLE = 5
 #: Documents are linked if 100 * intersection >= SIMILAR * union.
@@ -237,18 +237,18 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of ``docs``; see ``near_duplicates``."""
-    signs = signed(docs)
-    full = signs.where("n_shingles > 0 and doc_id is not null")
-    key = ["n_shingles", "digest_a", "digest_b"]
-    classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    found = components(linked_classes(docs, classes))
-    named = written(classes.select(*key, "id").join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id")), "classes")
-    return signs.drop("bands").join(named, key, "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    """doc_id, n_shingles and component_id of each row of ``docs``, stored; see ``near_duplicates``."""
+    with scratch(docs.sparkSession):
+        signs = signed(docs)
+        full = signs.where("n_shingles > 0 and doc_id is not null")
+        key = ["n_shingles", "digest_a", "digest_b"]
+        classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
+        found = components(linked_classes(docs, classes))
+        named = classes.select(*key, "id").join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+        in_set = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+        component = F.when(in_set, F.col("component_id")).otherwise(F.col("doc_id"))
+        out = signs.drop("bands").join(named, key, "left").select("doc_id", "n_shingles", component.alias("component_id"))
+        return written(out, "near-duplicates", keep=True)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

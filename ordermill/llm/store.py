@@ -1,28 +1,50 @@
 """Intermediate tables under the folder that ``spark.checkpoint.dir`` names.
 
-They outlive lost executors, are read as often as needed, and cut lineage.
+They outlive lost executors, are read as often as needed, and cut lineage. Those written within ``scratch()`` are
+deleted when it ends.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.session import fresh_path, ship
 
-__all__ = ["dropped", "ship", "written"]
+__all__ = ["dropped", "scratch", "ship", "written"]
+
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written meanwhile, unless they were written to be kept."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again; with ``keep`` it outlives a ``scratch()``."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if _open and not keep:
+        _open[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that nothing needs any more."""
-    spark = df.sparkSession
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
