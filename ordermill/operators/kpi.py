@@ -36,25 +36,22 @@ def mean_revenue() -> Column:
     return E.mean(F.sum("Revenue"), F.count("Revenue"))
 
 
-def latest_day(lines: DataFrame) -> Column:
-    """The latest date with lines, as a scalar that reads ``InvoiceDate`` and what tells valid lines alone."""
-    return lines.agg(F.to_date(F.max("InvoiceDate"))).scalar()
+def latest_day(lines: DataFrame, before: int = 0) -> Column:
+    """The beginning of the latest date with lines, or of a date some days ``before`` it, as a scalar.
 
-
-def from_day(lines: DataFrame, day: Column) -> DataFrame:
-    """Lines from the beginning of a date on.
-
-    The bound is on ``InvoiceDate`` itself, so it reaches the scan, and on ``Date`` where there is one, so that a
-    table with a folder for each date is pruned.
+    It is a timestamp, so that a bound on ``InvoiceDate`` by it reaches the scan.
     """
-    late = lines.where(F.col("InvoiceDate") >= day.cast("timestamp"))
-    return late.where(F.col("Date") >= day) if "Date" in lines.columns else late
+    return lines.agg(F.date_sub(F.to_date(F.max("InvoiceDate")), before).cast("timestamp")).scalar()
 
 
 def on_date(lines: DataFrame, target_date=None) -> DataFrame:
     """Lines of one date, by default the latest one."""
-    day = latest_day(lines) if target_date is None else F.lit(target_date).cast("date")
-    return from_day(lines, day).where(F.col("InvoiceDate") < F.date_add(day, 1).cast("timestamp"))
+    if target_date is None:
+        return lines.where(F.col("InvoiceDate") >= latest_day(lines))
+    day = F.lit(target_date).cast("date")
+    bounds = (F.col("InvoiceDate") >= day.cast("timestamp")) & (F.col("InvoiceDate") < F.date_add(day, 1).cast("timestamp"))
+    # for tables with a folder for each date
+    return lines.where(bounds & (F.col("Date") == day) if "Date" in lines.columns else bounds)
 
 
 def daily_breakdown(lines: DataFrame, top: int = 3, dimensions: dict = DAY_DIMENSIONS) -> DataFrame:
@@ -158,7 +155,7 @@ def daily_trends(raw: DataFrame, days: int | None = 7) -> DataFrame:
     if days is not None:
         dates = lines.where(F.col("InvoiceDate").isNotNull()).groupBy("order_date").agg(F.lit(1))
         newest = dates.orderBy(F.desc("order_date")).limit(days)
-        lines = from_day(lines, newest.agg(F.min("order_date")).scalar())
+        lines = lines.where(F.col("InvoiceDate") >= newest.agg(F.min("order_date").cast("timestamp")).scalar())
     return lines.transform(with_revenue).groupBy("order_date").agg(
         rows().alias("total_orders"),
         total_revenue().alias("total_revenue"),
@@ -170,7 +167,7 @@ def daily_trends(raw: DataFrame, days: int | None = 7) -> DataFrame:
 
 def last_days(lines: DataFrame, days: int = 7) -> DataFrame:
     """Lines of the ``days`` calendar days that end at the latest date."""
-    return from_day(lines, F.date_sub(latest_day(lines), days - 1))
+    return lines.where(F.col("InvoiceDate") >= latest_day(lines, days - 1))
 
 
 def weekly_trends(lines: DataFrame) -> DataFrame:

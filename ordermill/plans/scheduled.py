@@ -1,6 +1,7 @@
 """The scheduled job: clean, compute the day's KPIs, train, report."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
@@ -33,7 +34,8 @@ def run_scheduled(
     dates.write.mode("overwrite").partitionBy("Date").parquet(f"{folder}/cleaned")
     lines = spark.read.schema(cleaned.schema).parquet(f"{folder}/cleaned")
 
-    metrics, metric_rows = observe_rows(daily_document(lines), "metrics")
+    latest = lines.agg(F.max("Date")).first()[0]  # the names of the folders tell
+    metrics, metric_rows = observe_rows(daily_document(lines, latest), "metrics")
     document = write_json_doc(metrics, f"{folder}/processed", "daily_metrics")
 
     labelled = lines if sample_size is None else settled(sample_n(lines, sample_size, E.row_key()))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import QUERIES
 from ordermill.operators import customers, kpi, products, quality
+from ordermill.plans import reports
 from ordermill.session import fresh_path
 from checks.warehouse import retail_raw
 
@@ -61,6 +62,48 @@ def test_filters_and_columns_reach_the_scan(stored):
     assert "Description" not in text and "Country" not in text
 
 
+@pytest.mark.parametrize("report", [kpi.daily_metrics, kpi.daily_document, kpi.weekly_trends, kpi.weekly_total])
+def test_the_latest_date_reaches_the_scan(stored, report):
+    assert "GreaterThanOrEqual(InvoiceDate,ScalarSubquery" in plan(report(kpi.order_lines(stored)))
+
+
+def test_the_newest_dates_reach_the_scan(stored):
+    assert "GreaterThanOrEqual(InvoiceDate,ScalarSubquery" in plan(kpi.daily_trends(stored))
+
+
+READS = {
+    kpi.daily_metrics_by_date: 1, kpi.daily_metrics: 2, kpi.daily_document: 3, kpi.daily_trends: 2, kpi.weekly_total: 2,
+    kpi.business_metrics: 1, products.product_performance: 1, customers.customer_segments_fixed: 1,
+}
+
+
+@pytest.mark.parametrize("report", READS, ids=lambda r: r.__name__)
+def test_reads_of_reports(stored, report):
+    takes_raw = report in (kpi.daily_trends, products.product_performance, customers.customer_segments_fixed)
+    text = plan(report(stored if takes_raw else kpi.order_lines(stored)))
+    assert text.count("Location: InMemoryFileIndex") <= READS[report]
+
+
+@pytest.mark.parametrize(
+    "report, reads",
+    [(quality.quality_report, 3), (reports.analytics_report, 1), (reports.analytics_summary, 1), (customers.customer_segments_quantile, 1), (quality.iqr_outliers, 1)],
+    ids=lambda x: getattr(x, "__name__", str(x)),
+)
+def test_reads_of_reports_that_keep_a_table(spark, stored, report, reads):
+    """Counted by the rows that the scans read while the report is made and collected."""
+    df = kpi.order_lines(stored) if report is customers.customer_segments_quantile else stored
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    options = {"date_column": "InvoiceDate"} if report is quality.quality_report else {}
+    report(df.mapInArrow(counted, df.schema), **options).collect()
+    assert seen.value <= reads * df.count()
+
+
 @pytest.mark.parametrize("report", [quality.column_profile, quality.cleaning_report, quality.invalid_values, kpi.daily_counts])
 def test_one_scan(stored, report):
     df = kpi.order_lines(stored) if report is kpi.daily_counts else stored
