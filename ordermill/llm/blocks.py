@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as tx
-from ordermill.llm.store import dropped, written
+from ordermill.llm.store import deleted, dropped, written
+from ordermill.session import fresh_path
 
 #: Bytes of text of a block. One document alone may be longer; memory for a pass is some 60 bytes for each of these.
 BLOCK = 1 << 21
@@ -144,7 +145,9 @@ class Corpus:
                 yield row()
 
         packed = docs.mapInArrow(pack, "part bigint, block bigint, bytes bigint, rows binary")
-        packed.write.format("parquet").option("compression", "zstd").bucketBy(self.width, "part").saveAsTable(self.name)
+        self.path = fresh_path(self.spark, "blocks")
+        writer = packed.write.format("parquet").option("compression", "zstd").option("path", self.path)
+        writer.bucketBy(self.width, "part").saveAsTable(self.name)
         size = self.spark.table(self.name).agg(F.sum("bytes")).first()[0] or 0
         self.buckets = max(self.width, -(-size // BUCKET))
 
@@ -207,6 +210,7 @@ class Corpus:
 
     def close(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        deleted(self.spark, self.path)
         for reply in self.replies:
             dropped(reply)
 

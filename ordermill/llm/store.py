@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.session import fresh_path, ship
 
-__all__ = ["dropped", "scratch", "ship", "written"]
+__all__ = ["deleted", "dropped", "scratch", "ship", "written"]
 
 _open: list[list[str]] = []
 
@@ -26,7 +26,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _open.pop():
-            _delete(spark, path)
+            deleted(spark, path)
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -42,9 +42,10 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that nothing needs any more."""
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        _delete(df.sparkSession, folder)
+        deleted(df.sparkSession, folder)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def deleted(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
