@@ -189,26 +189,35 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max of each column, one row per column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    """count, mean, sample std, min, quartiles and max of each column, one row per column.
+
+    ``df`` is read once, into the counts of its values, which everything comes from; sums and squares are exact.
+    """
+    counts = settled(value_counts(df, columns))
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], counts=counts)
     cells = []
     for c in columns:
-        value = F.col(c).cast("double")
+        scale = 10 ** scale_of(df, c)
+        own = lambda value, c=c: F.when(F.col("name") == c, value)
+        v, n = F.col("v").cast("decimal(20,0)"), F.col("n").cast("decimal(12,0)")
+        size = F.coalesce(F.sum(own(F.col("n"))), F.lit(0))
+        total, squares = F.sum(own(v * n)), F.sum(own((v * v).cast("decimal(26,0)") * n))
+        spread = squares.cast("double") - total.cast("double") * total.cast("double") / size
         p25, p50, p75 = [F.lit(q).cast("double") for q in quartiles[c]]
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.count(c).alias("count"),
-                E.mean(F.sum(F.col(c).cast("decimal(20,2)")), F.count(c), 4).cast("double").alias("mean"),
-                F.round(F.stddev_samp(value), 4).alias("std"),
-                F.min(value).alias("min"),
+                size.alias("count"),
+                E.mean(total / scale, size, 4).cast("double").alias("mean"),
+                F.when(size > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0)) / (size - 1)) / scale, 4)).alias("std"),
+                (F.min(own(F.col("v"))) / scale).alias("min"),
                 p25.alias("p25"),
                 p50.alias("p50"),
                 p75.alias("p75"),
-                F.max(value).alias("max"),
+                (F.max(own(F.col("v"))) / scale).alias("max"),
             )
         )
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return counts.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def quality_report(df: DataFrame, date_column: str = "InvoiceDate") -> DataFrame:
