@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.store import scratch, written
+
 #: Most labelled rows that are learned from (picked by a hash of the id), and most terms of the lexicon.
 LABELLED_ROWS = 20_000
 LEXICON_TERMS = 2_000
@@ -132,6 +134,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, excepti
     )
     # at most ``rows`` pairs of an id and a label, so this side may be sent to every task
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    with scratch(docs.sparkSession):
+        return _fitted(written(texts, "labelled-texts"), exceptions)
+
+
+def _fitted(texts: DataFrame, exceptions) -> Model:
+    """The model of a stored table of labelled texts."""
     counts = texts.groupBy("toxic").count().collect()
     n = {r["toxic"]: r["count"] for r in counts}
     if not n.get(0) or not n.get(1):
@@ -200,7 +208,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
     """One row for each row of ``docs``: whether its label was held out, its score, and 1 where that is 0.5 or more.
 
-    Two passes over the labelled texts learn the model, one over all texts scores them; none shuffles a text.
+    One pass over the texts picks the labelled ones, which the model is learned from, and one scores all; neither
+    shuffles a text.
     Repeated rows get equal scores; a null id counts as not held out or held out by the empty string's checksum.
     """
     scored = scores(docs, learn(docs, labels, rows))
