@@ -43,8 +43,14 @@ def test_near_duplicates(docs, corpus):
     assert by_id(minhash.near_duplicates(docs(*corpus)), *NEAR) == brute.near(corpus)
 
 
-def test_copies_linked_only_through_one_that_is_no_centre(docs):
-    """The original has the largest id; its copies are linked with it but not with each other."""
+@pytest.mark.parametrize("block", [1 << 22, 4096])
+def test_copies_linked_only_through_one_that_is_no_centre(docs, block, monkeypatch):
+    """The original has the largest id; its copies are linked with it but not with each other.
+
+    With small blocks the members of a bucket meet in many pairs of blocks.
+    """
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block >> 11)
     rng = random.Random(3)
     base = _words(rng, 200, 10**6)
     # nine shingles in ten in common with the original, eight in ten with another copy
