@@ -137,11 +137,12 @@ def with_next(docs: DataFrame, order: str, text: str, chars: str, more: dict) ->
     rich = spread.withColumns({name: use(F.col(text)) for name, use in more.items()})
     seen = rich.withColumn("next", F.lead(F.struct(text, *more)).over(row))
     # one row for each range: a few bytes for every RANGE_CHARS of text
-    firsts = spread.groupBy("range").agg(F.min(order).alias(order), F.lit(1).alias("one"))
-    heads = spread.join(firsts.drop("one"), ["range", order]).withColumn("nth", F.row_number().over(row)).where("nth = 1")
+    filled = spread.groupBy("range").agg(F.lit(1).alias("one"))
+    # each task sends on one text for each range at most
+    heads = spread.withColumn("nth", F.row_number().over(row)).where("nth = 1")
     heads = heads.select(F.col("range").alias("following"), F.struct(F.col(text), *[use(F.col(text)).alias(n) for n, use in more.items()]).alias("first"))
-    after = firsts.withColumn("following", F.lead("range").over(Window.partitionBy("one").orderBy("range")))
-    after = after.select("range", F.coalesce("following", firsts.agg(F.min("range")).scalar()).alias("following"))
+    after = filled.withColumn("following", F.lead("range").over(Window.partitionBy("one").orderBy("range")))
+    after = after.select("range", F.coalesce("following", filled.agg(F.min("range")).scalar()).alias("following"))
     inner = seen.where("next is not null")
     last = seen.where("next is null").drop("next").join(after, "range").join(heads, "following").withColumnRenamed("first", "next")
     return inner.unionByName(last.drop("following")).drop("range")
