@@ -118,7 +118,11 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Intersection and union of the full sets for pairs (a, b) of classes."""
+    """Intersection and union of the full sets for pairs (a, b) of classes.
+
+    Sets are large, so they are joined by key at any size and never sent to all tasks.
+    """
+    sets = sets.hint("merge")
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
     with_both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     schema = "a bigint, b bigint, common bigint, joint bigint"
@@ -209,7 +213,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = written(spread.join(centres, "bucket").where("id != centre"), "members")
     pairs = members.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    wanted = members.select("id").union(members.select(F.col("centre").alias("id"))).distinct()
+    wanted = written(members.select("id").union(members.select(F.col("centre").alias("id"))).distinct(), "wanted")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id bigint, shingles binary"), "sets")
     tested = written(confirmed(pairs, sets), "tested")
@@ -231,7 +235,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     left = left.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     left = left.select("bucket", "id", "component", "block", met.alias("other"))
-    left = left.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).join(sets, "id")
+    left = left.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).join(sets.hint("merge"), "id")
     rest = left.groupBy("bucket", "low", "high").applyInArrow(_rest, "a bigint, b bigint, common bigint, joint bigint")
     return written(links.unionByName(rest.select("a", "b")), "links")
 
@@ -267,12 +271,15 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows with a null id all stay.
     """
-    gone = grouped(docs).where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    groups = grouped(docs).where("doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
+    # what to do with the ids that aren't simply kept, a table of its own whose size Spark knows
+    rules = groups.where("doc_id != component_id or rows > 1").select(F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("component_id")).alias("first"))
+    rules = written(rules, "near-duplicate-rules", keep=True)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    left = docs.select(row, F.col("doc_id").cast("bigint").alias("gone")).join(gone, "gone", "left_anti")
-    nth = F.row_number().over(Window.partitionBy("gone").orderBy(F.xxhash64("row.text"), F.length("row.text")))
-    once = left.where("gone is not null").withColumn("nth", nth).where("nth = 1")
-    return once.select("row").union(left.where("gone is null").select("row")).select("row.*")
+    ruled = docs.select(row, F.col("doc_id").cast("bigint").alias("id")).join(rules, "id", "left")
+    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row.text"), F.length("row.text")))
+    repeated = ruled.where("first").withColumn("nth", nth).where("nth = 1")
+    return ruled.where("first is null").select("row").union(repeated.select("row")).select("row.*")
 
 
 ORACLE = f"""
