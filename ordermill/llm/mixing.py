@@ -108,8 +108,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, copies: int = COPIES, seed: str = SE
         .withColumn("place", F.md5(F.concat(F.lit(seed + ":"), F.coalesce("id", F.lit("null"))).cast("binary")))
         .withColumn("bucket", F.substring("place", 1, DIGITS))
     )
-    sums = placed.groupBy("pattern").agg(F.first("sources").alias("sources"), F.sum("size").alias("size"))
-    found = sums.limit(MAX_PATTERNS + 1).collect()
+    members = F.array_sort(F.array_distinct("sources")).alias("sources")
+    found = placed.groupBy("pattern", members).agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} different sets of sources")
     patterns = [(tuple(dict.fromkeys(r["sources"] or ())), r["size"]) for r in sorted(found, key=lambda r: r["pattern"])]
