@@ -31,7 +31,7 @@ THRESHOLD = 50
 #: Bytes of an anchor.
 GRAM = 28
 #: Suffixes that are looked at together.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:

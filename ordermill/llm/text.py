@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; temporary arrays take about 60 bytes for each.
-PIECE = 1 << 21
+PIECE = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
@@ -35,10 +35,10 @@ def powers(n: int, base: int) -> np.ndarray:
     """``base ** 0 .. n - 1`` modulo 2^64."""
     kept = _powers.get(base)
     if kept is None or len(kept) < n:
-        kept = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        kept = np.full(max(1 << n.bit_length(), 1 << 16) if n <= PIECE else n, base, dtype=np.uint64)
         kept[0] = 1
         kept = np.cumprod(kept, dtype=np.uint64)
-        if n <= 2 * PIECE:
+        if len(kept) <= 2 * PIECE:
             _powers[base] = kept
     return kept[:n]
 
