@@ -112,7 +112,15 @@ def daily_counts(lines: DataFrame) -> DataFrame:
 
 
 def daily_metrics_by_date(lines: DataFrame) -> DataFrame:
-    """``daily_counts`` with the peak hour, from one read: the revenue of each hour is one more sum of the date."""
+    """``daily_counts`` with the peak hour of every date.
+
+    The hours are added up apart: as sums of their own beside the distinct counts they would multiply the lines' width.
+    """
+    return daily_counts(lines).join(peak_hour(lines), "Date")
+
+
+def day_metrics(lines: DataFrame) -> DataFrame:
+    """The same from one read, for the lines of one date: the revenue of each hour is one more sum."""
     hours = [F.struct(F.sum(F.when(F.col("Hour") == h, F.col("Revenue"))).alias("revenue"), F.lit(-h).alias("hour")) for h in range(24)]
     best = F.array_max(F.filter(F.array(*hours), lambda h: h["revenue"].isNotNull()))
     daily = lines.groupBy("Date").agg(*counts_and_totals(), best.alias("best"))
@@ -121,7 +129,7 @@ def daily_metrics_by_date(lines: DataFrame) -> DataFrame:
 
 def daily_metrics(lines: DataFrame, target_date=None) -> DataFrame:
     """Metrics of one date, by default the latest; no row when it has no lines."""
-    return daily_metrics_by_date(on_date(lines, target_date))
+    return day_metrics(on_date(lines, target_date))
 
 
 def daily_document(lines: DataFrame, target_date=None) -> DataFrame:
@@ -143,7 +151,7 @@ def daily_document(lines: DataFrame, target_date=None) -> DataFrame:
             best("country", F.col("key"), "country").alias("top_countries"),
         )
     )
-    return daily_metrics_by_date(day).join(tops, "Date")
+    return day_metrics(day).join(tops, "Date")
 
 
 def daily_trends(raw: DataFrame, days: int | None = 7) -> DataFrame:

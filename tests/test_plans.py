@@ -72,7 +72,7 @@ def test_the_newest_dates_reach_the_scan(stored):
 
 
 READS = {
-    kpi.daily_metrics_by_date: 1, kpi.daily_metrics: 2, kpi.daily_document: 3, kpi.daily_trends: 2, kpi.weekly_total: 2,
+    kpi.daily_metrics_by_date: 2, kpi.daily_metrics: 2, kpi.daily_document: 3, kpi.daily_trends: 2, kpi.weekly_total: 2,
     kpi.business_metrics: 1, products.product_performance: 1, customers.customer_segments_fixed: 1,
 }
 
