@@ -97,7 +97,7 @@ LINES = f"""{RAW},
 lines as (select *, {DERIVED} from retail_raw where {VALID})"""
 
 ROW_KEY = "md5(" + " || ".join(
-    f"coalesce(length({c}) || ':' || {c}, '-')"
+    f"coalesce({c}, '-') || ';'" if c.startswith("cast") else f"coalesce(length({c}) || ':' || {c}, '-')"
     for c in ["InvoiceNo", "StockCode", "Description", "cast(Quantity as varchar)", "cast(InvoiceDate as varchar)",
               "cast(cast(UnitPrice as decimal(18,4)) as varchar)", "cast(CustomerID as varchar)", "Country"]
 ) + ")"

@@ -43,12 +43,16 @@ def weekday_name(index: Column) -> Column:
 def row_key() -> Column:
     """Repeatable key of an order line; lines that are equal in every column share it, no others do.
 
-    Each value has its length before it, so no two lines run together to the same text.
+    Each text has its length before it and each number or time a mark after it, so no two lines run together to the
+    same text.
     """
     parts = []
     for c in RAW_COLUMNS:
-        text = F.col(c).cast("decimal(18,4)").cast("string") if c == "UnitPrice" else F.col(c).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+        if c in ("Quantity", "InvoiceDate", "UnitPrice", "CustomerID"):
+            value = F.col(c).cast("decimal(18,4)") if c == "UnitPrice" else F.col(c)
+            parts += [F.coalesce(value.cast("string"), F.lit("-")), F.lit(";")]
+        else:
+            parts.append(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")))
     return F.md5(F.concat(*parts))
 
 
