@@ -29,9 +29,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates."""
+    """One document, that of the smallest id, of each group of near-duplicates (a similarity of 0.8 or more)."""
     ship(spark)
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, minhash.STAGE_SIMILAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ distance, since Jaccard distance is a metric: members on two sides of such a gap
 bounded size meet in pairs, a matrix product of their sets gives all intersections, and only links that join
 components leave the task.
 
-With ``BANDS`` = 26 bands of ``ROWS`` = 5 a pair at the threshold shares no bucket with a chance of 2e-7.
+With ``BANDS`` = 26 bands of ``ROWS`` = 5 a pair at 0.85 shares no bucket with a chance of 2e-7, one at 0.8 of 3e-5.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from ordermill.llm import text as tx
 from ordermill.llm.store import scratch, written
 
 SHINGLE = 5
-#: Documents are linked if 100 * intersection >= SIMILAR * union.
-SIMILAR = 85
+#: Documents are linked if 100 * intersection >= SIMILAR * union; without_near_duplicates links from STAGE_SIMILAR on.
+SIMILAR, STAGE_SIMILAR = 85, 80
 BANDS, ROWS = 26, 5
 BINS = BANDS * ROWS
 #: Bytes of sets and number of documents of a block, and numbers of a matrix, where members are compared.
@@ -155,15 +155,15 @@ def components(links: DataFrame) -> DataFrame:
             edges = edges.join(own, end, "left").select(F.coalesce("up", end).alias(end), other)
 
 
-def _cut(members: DataFrame) -> DataFrame:
+def _cut(members: DataFrame, similar: int) -> DataFrame:
     """Buckets cut where the distances from the centre leave a gap wider than that of linked documents."""
     row = Window.partitionBy("bucket").orderBy("far", "id")
-    gap = (F.col("far") - F.lag("far").over(row) > 1 - SIMILAR / 100 + 1e-9).cast("int")
+    gap = (F.col("far") - F.lag("far").over(row) > 1 - similar / 100 + 1e-9).cast("int")
     part = F.sum(F.coalesce(gap, F.lit(0))).over(row)
     return members.withColumn("part", part).withColumn("bucket", F.xxhash64("bucket", "part")).drop("part")
 
 
-def _rest(group: pa.Table) -> pa.Table:
+def _rest(group: pa.Table, similar: int) -> pa.Table:
     """Links between documents of different components, of one block or of two: as few as join what they join."""
     block, component = group.column("block").to_numpy(), group.column("component").to_numpy()
     ids, sets = group.column("id").to_numpy(), [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("shingles")]
@@ -186,7 +186,7 @@ def _rest(group: pa.Table) -> pa.Table:
         has[owner[a:b], column[a:b] - first] = 1
         common += has[one] @ has[other].T
     joint = size[one][:, None] + size[other][None, :] - common
-    x, y = np.nonzero((100 * common >= SIMILAR * joint) & (component[one][:, None] != component[other][None, :]))
+    x, y = np.nonzero((100 * common >= similar * joint) & (component[one][:, None] != component[other][None, :]))
     up: dict = {}
 
     def root(c: int) -> int:
@@ -204,7 +204,7 @@ def _rest(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "common", "joint"])
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def linked_classes(docs: DataFrame, classes: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """Confirmed links (a, b) among ``classes`` (id, bands, n_shingles): enough to join all that are linked.
 
     ``classes`` is a stored table.
@@ -217,12 +217,12 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id bigint, shingles binary"), "sets")
     tested = written(confirmed(pairs, sets), "tested")
-    links = written(tested.where(100 * F.col("common") >= SIMILAR * F.col("joint")).select("a", "b"), "links")
+    links = written(tested.where(100 * F.col("common") >= similar * F.col("joint")).select("a", "b"), "links")
 
     # what is left: buckets whose members, without the centre, are in different components
     known = tested.select(F.col("a").alias("centre"), F.col("b").alias("id"), (1 - F.col("common") / F.col("joint")).alias("far"))
     groups = components(links)
-    state = _cut(members.join(known, ["centre", "id"])).join(groups, "id", "left")
+    state = _cut(members.join(known, ["centre", "id"]), similar).join(groups, "id", "left")
     state = state.select("bucket", "id", F.coalesce("component", "id").alias("component")).join(classes.select("id", "n_shingles"), "id")
     state = written(state.withColumn("weight", F.greatest(8 * F.col("n_shingles"), F.lit(BLOCK_BYTES // BLOCK_ROWS))), "members")
     several = state.groupBy("bucket").agg(
@@ -236,18 +236,18 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     left = left.select("bucket", "id", "component", "block", met.alias("other"))
     left = left.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).join(sets.hint("merge"), "id")
-    rest = left.groupBy("bucket", "low", "high").applyInArrow(_rest, "a bigint, b bigint, common bigint, joint bigint")
+    rest = left.groupBy("bucket", "low", "high").applyInArrow(lambda group: _rest(group, similar), "a bigint, b bigint, common bigint, joint bigint")
     return written(links.unionByName(rest.select("a", "b")), "links")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs``, stored; see ``near_duplicates``."""
     with scratch(docs.sparkSession):
         signs = signed(docs)
         full = signs.where("n_shingles > 0 and doc_id is not null")
         key = ["n_shingles", "digest_a", "digest_b"]
         classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-        found = components(linked_classes(docs, classes))
+        found = components(linked_classes(docs, classes, similar))
         named = classes.select(*key, "id").join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
         in_set = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
         component = F.when(in_set, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -266,12 +266,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, similar: int = STAGE_SIMILAR) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are the first of their component; of rows of equal id one.
 
-    Rows with a null id all stay.
+    Documents are linked from a similarity of ``similar`` percent on. Rows with a null id all stay.
     """
-    groups = grouped(docs).where("doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
+    groups = grouped(docs, similar).where("doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
     # what to do with the ids that aren't simply kept, a table of its own whose size Spark knows
     rules = groups.where("doc_id != component_id or rows > 1").select(F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("component_id")).alias("first"))
     rules = written(rules, "near-duplicate-rules", keep=True)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from ordermill.llm import line_dedup, minhash, suffix_dedup
 from ordermill.llm import text as tx
 from tests.llm import brute
@@ -80,6 +81,22 @@ def test_null_ids_and_repeated_rows(docs):
     assert left.columns == docs((1, "")).columns
 
 
+def test_the_stage_links_pairs_from_eight_tenths_on(spark, docs):
+    """Pairs at 0.79, 0.80, 0.82, 0.84 and 0.90 of texts without a repeated word: the stage drops all but the first."""
+    rng, rows = random.Random(9), []
+    for k, (own, cut) in enumerate([(79, 21), (80, 20), (82, 18), (84, 16), (90, 10)]):
+        base = [f"b{k}x{n}" for n in range(104)]
+        # the second text is a prefix of the first: own of its 100 shingles
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[: 104 - cut]))]
+        a, b = (brute.shingles(r[1]) for r in rows[-2:])
+        assert (len(a & b), len(a | b)) == (own, 100)
+    rng.shuffle(rows)
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs(*rows), "").collect()}
+    assert got == {0, 1, 2, 4, 6, 8}
+    kept = {r["doc_id"] for r in minhash.near_duplicates(docs(*rows)).where("kept").collect()}
+    assert kept == set(range(10)) - {9}
+
+
 def test_empty_tables(docs):
     none = docs((1, "a")).where("false")
     for run in (minhash.near_duplicates, minhash.without_near_duplicates, suffix_dedup.deduplicated, line_dedup.line_report, line_dedup.without_repeated_lines):
