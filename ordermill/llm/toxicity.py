@@ -25,12 +25,14 @@ from ordermill.llm.store import scratch, written
 #: Most labelled rows that are learned from (picked by a hash of the id), and most terms of the lexicon.
 LABELLED_ROWS = 20_000
 LEXICON_TERMS = 2_000
-#: A term must be in so many toxic rows (and such a share of them), and so many times likelier there.
-LEAST_ROWS, LEAST_SHARE, LEAST_ODDS = 3, 0.05, 8.0
+#: A term must be in so many toxic rows, and so many times likelier there.
+LEAST_ROWS, LEAST_ODDS = 3, 8.0
+#: Words without any bearing on the label that are expected to come into the lexicon by chance.
+BY_CHANCE = 1.0
 #: Words added to each text's length, so that one hit in a very short text isn't all.
 LENGTH_PRIOR = 20
 #: Phrases in which a lexicon term says nothing bad.
-EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "pathetic fallacy", "sore loser", "pond scum")
+EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy")
 
 # Letters of other alphabets that look like Latin ones, and signs used in place of letters.
 HOMOGLYPHS = {
@@ -138,6 +140,33 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, excepti
         return _fitted(written(texts, "labelled-texts"), exceptions)
 
 
+def evidence_needed(words: dict[int, int], share: float) -> float:
+    """Evidence from which words are so telling that ``BY_CHANCE`` of those tried are expected to be so by chance.
+
+    ``words`` has the number of words for each number of rows that have the word, and ``share`` is that of toxic rows.
+    Words in so few rows that even toxic ones alone wouldn't do aren't tried and don't count (Tarone's correction).
+    """
+    least, tried = 1, sum(words.values())
+    while tried * share**least > BY_CHANCE:
+        tried -= words.get(least, 0)
+        least += 1
+    return math.log(max(1.0, tried / BY_CHANCE))
+
+
+def least_log_odds(bad: int, good: int, needed: float) -> float:
+    """The least log-odds of a word's rows to be toxic against which ``bad`` and ``good`` are no more evidence than ``needed``.
+
+    Evidence is the Chernoff bound: rows that are toxic with a chance of p have ``bad`` or more toxic ones with a chance
+    of at most exp(-evidence).
+    """
+    rows, low, high = bad + good, 0.0, bad / (bad + good)
+    for _ in range(100):
+        p = (low + high) / 2
+        evidence = bad * math.log(bad / (rows * p)) + (good * math.log(good / (rows * (1 - p))) if good else 0.0)
+        low, high = (p, high) if evidence > needed else (low, p)
+    return math.log(low / (1 - low))
+
+
 def _fitted(texts: DataFrame, exceptions) -> Model:
     """The model of a stored table of labelled texts."""
     counts = texts.groupBy("toxic").count().collect()
@@ -145,19 +174,23 @@ def _fitted(texts: DataFrame, exceptions) -> Model:
     if not n.get(0) or not n.get(1):
         return Model({}, ())
     likelier = ((F.col("bad") + 0.5) / (n[1] + 1)) / ((F.col("good") + 0.5) / (n[0] + 1))
+    counts = texts.mapInArrow(distinct_words, "word string, toxic int").groupBy("word")
+    counts = written(counts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")), "word-counts")
+    share = n[1] / (n[0] + n[1])
+    sizes = counts.groupBy((F.col("bad") + F.col("good")).alias("rows")).count().collect()
+    needed = evidence_needed({r["rows"]: r["count"] for r in sizes}, share)
+    part = lambda own, p: F.when(F.col(own) > 0, F.col(own) * F.log(F.col(own) / ((F.col("bad") + F.col("good")) * p))).otherwise(0.0)
     lexicon = (
-        texts.mapInArrow(distinct_words, "word string, toxic int")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-        .where(F.col("bad") >= max(LEAST_ROWS, LEAST_SHARE * n[1]))
-        .withColumn("odds", likelier)
-        .where(F.col("odds") >= LEAST_ODDS)
-        .orderBy(F.desc("odds"), F.desc("bad"), "word")
+        counts.where(F.col("bad") >= LEAST_ROWS)
+        .where(likelier >= LEAST_ODDS)
+        .withColumn("evidence", part("bad", share) + part("good", 1 - share))
+        .where(F.col("evidence") > needed)
+        .orderBy(F.desc("evidence"), F.desc("bad"), "word")
         .limit(LEXICON_TERMS)
         .collect()
     )
-    # a term's weight is its log-odds times the share of toxic rows that have it: rare ones say little
-    weights = {r["word"]: math.log(r["odds"]) * r["bad"] / n[1] for r in lexicon}
+    # a term's weight is the logarithm of how many times likelier it is in toxic rows at least
+    weights = {r["word"]: least_log_odds(r["bad"], r["good"], needed) - math.log(n[1] / n[0]) for r in lexicon}
     model = Model(weights, tuple(fold(e) for e in exceptions))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

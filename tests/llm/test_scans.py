@@ -182,6 +182,36 @@ def test_toxicity_learns_from_rows_not_held_out(spark, docs):
     assert by_id(toxicity.toxicity(moved, labels), "score") == {k: (v[1],) for k, v in got.items()}
 
 
+def test_toxicity_learns_a_long_tail_of_terms(spark, docs):
+    """A hundred insults, none of them in a twentieth of the toxic rows, and words that are in a few rows by chance."""
+    rng = random.Random(8)
+    insults = [f"{a}{b}ug{c}ak" for a in "bdfgk" for b in "aeou" for c in "mnrtz"]
+    rows, labels = [], []
+    for k in range(2000):
+        words = [f"{rng.choice('bcd')}{rng.choice('aeiou')}{rng.choice('rst')}{rng.choice('aeiou')}" for _ in range(rng.randrange(5, 60))]
+        words += [f"rare{rng.randrange(3000)}" for _ in range(5)]
+        if k % 5 == 0:
+            words += rng.sample(insults, 3)
+        rng.shuffle(words)
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(k % 5 == 0)))
+    documents, labelled = docs(*rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.learn(documents, labelled)
+    found = set(model.weights)
+    assert len(found & {toxicity.fold(w) for w in insults}) >= 90 and len(found - {toxicity.fold(w) for w in insults}) <= 3
+    assert min(model.weights.values()) > 0
+    got = by_id(toxicity.toxicity(documents, labelled), "held_out", "predicted")
+    held = [k for k, v in got.items() if v[0]]
+    assert sum(got[k][1] for k in held if k % 5 == 0) >= 0.95 * sum(k % 5 == 0 for k in held)
+    assert sum(got[k][1] for k in held if k % 5) <= 0.02 * sum(k % 5 > 0 for k in held)
+
+
+def test_exceptions_are_no_insults():
+    terms = toxicity.matcher(toxicity.Model({toxicity.fold(w): 1.0 for w in ("clown", "loser", "scum", "trash")}, tuple(map(toxicity.fold, toxicity.EXCEPTIONS))))
+    assert all(toxicity.weight_of(f"you {x}", terms) > 0 for x in ("class clown", "sore loser", "pond scum"))
+    assert toxicity.weight_of("a trash can", terms) == 0
+
+
 def test_toxicity_without_labels(spark, docs):
     documents, labels, _ = _labelled(spark, docs, 20)
     for some in (labels.where("false"), labels.where("toxic = 1")):
