@@ -2,10 +2,13 @@
 
 A paragraph is a line, cut once more after each sentence, so that short texts have several too. Its vector has two
 parts. The dense part has eight lanes of 32 bits, all of them hashed anew: the sums tell equal texts, or texts of the
-same paragraphs in any order, from all others. The sparse part has nine tiers of 16 lanes of 16 bits; a paragraph falls
-into one tier (the first with chance 1/2, each next one half as often) and adds to one of its lanes. Where two
-documents share a paragraph its lane stays equal, so the share of equal lanes, in the first tier that isn't crowded
-and those after it, estimates how much the two have in common.
+same paragraphs in any order, from all others. The sparse part has tiers of 16 lanes of 16 bits; a paragraph falls into
+one tier (the first with chance 1/2, each next one half as often) and adds to one of its lanes. Where two documents
+share a paragraph its lane stays equal, so the share of equal lanes, in the first tier that isn't crowded and those
+after it, estimates how much the two have in common.
+
+A fingerprint has ``TIERS`` tiers, and more where a document reaches them: tiers after those are left out if no
+paragraph falls into them or later ones, and count as zeros. So some tier isn't crowded at any length.
 
 Sums don't depend on order, and a paragraph is added to or taken from a fingerprint by adding or subtracting its
 vector; ``added`` and ``removed`` do so. Everything is Spark SQL on arrays within a row: no shuffle but the one that
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DENSE, DENSE_BITS = 8, 32
-TIERS, LANES, LANE_BITS = 9, 16, 16
+TIERS, MOST_TIERS, LANES, LANE_BITS = 9, 32, 16, 16
 #: Lanes of a tier in use (by either document) above which it counts as crowded.
 CROWDED = 11
 PARAGRAPHS = "(?<=[.!?])[ \\t]+|\\n+"
@@ -52,13 +55,12 @@ def _dense(paragraphs: Column) -> list[Column]:
     return [let(_hashed(paragraphs, seed), _halves) for seed in range(DENSE // 2)]
 
 
-def _tier(hashes: Column, tier: int) -> Column:
-    """The lanes of one tier. Of a hash the low 8 bits tell the tier, the next 4 the lane, the top 16 what is added."""
-    last = tier == TIERS - 1
-    own = F.filter(hashes, lambda x: x.bitwiseAND((1 << (tier + (not last))) - 1) == (0 if last else 1 << tier))
+def _tier(hashes: Column, bit: Column) -> Column:
+    """The lanes of one tier. The lowest bit of a hash tells the tier, bits 32 to 35 the lane, the top 16 what is added."""
+    own = F.filter(hashes, lambda x: x.bitwiseAND(bit * 2 - 1) == bit)
     add = lambda rows, k: total(
         F.transform(
-            F.filter(rows, lambda x: F.shiftright(x, 8).bitwiseAND(LANES - 1) == k),
+            F.filter(rows, lambda x: F.shiftright(x, MOST_TIERS).bitwiseAND(LANES - 1) == k),
             lambda x: F.shiftrightunsigned(x, 64 - LANE_BITS).bitwiseOR(1),
         ),
         LANE_BITS,
@@ -66,17 +68,41 @@ def _tier(hashes: Column, tier: int) -> Column:
     return let(own, lambda rows: F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda k: add(rows, k)))
 
 
+def _bit(tier: int) -> Column:
+    return F.lit(1 << tier).cast("bigint")
+
+
+def _more_tiers(hashes: Column) -> Column:
+    """The lanes of the tiers from ``TIERS`` on that ``hashes`` reach."""
+    highest = lambda rows: F.coalesce(F.array_max(F.transform(rows, lambda x: x.bitwiseAND(-x))), F.lit(0))
+    reached = lambda top: F.filter(F.array(*[_bit(t) for t in range(TIERS, MOST_TIERS)]), lambda b: b <= top)
+    lanes = lambda rows: F.flatten(F.transform(let(highest(rows), reached), lambda b: _tier(rows, b)))
+    none = F.array().cast("array<bigint>")
+    rare = F.filter(hashes, lambda x: x.bitwiseAND((1 << TIERS) - 1) == 0)
+    return let(rare, lambda rows: F.when(F.size(rows) == 0, none).otherwise(lanes(rows)))
+
+
+def _trimmed(fingerprint: Column) -> Column:
+    """``fingerprint`` without the tiers after the first ``TIERS`` that are all zeros up to its end."""
+    used = lambda v: F.array_max(F.transform(v, lambda x, k: F.when(x != 0, k + 1).otherwise(0)))
+    size = lambda v: F.greatest(F.lit(TIERS), F.ceil((used(v) - DENSE) / LANES).cast("int")) * LANES + DENSE
+    return let(fingerprint, lambda v: F.when(F.size(v) == DENSE + TIERS * LANES, v).otherwise(F.slice(v, 1, size(v))))
+
+
 def vector(text: Column) -> Column:
-    """A document's fingerprint as an array of ``DENSE + TIERS * LANES`` numbers. A null text is empty: all zeros."""
+    """A document's fingerprint as an array of ``DENSE + TIERS * LANES`` numbers, and ``LANES`` more for each further tier
+    up to the last that it reaches. A null text is empty: all zeros."""
     paragraphs = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPHS), lambda p: p != "")
-    sparse = lambda p: let(_hashed(p, "tier"), lambda h: F.concat(*[_tier(h, t) for t in range(TIERS)]))
-    return let(paragraphs, lambda p: F.concat(*_dense(p), sparse(p)))
+    # the bit of the last tier is set in every hash
+    hashes = lambda p: F.transform(_hashed(p, "tier"), lambda x: x.bitwiseOR(1 << (MOST_TIERS - 1)))
+    sparse = lambda p: let(hashes(p), lambda h: F.concat(*[_tier(h, _bit(t)) for t in range(TIERS)], _more_tiers(h)))
+    return let(paragraphs, lambda p: _trimmed(F.concat(*_dense(p), sparse(p))))
 
 
 def _combined(one: Column, other: Column, sign: int) -> Column:
     bits = lambda k: F.when(k < DENSE, F.lit((1 << DENSE_BITS) - 1)).otherwise(F.lit((1 << LANE_BITS) - 1))
-    summed = F.zip_with(one, other, lambda x, y: x + sign * y)
-    return F.transform(summed, lambda x, k: x.bitwiseAND(bits(k).cast("bigint")))
+    summed = F.zip_with(one, other, lambda x, y: F.coalesce(x, F.lit(0)) + sign * F.coalesce(y, F.lit(0)))
+    return _trimmed(F.transform(summed, lambda x, k: x.bitwiseAND(bits(k).cast("bigint"))))
 
 
 def added(fingerprint: Column, part: Column) -> Column:
@@ -98,14 +124,15 @@ def as_text(fingerprint: Column) -> Column:
 def likeness(one: Column, other: Column) -> Column:
     """How much two documents have in common by their fingerprints, from 0 to 1; 1 if these are equal."""
     # for each lane 0 if neither uses it, 1 if they differ, and 1 in a second counter 16 bits up if they agree
-    mark = lambda x, y: F.when((x == 0) & (y == 0), 0).when(x == y, 65537).otherwise(1)
-    lanes = F.zip_with(F.slice(one, DENSE + 1, TIERS * LANES), F.slice(other, DENSE + 1, TIERS * LANES), mark)
+    same = lambda x, y: F.when((x == 0) & (y == 0), 0).when(x == y, 65537).otherwise(1)
+    mark = lambda x, y: same(F.coalesce(x, F.lit(0)), F.coalesce(y, F.lit(0)))
+    lanes = F.zip_with(F.slice(one, DENSE + 1, MOST_TIERS * LANES), F.slice(other, DENSE + 1, MOST_TIERS * LANES), mark)
     summed = lambda rows: F.aggregate(rows, F.lit(0), lambda a, x: a + x)
-    tiers = let(lanes, lambda z: F.transform(F.sequence(F.lit(0), F.lit(TIERS - 1)), lambda t: summed(F.slice(z, LANES * t + 1, LANES))))
+    tiers = let(lanes, lambda z: F.transform(F.sequence(F.lit(0), (F.size(z) / LANES).cast("int") - 1), lambda t: summed(F.slice(z, LANES * t + 1, LANES))))
     open_tier = lambda v: F.array_position(F.transform(v, lambda x: x.bitwiseAND(65535) <= CROWDED), F.lit(True))
-    first = lambda v: F.when(open_tier(v) == 0, F.lit(TIERS)).otherwise(open_tier(v).cast("int"))
+    first = lambda v: F.when(open_tier(v) == 0, F.size(v)).otherwise(open_tier(v).cast("int"))
     rate = lambda n: F.when(n.bitwiseAND(65535) == 0, F.lit(0.0)).otherwise(F.shiftright(n, 16) / n.bitwiseAND(65535))
-    sparse = let(tiers, lambda v: let(let(first(v), lambda f: summed(F.slice(v, f, TIERS))), rate))
+    sparse = let(tiers, lambda v: let(let(first(v), lambda f: summed(F.slice(v, f, MOST_TIERS))), rate))
     return F.when(one == other, F.lit(1.0)).otherwise(sparse)
 
 

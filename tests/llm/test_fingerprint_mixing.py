@@ -71,6 +71,34 @@ def test_likeness_follows_shared_paragraphs(spark):
         assert near[4] == 1.0 and near[0] <= 0.15 and near[3] > near[1] and abs(near[3] - 0.6) < 0.35
 
 
+def test_likeness_of_very_long_documents(spark):
+    rng = random.Random(7)
+    whole = []
+    for n in (50_000, 120_000):
+        for shared, true in ((n // 2, 1 / 3), (n * 19 // 20, 19 / 21), (0, 0.0)):
+            for _ in range(6):
+                lines = [f"line {rng.randrange(10**12)}" for _ in range(2 * n - shared)]
+                whole.append((n, true, "\n".join(lines[:n]), "\n".join(lines[n - shared :])))
+    pairs = spark.createDataFrame(whole, "n int, true double, a string, b string").repartition(8)
+    near = fingerprint.likeness(fingerprint.vector(F.col("a")), fingerprint.vector(F.col("b")))
+    got = pairs.select("n", "true", near.alias("x")).groupBy("n", "true").agg(F.avg("x").alias("x")).collect()
+    assert len(got) == 6 and all(abs(r["x"] - r["true"]) < 0.15 for r in got), got
+
+
+def test_long_fingerprints_can_be_changed(spark):
+    """Tiers that only one part reaches come and go with it."""
+    long = "\n".join(f"line {k}" for k in range(40_000))
+    both, alone, other = _vectors(spark, long + "\nshort", "short", long)
+    assert len(both) > len(alone) and (len(both) - fingerprint.DENSE) % fingerprint.LANES == 0
+    row = spark.createDataFrame([(both, alone, other)], "one array<bigint>, c array<bigint>, o array<bigint>")
+    got = row.select(
+        fingerprint.added(F.col("o"), F.col("c")).alias("p"),
+        fingerprint.removed(F.col("one"), F.col("c")).alias("m"),
+        fingerprint.removed(F.col("one"), F.col("o")).alias("s"),
+    ).first()
+    assert got["p"] == both and got["m"] == other and got["s"] == alone
+
+
 def _cheapest(patterns, quotas, copies):
     """Most words, then fewest repeats, by trying all amounts."""
     edges = [(p, s) for p, (own, _) in enumerate(patterns) for s in own]
