@@ -46,8 +46,3 @@ def orders(spark):
         return df.withColumn("InvoiceDate", F.to_timestamp("InvoiceDate")) if dated else df
 
     return make
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted([tuple(r) for r in picked.collect()], key=repr)

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from ordermill.functions.expressions import row_key

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from ordermill.operators import cleaning, model

@@ -3,7 +3,7 @@
 import json
 from datetime import timedelta
 
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 from test_scale import as_frame, lifecycle, replay
 
