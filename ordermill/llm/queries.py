@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, fingerprint, line_dedup, minhash, mixing, pii, secret_scan, suffix_dedup, toxicity, url_filter
+from ordermill.llm import (
+    decontaminate,
+    fill_in_middle,
+    fingerprint,
+    line_dedup,
+    minhash,
+    mixing,
+    pii,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from ordermill.llm.store import ship
 
 QUERIES = {}
@@ -86,6 +99,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op12_sharding", sharding.ORACLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document, by a permutation of the global row numbers."""
+    return sharding.shard_report(table(spark, folder, "documents"))
+
+
+@query("op13_fill_in_middle", fill_in_middle.ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut and put together for filling in the middle, and the text rebuilt from that."""
+    return fill_in_middle.cut_report(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over the whole documents table."""

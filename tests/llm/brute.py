@@ -182,3 +182,16 @@ def mix(rows, seed="mix"):
 
 def by_id(df, *columns):
     return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def middle(doc_id, text):
+    """(code points, form, prefix, middle, digest of the output, digest of the text)"""
+    text, digest = text or "", sha(f"1:{'null' if doc_id is None else doc_id}")
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(text)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, sha(text), sha(text)
+    p, m, s = text[:a], text[a:b], text[b:]
+    form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 20 else ("psm", f"<P>{p}<S>{s}<M>{m}")
+    return n, form, a, b - a, sha(out), sha(text)
