@@ -12,6 +12,7 @@ from ordermill.llm import (
     minhash,
     mixing,
     pii,
+    prefix_trie,
     secret_scan,
     sharding,
     suffix_dedup,
@@ -99,6 +100,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op11_prefix_trie", prefix_trie.ORACLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct beginning of a conversation, with its members, children, leaves and the bytes it saves."""
+    return prefix_trie.spliced_trie(table(spark, folder, "conversations"))
+
+
 @query("op12_sharding", sharding.ORACLE)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document, by a permutation of the global row numbers."""

@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small inputs, from their contracts alone."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
@@ -195,3 +197,37 @@ def middle(doc_id, text):
     p, m, s = text[:a], text[a:b], text[b:]
     form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 20 else ("psm", f"<P>{p}<S>{s}<M>{m}")
     return n, form, a, b - a, sha(out), sha(text)
+
+
+def rebuilt(rows, family=5, most=9):
+    """conv_id -> list of (role, text), after the first turns were replaced by those of the family's first one"""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    order = lambda t: (t[0], t[1], sha(f"{len(t[2])}:{t[2]}{t[3]}"))
+    own = {c: [t[2:] for t in sorted(turns, key=order)] for c, turns in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % most
+        base = c - int(math.fmod(c, family))
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def trie(conversations):
+    """Rows of every node, from all members of all prefixes"""
+    members = defaultdict(list)
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children, out = Counter(p[:-1] for p in members if p), []
+    below = {p: [0, 0] for p in members}
+    for p, who in members.items():
+        for d in range(len(p) + 1):
+            below[p[:d]][0] += not children[p]
+            below[p[:d]][1] += (len(who) - 1) * (len(p[-1][1].encode()) if p else 0)
+    for p, who in members.items():
+        ends = ",".join(str(c) for c in sorted(who) if len(conversations[c]) == len(p))
+        out.append((min(who), len(p), min(members[p[:-1]]) if p else None, len(who), children[p], *below[p], sha(ends)))
+    return out
