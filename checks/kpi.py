@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.base import REVENUE, half_up, lines, mean_cents, query, raw, with_lines, with_raw
 from ordermill.operators import cleaning, customers, kpi, products
 from ordermill.plans import reports
+from ordermill.session import fresh_path
 
 TRENDS = f"""select cast(Date as varchar) as order_date, count(*) as total_orders,
   {REVENUE} as total_revenue, count(distinct CustomerID) as unique_customers,
@@ -417,3 +418,13 @@ def order_mix(spark, folder):
     """Invoices dealt into the order mix, with their revenue."""
     dealt = kpi.assign_mix(lines(spark, folder, "InvoiceNo"), F.md5("InvoiceNo"))
     return dealt.groupBy("order_type").agg(kpi.rows().alias("orders"), kpi.total_revenue().alias("revenue"))
+
+
+@query("customers_by_period", with_lines("""
+select period, cast(cast(date_trunc(period, Date) as date) as varchar) as start, count(distinct CustomerID) as unique_customers
+from lines, (values ('week'), ('month'), ('year')) as p(period) group by period, date_trunc(period, Date)"""))
+def customers_by_period(spark, folder):
+    """Distinct customers of every week, month and year from the stored bitmaps of the days."""
+    path = fresh_path(spark, "daily-customers")
+    kpi.daily_customers(lines(spark, folder, "InvoiceDate")).write.parquet(path)
+    return kpi.customers_by_period(spark.read.parquet(path))

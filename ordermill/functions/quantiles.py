@@ -1,25 +1,17 @@
-"""Exact linear-interpolation quantiles that no single task has to hold.
-
-The built-in ``percentile`` merges every distinct value of a group in one task, which does
-not survive a column such as revenue per customer on a large table. Here the input is read
-once into counts per distinct value (copies collapse before the shuffle). Up to 2**21 distinct
-values one running sum locates the wanted ranks. Beyond that they are located by histograms
-over ever finer prefixes of the value; each histogram only looks under the prefixes found so
-far, so its running sums span at most 2**21 rows too. Only the located rows come back to the
-driver: two per column and fraction.
-"""
+"""Exact linear-interpolation quantiles that no single task has to hold, and that start no job of their own.
 
-from functools import reduce
-from operator import or_
+The built-in ``percentile`` merges every distinct value of a group in one task, which does not survive a column such
+as revenue per customer on a large table. Here the input is read once into counts per distinct value (copies collapse
+before the shuffle). The counts are dealt out by ranges of the value; the sums of the ranges, one row each, tell which
+ranges hold the wanted ranks, and only within those a running sum finds the two neighbours of each. The result is a
+lazy one-row frame, which filters and columns take in as a scalar subquery.
+"""
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-STEP_BITS = 21
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType)
-LOCATED = "name string, fraction double, part double, side int, rank bigint, prefix bigint"
 
 
 def _whole_number(df: DataFrame, column: str) -> tuple[Column, int, int]:
@@ -48,88 +40,67 @@ def value_counts(df: DataFrame, columns: list[str], weight: str | None = None) -
     return values.groupBy("name", "v").agg(F.sum("n").alias("n"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    fractions: list[float],
-    weight: str | None = None,
-    few: int = 1 << STEP_BITS,
-    counts: DataFrame | None = None,
-) -> dict[str, list[float | None]]:
-    """Quantiles of every column in the order of ``fractions``; nulls are ignored.
+def quantile_row(
+    df: DataFrame, columns: list[str], fractions: list[float], weight: str | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """One row with an array of doubles for each column: its quantiles in the order of ``fractions``.
 
-    ``weight`` names a column that says how often a row counts. A column without any value
-    has ``None`` for quantiles. ``counts`` gives the value counts where they are at hand.
+    Nulls are ignored; a column without any value has nulls. ``weight`` names a column that says how often a row
+    counts. ``counts`` gives the value counts where they are at hand.
     """
     scales = {c: _whole_number(df, c)[1] for c in columns}
-    width = max(_whole_number(df, c)[2] for c in columns)
     if counts is None:
         counts = value_counts(df, columns, weight)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        steps = 1 if counts.count() <= few else -(-width // STEP_BITS)
-        shifts = [STEP_BITS * s for s in reversed(range(steps))]
-        located = _locate_first(counts, shifts[0], fractions).collect()
-        for coarse, fine in zip(shifts, shifts[1:]):
-            if located:
-                located = _locate_within(counts, located, coarse, fine).collect()
-    finally:
-        counts.unpersist()
-    ends = {(r["name"], r["fraction"], r["side"]): r["prefix"] / 10 ** scales[r["name"]] for r in located}
-    parts = {(r["name"], r["fraction"]): r["part"] for r in located}
-
-    def value(column: str, fraction: float) -> float | None:
-        if (column, fraction) not in parts:
-            return None
-        lower, upper = ends[column, fraction, 0], ends[column, fraction, 1]
-        return lower + (upper - lower) * parts[column, fraction]
-
-    return {c: [value(c, float(f)) for f in fractions] for c in columns}
-
-
-def _locate_first(counts: DataFrame, shift: int, fractions: list[float]) -> DataFrame:
-    """Prefix, and rank under it, of both neighbours of every fraction."""
-    histogram = counts.withColumnRenamed("v", "prefix")
-    if shift:
-        prefix = F.shiftright("v", shift).alias("prefix")
-        histogram = counts.groupBy("name", prefix).agg(F.sum("n").alias("n"))
-    whole = Window.partitionBy("name")
-    ranked = histogram.withColumns(
-        {
-            "until": F.sum("n").over(whole.orderBy("prefix")),
-            "total": F.sum("n").over(whole),
-        }
-    ).withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
+    # a given number of ranges stays as it is, so that both readers below see the same ones
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartitionByRange(ranges, "name", "v").withColumn("part", F.spark_partition_id())
+    whole, earlier = Window.partitionBy("name"), Window.partitionBy("name").orderBy("part")
+    # as many rows as ranges
+    sizes = dealt.groupBy("name", "part").agg(F.sum("n").alias("size"))
+    sizes = sizes.withColumns({"total": F.sum("size").over(whole), "until": F.sum("size").over(earlier)})
     position = (F.col("total") - 1) * F.col("fraction")
-    return ranked.select(
-        "*",
-        (position - F.floor(position)).alias("part"),
-        F.posexplode(F.array(F.floor(position), F.ceil(position))).alias("side", "rank"),
-    ).transform(_holding)
-
-
-def _locate_within(counts: DataFrame, located: list, coarse: int, fine: int) -> DataFrame:
-    """One step finer, under the prefixes found so far."""
-    wanted = counts.sparkSession.createDataFrame(located, LOCATED)
-    prefix = F.shiftright("v", coarse)
-    places = {(r["name"], r["prefix"]) for r in located}
-    under = reduce(or_, [(F.col("name") == n) & (prefix == p) for n, p in sorted(places)])
-    order = Window.partitionBy("name", "prefix").orderBy("child")
-    return (
-        counts.where(under)
-        .groupBy("name", prefix.alias("prefix"), F.shiftright("v", fine).alias("child"))
-        .agg(F.sum("n").alias("n"))
-        .withColumn("until", F.sum("n").over(order))
-        .join(F.broadcast(wanted), ["name", "prefix"])
-        .select("name", "fraction", "part", "side", "rank", F.col("child").alias("prefix"), "n", "until")
-        .transform(_holding)
+    wanted = (
+        sizes.withColumn("fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
+        .select("*", F.posexplode(F.array(F.floor(position), F.ceil(position))).alias("side", "rank"))
+        .withColumn("inside", F.col("rank") - (F.col("until") - F.col("size")))
+        .where("inside >= 0 and inside < size")
+        .select("name", "part", "fraction", "side", "inside", (position - F.floor(position)).alias("share"))
+    )
+    # two ranks for each column and fraction, so at most as many ranges
+    places = wanted.groupBy("name", "part").agg(F.collect_list(F.struct("fraction", "side", "inside", "share")).alias("places"))
+    within = Window.partitionBy("name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        dealt.join(F.broadcast(places), ["name", "part"])
+        .withColumn("upto", F.sum("n").over(within))
+        .select("name", "v", "n", "upto", F.explode("places").alias("p"))
+        .where("p.inside >= upto - n and p.inside < upto")
     )
 
+    def end(column: str, fraction: float, side: int) -> Column:
+        here = (F.col("name") == column) & (F.col("p.fraction") == float(fraction)) & (F.col("p.side") == side)
+        return F.max(F.when(here, F.col("v"))) / F.lit(float(10 ** scales[column]))
 
-def _holding(ranked: DataFrame) -> DataFrame:
-    """The histogram rows that hold the wanted ranks, with the rank inside the row."""
-    before = F.col("until") - F.col("n")
-    inside = (F.col("rank") >= before) & (F.col("rank") < F.col("until"))
-    return ranked.where(inside).select(
-        "name", "fraction", "part", "side", (F.col("rank") - before).alias("rank"), "prefix"
-    )
+    cells = []
+    for c in columns:
+        quantiles = []
+        for f in fractions:
+            share = F.max(F.when((F.col("name") == c) & (F.col("p.fraction") == float(f)), F.col("p.share")))
+            lower, upper = end(c, f, 0), end(c, f, 1)
+            quantiles.append(lower + (upper - lower) * share)
+        cells.append(F.array(*quantiles).alias(c))
+    return found.agg(*cells)
+
+
+def quantile_columns(df: DataFrame, column: str, fractions: list[float], weight: str | None = None) -> list[Column]:
+    """The quantiles of one column as scalars for use in other frames."""
+    row = quantile_row(df, [column], fractions, weight).select(column).scalar()
+    return [row[k] for k in range(len(fractions))]
+
+
+def exact_quantiles(
+    df: DataFrame, columns: list[str], fractions: list[float], weight: str | None = None, few: int | None = None
+) -> dict[str, list[float | None]]:
+    """``quantile_row`` as numbers on the driver, for looking at. The plan is one and the same for all sizes; ``few``,
+    which once chose between two, is still taken and changes nothing."""
+    row = quantile_row(df, columns, fractions, weight).first()
+    return {c: list(row[c]) for c in columns}

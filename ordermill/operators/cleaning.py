@@ -1,13 +1,12 @@
 """Projections, filters and the cleaning chains. Everything here is stateless and works on
 batch and streaming frames alike, except ``trim_p99`` which needs the whole table."""
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
-from ordermill.functions.quantiles import exact_quantiles
+from ordermill.functions.quantiles import quantile_columns
 
 
 def valid_sales(df: DataFrame, require_date: bool = True) -> DataFrame:
@@ -38,16 +37,14 @@ def training_caps(df: DataFrame) -> DataFrame:
     )
 
 
-def p99_limits(df: DataFrame, fraction: float = 0.99) -> tuple[float, float]:
-    """The quantity limit, and the price limit of the lines within it. Reads ``df`` once."""
+def p99_limits(df: DataFrame, fraction: float = 0.99) -> tuple[Column, Column]:
+    """The quantity limit, and the price limit of the lines within it, as scalars.
+
+    Both come from the counts of the pairs of quantity and price.
+    """
     pairs = df.groupBy("Quantity", "UnitPrice").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        quantity = exact_quantiles(pairs, ["Quantity"], [fraction], "n")["Quantity"][0]
-        within = pairs.where(F.col("Quantity") <= quantity)
-        price = exact_quantiles(within, ["UnitPrice"], [fraction], "n")["UnitPrice"][0]
-    finally:
-        pairs.unpersist()
+    quantity = quantile_columns(pairs, "Quantity", [fraction], "n")[0]
+    price = quantile_columns(pairs.where(F.col("Quantity") <= quantity), "UnitPrice", [fraction], "n")[0]
     return quantity, price
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
-from ordermill.functions.quantiles import exact_quantiles
+from ordermill.functions.quantiles import quantile_columns
 from ordermill.operators.cleaning import valid_sales, with_revenue
 from ordermill.session import settled
 
@@ -55,8 +55,8 @@ def customer_lifetime(lines: DataFrame) -> DataFrame:
 
 def with_quantile_segment(customers: DataFrame, quantiles: dict = S.SEGMENT_QUANTILES) -> DataFrame:
     """Add the segment whose revenue quantile the customer reaches."""
-    cuts = exact_quantiles(customers, ["total_revenue"], list(quantiles.values()))["total_revenue"]
-    floors = {name: F.lit(cut).cast("double") for name, cut in zip(quantiles, cuts)}
+    cuts = quantile_columns(customers, "total_revenue", list(quantiles.values()))
+    floors = dict(zip(quantiles, cuts))
     return customers.withColumn("segment", segment_of(F.col("total_revenue").cast("double"), floors))
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
-from ordermill.functions.quantiles import exact_quantiles
+from ordermill.functions.bitmaps import bitmaps, counted, merged
+from ordermill.functions.distinct import tallied, values_of
+from ordermill.functions.quantiles import quantile_columns
 from ordermill.operators.cleaning import valid_sales, with_revenue, with_time_parts
 
 DAY_DIMENSIONS = {
@@ -114,9 +116,45 @@ def daily_counts(lines: DataFrame) -> DataFrame:
 def daily_metrics_by_date(lines: DataFrame) -> DataFrame:
     """``daily_counts`` with the peak hour of every date.
 
-    The hours are added up apart: as sums of their own beside the distinct counts they would multiply the lines' width.
+    Sums, hours and countries come from one small table by date, hour and country; customers and products, of which
+    there are many, are counted apart, so that no sum goes along with them.
     """
-    return daily_counts(lines).join(peak_hour(lines), "Date")
+    hourly = lines.groupBy("Date", "Hour", "Country").agg(
+        rows().alias("n"), total_revenue().alias("revenue"), F.count("Revenue").alias("priced"), F.sum("Quantity").alias("quantity")
+    )
+    hours = hourly.groupBy("Date", "Hour").agg(
+        F.sum("n").alias("n"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("priced").alias("priced"),
+        F.sum("quantity").alias("quantity"),
+        F.collect_set("Country").alias("countries"),
+    )
+    best = F.max_by("Hour", F.struct("revenue", -F.col("Hour")))
+    days = hours.groupBy("Date").agg(
+        F.sum("n").alias("total_orders"),
+        F.sum("revenue").alias("total_revenue"),
+        E.mean(F.sum("revenue"), F.sum("priced")).alias("avg_order_value"),
+        F.sum("quantity").alias("total_quantity"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("countries")))).cast("bigint").alias("countries_served"),
+        best.alias("peak_hour"),
+        F.max("revenue").alias("peak_hour_revenue"),
+    )
+    distinct = lines.groupBy("Date").agg(
+        F.count_distinct("CustomerID").alias("unique_customers"), F.count_distinct("StockCode").alias("unique_products")
+    )
+    return days.join(distinct, "Date")
+
+
+def daily_customers(lines: DataFrame) -> DataFrame:
+    """``Date, bucket, bits``: the customers of every date as bitmaps, a small table that can be kept and added to."""
+    return bitmaps(lines, ["Date"], "CustomerID")
+
+
+def customers_by_period(daily: DataFrame) -> DataFrame:
+    """``period, start, unique_customers`` of every week, month and year, put together from ``daily_customers``."""
+    periods = [F.struct(F.lit(p).alias("period"), F.trunc("Date", p).alias("start")) for p in ("week", "month", "year")]
+    spread = daily.select("bucket", "bits", F.inline(F.array(*periods)))
+    return merged(spread, ["period", "start"]).transform(counted, ["period", "start"], "unique_customers")
 
 
 def day_metrics(lines: DataFrame) -> DataFrame:
@@ -228,24 +266,23 @@ def growth_by(lines: DataFrame, key: str, period: str = "month") -> DataFrame:
 def business_metrics(lines: DataFrame) -> DataFrame:
     """Totals and distinct counts over all lines.
 
-    Lines are first added up by customer, product, date and country, so that only these sums, not the lines, are
-    multiplied for the distinct counts.
+    Each line's date carries the sums; the other distinct values go without.
     """
-    each = lines.groupBy("CustomerID", "StockCode", "Date", "Country").agg(
-        rows().alias("n"),
-        total_revenue().alias("revenue"),
-        F.count("Revenue").alias("priced"),
-        F.min("InvoiceDate").alias("first"),
-        F.max("InvoiceDate").alias("last"),
+    one = lines.select(
+        "Date", "Country", "StockCode", "CustomerID", F.lit(1).alias("n"), "Revenue", F.when(F.col("Revenue").isNotNull(), 1).alias("priced"),
+        F.col("InvoiceDate").alias("first"), F.col("InvoiceDate").alias("last"),
+    )
+    each = tallied(
+        one, [], ["Date", "Country", "StockCode", "CustomerID"], {"n": "sum", "Revenue": "sum", "priced": "sum", "first": "min", "last": "max"}
     )
-    n, days = F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("Date")
+    n, days = F.coalesce(F.sum("n"), F.lit(0)), values_of(0)
     return each.agg(
         n.alias("total_transactions"),
-        F.sum("revenue").alias("total_revenue"),
-        E.mean(F.sum("revenue"), F.sum("priced")).alias("avg_order_value"),
-        F.count_distinct("CustomerID").alias("unique_customers"),
-        F.count_distinct("StockCode").alias("unique_products"),
-        F.count_distinct("Country").alias("countries_served"),
+        F.sum("Revenue").alias("total_revenue"),
+        E.mean(F.sum("Revenue"), F.sum("priced")).alias("avg_order_value"),
+        values_of(3).alias("unique_customers"),
+        values_of(2).alias("unique_products"),
+        values_of(1).alias("countries_served"),
         F.timestamp_diff("DAY", F.min("first"), F.max("last")).alias("date_range_days"),
         E.mean(n, days).alias("avg_daily_transactions"),
         F.least(F.lit(10000), F.floor(n / 100)).alias("recommended_batch_size"),
@@ -276,7 +313,7 @@ def peak_weekday(lines: DataFrame) -> DataFrame:
 
 def order_batch_summary(lines: DataFrame) -> DataFrame:
     """Totals, ranges and the exact median of a batch of orders."""
-    median = exact_quantiles(lines, ["Revenue"], [0.5])["Revenue"][0]
+    median = quantile_columns(lines, "Revenue", [0.5])[0]
     summary = lines.agg(
         rows().alias("total_orders"),
         total_revenue().alias("total_revenue"),
@@ -290,7 +327,7 @@ def order_batch_summary(lines: DataFrame) -> DataFrame:
         F.max("Quantity").alias("max_quantity"),
         E.mean(F.sum("Quantity"), F.count("Quantity")).alias("avg_quantity"),
     )
-    return summary.withColumn("median_revenue", F.lit(median).cast("double"))
+    return summary.withColumn("median_revenue", median)
 
 
 def simple_metrics(raw: DataFrame) -> DataFrame:

@@ -4,20 +4,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import expressions as E
+from ordermill.functions.distinct import tallied, values_of
 from ordermill.operators.cleaning import truncate_text, valid_sales, with_revenue
 
 
 def product_performance(raw: DataFrame, n: int | None = 10) -> DataFrame:
     """Per product name, units, revenue, customers and invoices; best ``n`` by revenue or all."""
     lines = raw.transform(valid_sales, require_date=False).transform(with_revenue)
+    names = ["Description", "CustomerID", "InvoiceNo"]
     products = (
-        lines.groupBy("StockCode")
+        tallied(lines, ["StockCode"], names, {"Quantity": "sum", "Revenue": "sum"})
+        .groupBy("StockCode")
         .agg(
-            F.min("Description").alias("product_name"),
+            F.min(F.when(F.col("kind") == 0, F.col("value"))).alias("product_name"),
             F.sum("Quantity").alias("total_quantity_sold"),
             F.sum("Revenue").alias("total_revenue"),
-            F.count_distinct("CustomerID").alias("unique_customers"),
-            F.count_distinct("InvoiceNo").alias("total_orders"),
+            values_of(1).alias("unique_customers"),
+            values_of(2).alias("total_orders"),
         )
         .transform(truncate_text, "product_name")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill import schema as S
 from ordermill.functions import expressions as E
-from ordermill.functions.quantiles import exact_quantiles, scale_of, value_counts
+from ordermill.functions.quantiles import quantile_row, scale_of, value_counts
 from ordermill.operators.cleaning import drop_critical_nulls, p99_limits, positive_lines
 from ordermill.session import settled
 
@@ -74,20 +74,20 @@ def iqr_outliers(df: DataFrame, columns: tuple = ("Quantity", "UnitPrice")) -> D
 
     ``df`` is read once, into the counts of its values, which everything else comes from.
     """
-    counts = settled(value_counts(df, list(columns)))
-    quartiles = exact_quantiles(df, list(columns), [0.25, 0.75], counts=counts)
-    cells = []
+    counts = value_counts(df, list(columns))
+    quartiles = quantile_row(df, list(columns), [0.25, 0.75], counts=counts).select(F.struct("*")).scalar()
+    counts, cells = counts.withColumn("quartiles", quartiles), []
     for c in columns:
-        q1, q3 = quartiles[c]
-        limit = None if q1 is None else q3 + 1.5 * (q3 - q1)
+        q1, q3 = [F.col("quartiles")[c][k] for k in range(2)]
+        limit = q3 + 1.5 * (q3 - q1)
         own = F.when(F.col("name") == c, F.col("v") / F.lit(float(10 ** scale_of(df, c))))
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.lit(q1).cast("double").alias("q1"),
-                F.lit(q3).cast("double").alias("q3"),
-                F.lit(limit).cast("double").alias("threshold"),
-                F.coalesce(F.sum(F.when(own > F.lit(limit).cast("double"), F.col("n"))), F.lit(0)).alias("outliers"),
+                F.max(q1).alias("q1"),
+                F.max(q3).alias("q3"),
+                F.max(limit).alias("threshold"),
+                F.coalesce(F.sum(F.when(own > limit, F.col("n"))), F.lit(0)).alias("outliers"),
                 F.max(own).alias("max_value"),
             )
         )
@@ -193,9 +193,9 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
     ``df`` is read once, into the counts of its values, which everything comes from; sums and squares are exact.
     """
-    counts = settled(value_counts(df, columns))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], counts=counts)
-    cells = []
+    counts = value_counts(df, columns)
+    quartiles = quantile_row(df, columns, [0.25, 0.5, 0.75], counts=counts).select(F.struct("*")).scalar()
+    counts, cells = counts.withColumn("quartiles", quartiles), []
     for c in columns:
         scale = 10 ** scale_of(df, c)
         own = lambda value, c=c: F.when(F.col("name") == c, value)
@@ -203,7 +203,7 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
         size = F.coalesce(F.sum(own(F.col("n"))), F.lit(0))
         total, squares = F.sum(own(v * n)), F.sum(own((v * v).cast("decimal(26,0)") * n))
         spread = squares.cast("double") - total.cast("double") * total.cast("double") / size
-        p25, p50, p75 = [F.lit(q).cast("double") for q in quartiles[c]]
+        p25, p50, p75 = [F.max(F.col("quartiles")[c][k]) for k in range(3)]
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),

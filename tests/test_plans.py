@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.registry import QUERIES
-from ordermill.operators import customers, kpi, products, quality
+from ordermill.functions.quantiles import quantile_row
+from ordermill.operators import cleaning, customers, kpi, products, quality
 from ordermill.plans import reports
 from ordermill.session import fresh_path
 from checks.warehouse import retail_raw
@@ -119,3 +120,45 @@ def test_distinct_counts_spread_hot_groups(stored):
     """The first shuffle of a distinct count is on the group and the counted value."""
     text = plan(customers.customer_totals(kpi.order_lines(stored)))
     assert "hashpartitioning(CustomerID" in text and "InvoiceNo" in text.split("hashpartitioning(")[1].split(")")[0]
+
+
+@pytest.mark.parametrize("report", [products.product_performance, kpi.business_metrics], ids=lambda r: r.__name__)
+def test_distinct_counts_expand_no_line(stored, report):
+    """Nothing is sorted or multiplied with its measures before the first shuffle."""
+    text = plan(report(stored if report is products.product_performance else kpi.order_lines(stored)))
+    assert "Expand" not in text and text.count("Location: InMemoryFileIndex") == 1
+
+
+def test_days_add_up_to_periods(stored):
+    daily = kpi.daily_customers(kpi.order_lines(stored))
+    text = plan(kpi.customers_by_period(daily))
+    assert "bitmap_or_agg" in text and text.count("Location: InMemoryFileIndex") == 1 and "Expand" not in text
+
+
+LAZY_QUANTILES = {
+    "trim_p99": lambda df: df.transform(cleaning.trim_p99),
+    "iqr_outliers": quality.iqr_outliers,
+    "describe_numeric": lambda df: quality.describe_numeric(df, ["Quantity", "UnitPrice"]),
+    "order_batch_summary": lambda df: kpi.order_batch_summary(kpi.order_lines(df)),
+    "cleaning_report": lambda df: quality.cleaning_report(df, aggressive=True),
+    "with_quantile_segment": lambda df: customers.with_quantile_segment(customers.customer_totals(kpi.order_lines(df))),
+}
+
+
+@pytest.mark.parametrize("name", LAZY_QUANTILES)
+def test_quantiles_start_no_job(spark, stored, name):
+    group = f"quantiles-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    df = LAZY_QUANTILES[name](stored)
+    plan(df)
+    tracker = spark.sparkContext.statusTracker()
+    assert not tracker.getJobIdsForGroup(group)
+    df.collect()
+    assert tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_quantiles_deal_values_out_by_ranges(spark):
+    counts = spark.range(100).selectExpr("'a' as name", "id as v", "1L as n")
+    text = plan(quantile_row(spark.range(1).selectExpr("id as a"), ["a"], [0.5], counts=counts))
+    assert "rangepartitioning(" in text and text.count("rangepartitioning(") <= 2
