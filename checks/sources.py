@@ -83,13 +83,9 @@ from retail_raw where {BAD}"""
 
 
 def foreign_csv(spark, folder):
+    """Files as Spark's own writer makes them of the texts, each with its header."""
     path = fresh_path(spark, "foreign-csv")
-    quoted = ["concat('\"', Description, '\"')" if c == "Description" else c for c in RAW_COLUMNS]
-    fields = ", ".join(f"coalesce({c}, '')" for c in quoted)
-    head = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
-    # a header goes before the lines of every file
-    lines_of = foreign(spark, folder).selectExpr(f"concat_ws(',', {fields}) as value").coalesce(1)
-    head.union(lines_of).coalesce(1).write.option("encoding", "ISO-8859-1").text(path)
+    foreign(spark, folder).write.options(**O.CSV).csv(path)
     return path
 
 
@@ -114,14 +110,72 @@ def json_of(columns: list) -> str:
 
 @query("foreign_json", FOREIGN_ROW)
 def read_foreign_json(spark, folder):
-    """Files that each hold a JSON array of orders, with microseconds and floats, one array for each weekday."""
+    """Files that each hold a JSON array of up to 65,536 orders, with microseconds and floats."""
     path = fresh_path(spark, "foreign-json")
-    orders = foreign(spark, folder).selectExpr(f"{json_of(RAW_COLUMNS)} as value", "InvoiceNo % 7 as file")
+    some = F.shiftright(F.monotonically_increasing_id(), 16)
+    orders = foreign(spark, folder).select(F.expr(json_of(RAW_COLUMNS)).alias("value"), some.alias("file"))
     arrays = orders.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
-    arrays.repartition(7, "file").write.partitionBy("file").text(path)
+    arrays.write.partitionBy("file").text(path)
     return O.read_orders_json(spark, f"{path}/*")
 
 
+# Files with broken records: lines that end too early or go on, and JSON that is cut.
+
+SHORT, LONG, CUT = "InvoiceNo % 43 = 0", "InvoiceNo % 47 = 0", 20
+WIDTHS = "not (cast(InvoiceNo as bigint) % 43 = 0 or cast(InvoiceNo as bigint) % 47 = 0)"
+
+
+def broken_csv(spark, folder):
+    """Lines without a header, put together by SQL: every field in quotes but numbers and times."""
+    path = fresh_path(spark, "broken-csv")
+    quoted = ["concat('\"', Description, '\"')" if c == "Description" else c for c in RAW_COLUMNS]
+    whole = ", ".join(f"coalesce({c}, '')" for c in quoted)
+    line = f"case when {SHORT} then concat_ws(',', InvoiceNo, 'a, b') when {LONG} then concat(l, ',more, \"and, more\"') else l end"
+    lines_of = foreign(spark, folder).selectExpr("InvoiceNo", f"concat_ws(',', {whole}) as l").selectExpr(f"{line} as value")
+    lines_of.write.option("encoding", "ISO-8859-1").text(path)
+    return O.read_csv_text(spark, path, header=False)
+
+
+@query("broken_csv", f"{FOREIGN_ROW} where {WIDTHS}")
+def read_broken_csv(spark, folder):
+    """Lines of another width give no order."""
+    return O.typed_orders(broken_csv(spark, folder))
+
+
+@query("broken_csv_rejects", f"""with {RAW}, all_lines as (select *, cast(InvoiceNo as bigint) as i from retail_raw)
+select case when i % 43 = 0 then '3 fields instead of 8' when i % 47 = 0 then '10 fields instead of 8' else 'untyped' end as reason,
+  case when i % 43 = 0 then concat(InvoiceNo, ',a, b') end as short_record, count(*) as n
+from all_lines where i % 43 = 0 or i % 47 = 0 or {BAD} group by 1, 2""")
+def broken_csv_rejects(spark, folder):
+    """Lines of another width as they stand, and lines with fields of the wrong type, with the reason."""
+    rejected = O.rejected_orders(broken_csv(spark, folder))
+    short = F.when(F.col("reason") == "3 fields instead of 8", F.col("record"))
+    return rejected.groupBy("reason", short.alias("short_record")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def broken_json(spark, folder):
+    """JSON lines, some of them cut short."""
+    path = fresh_path(spark, "broken-json")
+    cut = f"case when {SHORT} then substring(value, 1, {CUT}) else value end"
+    foreign(spark, folder).selectExpr("InvoiceNo", f"{json_of(RAW_COLUMNS)} as value").selectExpr(f"{cut} as value").write.text(path)
+    return O.read_json_text(spark, path, multi_line=False)
+
+
+@query("broken_json", f"{FOREIGN_ROW} where cast(InvoiceNo as bigint) % 43 <> 0")
+def read_broken_json(spark, folder):
+    """Lines that are cut give no order."""
+    return O.typed_orders(broken_json(spark, folder))
+
+
+@query("broken_json_rejects", f"""with {RAW}, all_lines as (select *, cast(InvoiceNo as bigint) as i from retail_raw)
+select case when i % 43 = 0 then 'not JSON' else 'untyped' end as reason,
+  case when i % 43 = 0 then left('{{"InvoiceNo": "' || InvoiceNo || '", "StockCode"', {CUT}) end as record, count(*) as n
+from all_lines where i % 43 = 0 or {BAD} group by 1, 2""")
+def broken_json_rejects(spark, folder):
+    """Cut lines as they stand, and lines with fields of the wrong type."""
+    return O.rejected_orders(broken_json(spark, folder)).groupBy("reason", "record").agg(F.count(F.lit(1)).alias("n"))
+
+
 def foreign_messages(spark, folder):
     """Messages of a producer that writes microseconds, and for some invoices leaves fields out."""
     path = fresh_path(spark, "foreign-messages")
@@ -212,3 +266,34 @@ def file_rows(spark, folder):
     """Rows per file of the given tables."""
     counted = [O.file_rows(spark, f"{folder}/{n}.parquet", s) for n, s in warehouse.TABLES.items()]
     return reduce(DataFrame.unionByName, counted)
+
+
+def inventory(spark, folder):
+    return reduce(DataFrame.unionByName, [O.file_inventory(spark, f"{folder}/{n}.parquet", s) for n, s in warehouse.TABLES.items()])
+
+
+@query("table_inventory", " union all ".join(
+    f"select '{n}.parquet' as file_name, count(*) as rows, true as has_size, true as has_time from {n} having count(*) > 0" for n in warehouse.TABLES))
+def table_inventory(spark, folder):
+    """Rows, size and time of change of every file of the given tables."""
+    files = inventory(spark, folder)
+    known = [(F.col("bytes") > F.col("rows") / 8).alias("has_size"), (F.col("modified") >= F.lit("1970-01-01").cast("timestamp")).alias("has_time")]
+    return files.select("file_name", "rows", *known)
+
+
+@query("folder_totals", f"""with counted as ({" union all ".join(f"select count(*) as rows from {n} having count(*) > 0" for n in warehouse.TABLES)})
+select count(*) as files, cast(sum(rows) as bigint) as rows from counted union all select count(*), cast(sum(rows) as bigint) from counted""")
+def folder_totals(spark, folder):
+    """Files and rows of the one folder and of all."""
+    return O.folder_totals(inventory(spark, folder)).select("files", "rows")
+
+
+EXPECTED = [*warehouse.TABLES, "returns", "shipments"]
+
+
+@query("file_completeness", " union all ".join(
+    f"select '{n}.parquet' as file_name, " + ("'present'" if n in warehouse.TABLES else "'missing'") + " as status" for n in EXPECTED))
+def file_completeness(spark, folder):
+    """Which of the expected files are there."""
+    expected = spark.createDataFrame([(f"{n}.parquet",) for n in EXPECTED], "file_name string")
+    return O.completeness(inventory(spark, folder), expected)

@@ -80,3 +80,42 @@ def test_model_survives_saving(spark):
     assert rows(loaded.transform(data), "prediction") == rows(fitted.transform(data), "prediction")
     assert about["feature_names"] == ["Quantity", "UnitPrice"] and dictionary.count() == 1
     assert model.feature_importance(loaded, spark).count() == 2
+
+
+def test_every_record_is_typed_or_rejected(spark, tmp_path):
+    lines = [
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country",
+        '1,A,"one, two",2,2024-01-01 10:00:00,1.50,7,UK',
+        "2,A,x",
+        "3,A,x,1,2024-01-01 10:00:00,1.50,7,UK,extra",
+        "4,A,x,many,2024-01-01 10:00:00,1.50,7,UK",
+        "5,A,,1,2024-01-01 10:00:00,1.50,,",
+    ]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    text = O.read_csv_text(spark, str(tmp_path))
+    assert rows(O.typed_orders(text), "InvoiceNo") == [("1",), ("4",), ("5",)]
+    rejected = O.rejected_orders(text)
+    assert rows(rejected.select("reason", "record", F.array_join("rejected_fields", ","))) == [
+        ("3 fields instead of 8", "2,A,x", ""),
+        ("9 fields instead of 8", lines[3], ""),
+        ("untyped", None, "Quantity"),
+    ]
+
+
+def test_cut_json_is_rejected_as_it_stands(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"InvoiceNo":"1","Quantity":2}\n{"InvoiceNo":"2","Quan\n[1, 2\nhello\n')
+    text = O.read_json_text(spark, str(tmp_path), multi_line=False)
+    assert rows(O.typed_orders(text), "InvoiceNo", "Quantity") == [("1", 2)]
+    assert rows(O.rejected_orders(text), "record") == [("[1, 2",), ("hello",), ('{"InvoiceNo":"2","Quan',)]
+
+
+def test_inventory_of_folders(spark, tmp_path):
+    for folder, n in (("a", 3), ("b", 5)):
+        spark.range(n).coalesce(1).write.parquet(str(tmp_path / folder))
+    files = O.file_inventory(spark, str(tmp_path), "id bigint")
+    totals = {r["folder"]: (r["files"], r["rows"]) for r in O.folder_totals(files).collect()}
+    assert totals == {"a": (1, 3), "b": (1, 5), "all": (2, 8)}
+    name = files.where("folder = 'a'").first()["file_name"]
+    expected = spark.createDataFrame([(name,), ("c.parquet",)], "file_name string")
+    assert rows(O.completeness(files, expected)) == [("c.parquet", "missing"), (name, "present")]
+    assert rows(O.completeness(files, expected, "2999-01-01"))[1] == (name, "stale")
