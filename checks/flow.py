@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from checks.base import RAW, half_up, query, raw, text, with_lines
 from checks.model import PRICED, fitted
 from checks.quality import DATE, PRICE
+from checks.sources import foreign_messages
 from ordermill.operators import flow, metrics
 from ordermill.session import fresh_path
 from checks.warehouse import TABLES, metric_readings, order_lifecycle, order_messages, table
+from ordermill.streaming import alerts
 from ordermill.streaming import flow as stream_flow
 from ordermill.streaming import orders as stream
 
@@ -214,13 +216,18 @@ def messages(spark, folder):
     return stream.read_order_stream(spark, path)
 
 
+FILES_A_YEAR = 8
+
+
 def yearly_messages(spark, folder):
-    """The same payloads with one file for each year, written one after the other."""
+    """The same payloads, a year written after the other, each by eight tasks into as many files."""
     path = fresh_path(spark, "messages")
-    lines_of = raw(spark, folder)
-    years = [r["y"] for r in lines_of.select(F.year("InvoiceDate").alias("y")).distinct().orderBy("y").collect()]
-    for year in years:
-        order_messages(lines_of.where(F.year("InvoiceDate").eqNullSafe(F.lit(year)))).coalesce(1).write.mode("append").text(path)
+    dated = raw(spark, folder)
+    years = dated.withColumn("year", F.coalesce(F.year("InvoiceDate"), F.lit(0)))
+    order_messages(years, "year").write.partitionBy("year").parquet(f"{path}-dated")
+    stored = spark.read.schema("value string, year int").parquet(f"{path}-dated")
+    for year in [r["year"] for r in stored.select("year").distinct().orderBy("year").collect()]:
+        stored.where(F.col("year") == year).select("value").repartition(FILES_A_YEAR).write.mode("append").text(path)
     return path
 
 
@@ -318,7 +325,7 @@ def windowed_revenue(spark, folder):
 def stream_windowed_revenue(spark, folder):
     """ST9 on the stream: a micro-batch for each year, in order, with the library's watermark."""
     path = fresh_path(spark, "windows")
-    payloads = stream.read_order_stream(spark, yearly_messages(spark, folder), files_per_batch=1)
+    payloads = stream.read_order_stream(spark, yearly_messages(spark, folder), files_per_batch=FILES_A_YEAR)
     orders = stream.stream_revenue(stream.stream_clean(stream.parse_orders(payloads)))
     sinks = {"windows": lambda batch: batch}
     stream.write_batches(stream.windowed_revenue(orders), sinks, path, "update").awaitTermination()
@@ -356,3 +363,102 @@ def stream_flow_windows(spark, folder):
     windows = stream_flow.windowed_flow(completed)
     stream.write_batches(windows, {"windows": lambda batch: batch}, f"{path}/windowed", "update").awaitTermination()
     return stream.latest_rows(spark.read.parquet(f"{path}/windowed/windows"), ["window_start"])
+
+
+def sessions(more: str = "") -> str:
+    return f"""gaps as (select *, case when InvoiceDate <= lag(InvoiceDate) over w + interval 30 minute then 0 else 1 end as opens
+      from (select coalesce(CustomerID, 99999) as CustomerID, InvoiceDate, cents from sold where InvoiceDate is not null)
+      window w as (partition by CustomerID order by InvoiceDate)),
+    islands as (select *, sum(opens) over (partition by CustomerID order by InvoiceDate rows unbounded preceding) as island from gaps)
+    select CustomerID, {text('min(InvoiceDate)')} as session_start, {text("max(InvoiceDate) + interval 30 minute")} as session_end,
+      cast(sum(cents) as double) / 100 as revenue, count(*) as orders from islands group by CustomerID, island {more}"""
+
+
+@query("session_revenue", f"""with {RAW}, sold as (select *, Quantity * cast(round(UnitPrice * 100) as bigint) as cents
+  from retail_raw where Quantity > 0 and UnitPrice > 0), {sessions()}""")
+def session_revenue(spark, folder):
+    """ST9: sessions of the table."""
+    return stream.session_revenue(stream.stream_revenue(stream.stream_clean(raw(spark, folder))))
+
+
+@query("stream_session_revenue", f"""with {RAW}, {SOLD},
+{sessions("having max(InvoiceDate) + interval 30 minute <= (select max(InvoiceDate) from sold) - interval 10 minute")}""")
+def stream_session_revenue(spark, folder):
+    """ST9: sessions of the stream that the watermark has passed, each written once."""
+    payloads = stream.read_order_stream(spark, yearly_messages(spark, folder), files_per_batch=FILES_A_YEAR)
+    orders = stream.stream_revenue(stream.stream_clean(stream.parse_orders(payloads)))
+    return appended(spark, stream.session_revenue(orders))
+
+
+def lifecycle_stream(spark, folder, order_id="event_id"):
+    source = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return order_lifecycle(source, order_id)
+
+
+@query("stream_joined_orders", f"""with {lifecycle('event_id')},
+passed as (select least(max(ts) filter (kind = 'arrive'), max(ts) filter (kind = 'complete')) - interval 10 minute as at from lifecycle)
+{MATCHED} union all
+select order_id, {text('ts')}, null, null from lifecycle a, passed where kind = 'arrive' and a.ts + interval 1 hour < passed.at
+  and not exists (select 1 from matched m where m.order_id = a.order_id)""")
+def stream_joined_orders(spark, folder):
+    """ST5: arrivals with their completions, or without one after an hour, by a join of two streams."""
+    return appended(spark, stream_flow.joined_flow(lifecycle_stream(spark, folder)))
+
+
+def law_sql(order_id: str, passed: str) -> str:
+    return f"""with {lifecycle(order_id)},
+    hours as (select date_trunc('hour', ts) as hour,
+      count(*) filter (kind = 'arrive' and coalesce(kind_before, '') <> 'arrive') as arrivals,
+      count(*) filter (kind = 'complete' and kind_before = 'arrive') as completions,
+      sum(epoch_us(ts) - epoch_us(arrival)) filter (kind = 'complete' and kind_before = 'arrive') as lead
+      from ordered group by 1)
+    select {text('hour')} as window_start, {text('hour + interval 1 hour')} as window_end,
+      cast(sum(arrivals - completions) over (order by hour) as bigint) as l_work_in_progress, round(arrivals / 60, 3) as lambda_arrival_rate,
+      {half_up('lead', '60000000 * completions')} as w_lead_time_minutes, arrivals, completions
+    from hours where {passed}"""
+
+
+@query("law_windows", law_sql("user_id", "true"))
+def law_windows(spark, folder):
+    """ST6: L, lambda and W of every hour, with arrivals that replace each other."""
+    return flow.law_windows(events(spark, folder, "user_id"))
+
+
+@query("stream_littles_law", law_sql("user_id", "hour + interval 1 hour <= (select max(ts) from lifecycle) - interval 10 minute"))
+def stream_littles_law(spark, folder):
+    """ST6: the same on the stream, for hours that the watermark has passed."""
+    path = fresh_path(spark, "law")
+    stream_flow.law_on_stream(lifecycle_stream(spark, folder, "user_id"), path).awaitTermination()
+    return spark.read.parquet(f"{path}/windows").drop("batch_id")
+
+
+@query("stream_alert_changes", f"""with {READINGS}, steps as (select *,
+  coalesce(lag(status) over (partition by metric order by ts, reading_id), 'healthy') as level_before from readings)
+select metric, {text('ts')} as ts, reading_id, level_before, status as level from steps where status <> level_before""")
+def stream_alert_changes(spark, folder):
+    """K2 on a stream in which every reading comes twice: an alert wherever the level of a metric changes."""
+    path = fresh_path(spark, "readings")
+    read = readings(spark, folder)
+    for _ in range(2):
+        read.write.mode("append").parquet(path)
+    streamed = spark.readStream.schema(read.schema).parquet(path)
+    with stream_flow.on_rocksdb(spark):
+        return appended(spark, alerts.level_changes(streamed, LIMITS))
+
+
+REASONS = f"""with {RAW}, kinds as (select *, cast(InvoiceNo as bigint) as i from retail_raw), fields as (select *, array_to_string(list_filter([
+    case when i % 29 = 0 then 'Quantity' end, case when i % 37 = 0 then 'InvoiceDate' end, case when i % 31 = 0 then 'CustomerID' end],
+    lambda x: x is not null), ',') as untyped from kinds)
+select case when i % 23 = 0 or i % 19 = 0 then 'missing' else 'untyped' end as reason,
+  case when i % 23 = 0 then 'InvoiceNo,Quantity,UnitPrice' when i % 19 = 0 then 'UnitPrice' else untyped end as fields, count(*) as n
+from fields where i % 23 = 0 or i % 19 = 0 or untyped <> '' group by 1, 2"""
+
+
+@query("stream_dead_letter_reasons", REASONS)
+def stream_dead_letter_reasons(spark, folder):
+    """ST1: the dead letters of the stream, a sink of their own, by reason and fields."""
+    path = fresh_path(spark, "sinks")
+    foreign_messages(spark, folder).write.text(f"{path}/in")
+    stream.order_sinks(stream.read_order_stream(spark, f"{path}/in"), path).awaitTermination()
+    letters = spark.read.parquet(f"{path}/dead_letters")
+    return letters.groupBy("reason", F.array_join("rejected_fields", ",").alias("fields")).agg(F.count(F.lit(1)).alias("n"))

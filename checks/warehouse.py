@@ -81,11 +81,11 @@ def retail_text(spark: SparkSession, folder: str, columns: list[str] = RAW_COLUM
     return raw.withColumn("InvoiceDateText", text).select(*columns, "InvoiceDateText")
 
 
-def order_messages(raw: DataFrame) -> DataFrame:
-    """Raw lines as JSON payloads; those of some invoices are cut short."""
+def order_messages(raw: DataFrame, *more: str) -> DataFrame:
+    """Raw lines as JSON payloads; those of some invoices are cut short. ``more`` columns go along."""
     corrupt = F.col("InvoiceNo").cast("bigint") % 101 == 0
     payload = F.to_json(F.struct(*RAW_COLUMNS), JSON)
-    return raw.select(F.when(corrupt, F.substring(payload, 1, 10)).otherwise(payload).alias("value"))
+    return raw.select(F.when(corrupt, F.substring(payload, 1, 10)).otherwise(payload).alias("value"), *more)
 
 
 def order_lifecycle(events: DataFrame, order_id: str = "event_id") -> DataFrame:

@@ -138,6 +138,47 @@ def flow_windows(completed: DataFrame, minutes: int = 60, slide: int = 5) -> Dat
     )
 
 
+def flow_changes(events: DataFrame) -> DataFrame:
+    """``ts, change, lead_micros`` of every event: 1 where an order opens, -1 where one closes, with its lead time, else 0."""
+    opens = (F.col("kind") == "arrive") & F.coalesce(F.col("before.kind") != "arrive", F.lit(True))
+    change = F.when(opens, 1).when(closes_order(), -1).otherwise(0)
+    lead = F.when(closes_order(), F.unix_micros("ts") - F.unix_micros("before.ts"))
+    return with_event_before(events).select("ts", change.alias("change"), lead.alias("lead_micros"))
+
+
+def change_sums(changes: DataFrame, minutes: int) -> DataFrame:
+    """Changes per event-time window; works on streams."""
+    return (
+        changes.groupBy(F.window("ts", f"{minutes} minutes"))
+        .agg(
+            F.count_if(F.col("change") == 1).alias("arrivals"),
+            F.count("lead_micros").alias("completions"),
+            F.sum("lead_micros").alias("lead_micros"),
+        )
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "arrivals", "completions", "lead_micros")
+    )
+
+
+def law_of(windows: DataFrame, minutes: int, before: Column | None = None) -> DataFrame:
+    """L, lambda and W of windows of ``change_sums``: L is the orders open at the end, a running sum from ``before`` on."""
+    net = F.col("arrivals") - F.col("completions")
+    upto = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return windows.select(
+        "window_start",
+        "window_end",
+        (F.sum(net).over(upto) + (F.lit(0) if before is None else before)).alias("l_work_in_progress"),
+        F.round(F.col("arrivals") / minutes, 3).alias("lambda_arrival_rate"),
+        mean_lead(F.col("lead_micros"), F.col("completions")).cast("double").alias("w_lead_time_minutes"),
+        "arrivals",
+        "completions",
+    )
+
+
+def law_windows(events: DataFrame, minutes: int = 60) -> DataFrame:
+    """L, lambda and W in every window with events. The running sum is over windows, not events."""
+    return flow_changes(events).transform(change_sums, minutes).transform(law_of, minutes)
+
+
 def open_by_hour(events: DataFrame) -> DataFrame:
     """Open orders at the end of every hour with events: a running sum over hourly changes."""
     opens = (F.col("kind") == "arrive") & F.coalesce(F.col("before.kind") != "arrive", F.lit(True))

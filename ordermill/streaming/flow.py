@@ -6,6 +6,7 @@ reads and changes only the orders it has events of. A timer gives an order up th
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark import cloudpickle
@@ -13,9 +14,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from ordermill.operators.flow import flow_windows, lead_micros
+from ordermill.operators.flow import change_sums, flow_windows, law_of, lead_micros
 
 OPEN = "arrival_time timestamp, seq bigint"
+CHANGE = "ts timestamp, change int, lead_micros bigint"
+LAW = (
+    "window_start timestamp, window_end timestamp, l_work_in_progress bigint, lambda_arrival_rate double, "
+    "w_lead_time_minutes double, arrivals bigint, completions bigint"
+)
 OUTCOME = "order_id string, arrival_time timestamp, completion_time timestamp"
 LATENESS = "10 minutes"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -65,6 +71,41 @@ class OrderTracker(StatefulProcessor):
         pass
 
 
+class ChangeTracker(StatefulProcessor):
+    """Tells for every event by how much it changes the number of open orders, and the lead time of one that closes."""
+
+    def init(self, handle) -> None:
+        self.open = handle.getValueState("open", "micros bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrival = self.open.get()[0] if self.open.exists() else None
+        for row in sorted(rows, key=lambda r: (r.micros, r.seq)):
+            change, lead = 0, None
+            if row.kind == "arrive":
+                change, arrival = int(arrival is None), row.micros
+            elif arrival is not None:
+                change, lead, arrival = -1, row.micros - arrival, None
+            yield Row(ts=row.ts, change=change, lead_micros=lead)
+        if arrival is None:
+            self.open.clear()
+        else:
+            self.open.update((arrival,))
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def on_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that start meanwhile keep their state on RocksDB."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
 def order_flow(events: DataFrame, folder: str, give_up: timedelta | None = None, lateness: str = LATENESS) -> StreamingQuery:
     """Match a stream of lifecycle events ``order_id, kind, ts, seq``.
 
@@ -91,17 +132,56 @@ def order_flow(events: DataFrame, folder: str, give_up: timedelta | None = None,
         finally:
             batch.unpersist()
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
+    with on_rocksdb(spark):
         return (
             outcomes.writeStream.foreachBatch(step)
             .option("checkpointLocation", f"{folder}/_checkpoint")
             .trigger(availableNow=True)
             .start()
         )
-    finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+def law_on_stream(events: DataFrame, folder: str, minutes: int = 60, lateness: str = LATENESS) -> StreamingQuery:
+    """L, lambda and W of every window of a stream of lifecycle events, once the watermark has passed it.
+
+    Orders are followed in keyed state, their changes are summed up in windows by a second stateful step, and L goes
+    on from the sum of what earlier micro-batches have written to ``folder/windows``.
+    """
+    spark = events.sparkSession
+    source = events.select("order_id", "kind", "ts", F.unix_micros("ts").alias("micros"), "seq").withWatermark("ts", lateness)
+    changes = source.groupBy("order_id").transformWithState(ChangeTracker(), CHANGE, "append", "eventTime", eventTimeColumnName="ts")
+    target = f"{folder}/windows"
+
+    # so that there is a table to read before the first batch
+    spark.createDataFrame([], LAW).write.mode("ignore").parquet(f"{target}/batch_id=-1")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        earlier = batch.sparkSession.read.schema(f"{LAW}, batch_id bigint").parquet(target).where(F.col("batch_id") < batch_id)
+        before = earlier.agg(F.coalesce(F.sum(F.col("arrivals") - F.col("completions")), F.lit(0))).first()[0]
+        law_of(batch, minutes, F.lit(before)).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    with on_rocksdb(spark):
+        return (
+            change_sums(changes, minutes)
+            .writeStream.foreachBatch(step)
+            .option("checkpointLocation", f"{folder}/_checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+
+def joined_flow(events: DataFrame, within: str = "1 hour", lateness: str = LATENESS) -> DataFrame:
+    """Completions joined to arrivals of orders that arrive and complete once, on a stream and without Python.
+
+    An arrival waits for its completion for up to ``within``; when the watermark has passed that, it comes out without
+    one and leaves the state. Both sides are shuffled by order, so the state holds what arrived within the bound.
+    """
+    late = events.withWatermark("ts", lateness)
+    arrived = late.where("kind = 'arrive'").select("order_id", F.col("ts").alias("arrival_time"))
+    done = late.where("kind = 'complete'").select(F.col("order_id").alias("done_id"), F.col("ts").alias("completion_time"))
+    bound = (F.col("completion_time") >= F.col("arrival_time")) & (F.col("completion_time") <= F.col("arrival_time") + F.expr(f"interval {within}"))
+    joined = arrived.join(done, (F.col("order_id") == F.col("done_id")) & bound, "left_outer")
+    return joined.select("order_id", "arrival_time", "completion_time", (lead_micros() / 60000000).alias("lead_time_minutes"))
 
 
 def last_open(spark: SparkSession, folder: str) -> DataFrame:

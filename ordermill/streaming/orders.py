@@ -25,24 +25,45 @@ def read_order_stream(spark: SparkSession, path: str | None = None, files_per_ba
 
 
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Payload with its order as text fields, and whether it is one: JSON whose fields are of their types, with an
-    invoice, a quantity and a price."""
+    """Payload with its order as text fields, ``_reason`` where it is none, and the fields that are to blame.
+
+    An order is JSON whose fields are of their types, with an invoice, a quantity and a price.
+    """
     schema = T.StructType([*as_text(S.RAW_ORDER_LINE).fields, T.StructField("_corrupt", T.StringType())])
     order = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     fields = messages.select("value", order.alias("o")).select("value", "o.*", F.col("o").isNull().alias("_none"))
-    whole = ~F.col("_none") & F.col("_corrupt").isNull() & (F.size(untyped_fields()) == 0)
-    for name in S.MESSAGE_COLUMNS:
-        whole = whole & (F.coalesce(F.trim(name), F.lit("")) != "")
-    return fields.withColumn("_whole", whole)
+    blank = [F.when(F.coalesce(F.trim(name), F.lit("")) == "", name) for name in S.MESSAGE_COLUMNS]
+    fields = fields.withColumns({"_blank": F.array_compact(F.array(*blank)), "_untyped": untyped_fields()})
+    no_json = F.col("_none") | F.col("_corrupt").isNotNull()
+    reason = F.when(no_json, "not JSON").when(F.size("_blank") > 0, "missing").when(F.size("_untyped") > 0, "untyped")
+    blamed = F.when(F.col("_reason") == "missing", F.col("_blank")).when(F.col("_reason") == "untyped", F.col("_untyped"))
+    return fields.withColumn("_reason", reason).withColumn("_fields", blamed).drop("_none", "_corrupt", "_blank", "_untyped")
 
 
 def parse_orders(messages: DataFrame) -> DataFrame:
-    return _parsed(messages).where("_whole").transform(typed_orders)
+    return _orders(_parsed(messages))
+
+
+def _orders(parsed: DataFrame) -> DataFrame:
+    return parsed.where("_reason is null").transform(typed_orders)
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
     """Payloads that ``parse_orders`` leaves out."""
-    return _parsed(messages).where("not _whole").select("value")
+    return _rejects(_parsed(messages)).select("value")
+
+
+def _rejects(parsed: DataFrame) -> DataFrame:
+    return parsed.where("_reason is not null").select("value", F.col("_reason").alias("reason"), F.col("_fields").alias("rejected_fields"))
+
+
+def order_sinks(messages: DataFrame, folder: str) -> StreamingQuery:
+    """Every payload once: orders to ``folder/orders``, the others with reason and fields to ``folder/dead_letters``.
+
+    A micro-batch is parsed once for both. A batch that fails between its two outputs is run again and replaces what
+    it has written.
+    """
+    return write_batches(_parsed(messages), {"orders": _orders, "dead_letters": _rejects}, folder)
 
 
 def stream_revenue(orders: DataFrame) -> DataFrame:
@@ -91,6 +112,20 @@ def windowed_revenue(orders: DataFrame, length: str = "1 hour", slide: str | Non
     )
 
 
+def session_revenue(orders: DataFrame, gap: str = "30 minutes", lateness: str = "10 minutes") -> DataFrame:
+    """Revenue and orders of each customer's sessions: orders that follow each other within the gap.
+
+    On a stream, sessions that meet are merged in the state, and one comes out, once and for all, when the watermark
+    has passed its end.
+    """
+    late = orders.withWatermark("InvoiceDate", lateness) if orders.isStreaming else orders
+    return (
+        late.groupBy("CustomerID", F.session_window("InvoiceDate", gap))
+        .agg(F.sum("Revenue").cast(S.MONEY).alias("revenue"), F.count(F.lit(1)).alias("orders"))
+        .select("CustomerID", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "revenue", "orders")
+    )
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream of finished rows to a parquet table."""
     return (
