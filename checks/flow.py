@@ -369,7 +369,7 @@ def sessions(more: str = "") -> str:
     return f"""gaps as (select *, case when InvoiceDate <= lag(InvoiceDate) over w + interval 30 minute then 0 else 1 end as opens
       from (select coalesce(CustomerID, 99999) as CustomerID, InvoiceDate, cents from sold where InvoiceDate is not null)
       window w as (partition by CustomerID order by InvoiceDate)),
-    islands as (select *, sum(opens) over (partition by CustomerID order by InvoiceDate rows unbounded preceding) as island from gaps)
+    islands as (select *, sum(opens) over (partition by CustomerID order by InvoiceDate) as island from gaps)
     select CustomerID, {text('min(InvoiceDate)')} as session_start, {text("max(InvoiceDate) + interval 30 minute")} as session_end,
       cast(sum(cents) as double) / 100 as revenue, count(*) as orders from islands group by CustomerID, island {more}"""
 
