@@ -335,31 +335,54 @@ def judged(scored, column: str = "predicted_revenue"):
     return scored.withColumn(column, F.coalesce(F.col(column) > 0, F.lit(False)))
 
 
-@query("score_orders_forest", f"""{with_lines('')}, {REQUESTS}
-select quantity, unit_price, hour, day_of_week, month, country, price_category, quantity_category, is_weekend,
-  is_business_hours, true as predicted_revenue from binned_requests""")
+ASKED = ["quantity", "unit_price", "hour", "day_of_week", "month", "country", "price_category", "quantity_category", "is_weekend", "is_business_hours"]
+
+
+@query("score_orders_forest")
 def score_orders_forest(spark, folder):
-    """M8, S13 with the forest: every request with its inputs as used, and a prediction."""
+    """M8, S13 with the forest: every request with its inputs as used, and the predicted revenue."""
     forest, dictionary, _, _ = trained(spark, folder)
     scored = scoring.score_orders(scoring_requests(lines(spark, folder)), forest, dictionary)
-    kept = ["quantity", "unit_price", "hour", "day_of_week", "month", "country", "price_category", "quantity_category"]
-    return judged(scored).select(*kept, "is_weekend", "is_business_hours", "predicted_revenue")
+    return scored.select(*ASKED, "predicted_revenue")
 
 
-@query("score_simple_forest", with_lines("""select Quantity as quantity, cast(UnitPrice as double) as unit_price,
-  true as predicted_revenue, cast(cents as double) / 100 as actual_revenue from lines"""))
+@query("score_simple_forest")
 def score_simple_forest(spark, folder):
     """M9 with the forest."""
     forest, dictionary, _, _ = trained(spark, folder)
-    return judged(scoring.score_simple(scoring_requests(lines(spark, folder)), forest, dictionary))
+    return scoring.score_simple(scoring_requests(lines(spark, folder)), forest, dictionary)
 
 
-@query("score_samples_forest", with_lines("""select InvoiceNo, StockCode, Quantity, cast(UnitPrice as double) as UnitPrice,
-  true as predicted_revenue, cast(cents as double) / 100 as actual_revenue, true as fits from lines"""))
+@query("score_samples_forest")
 def score_samples_forest(spark, folder):
-    """M10, J6 with the forest; ``fits``: the difference is that of prediction and revenue."""
+    """M10, J6 with the forest: predicted and actual revenue of every line, and their difference."""
     forest, dictionary, _, _ = trained(spark, folder)
-    scored = scoring.score_samples(lines(spark, folder), forest, dictionary)
+    return scoring.score_samples(lines(spark, folder), forest, dictionary)
+
+
+# The same rows with what SQL can tell of a prediction: that it is one that revenue can have.
+
+
+@query("judged_orders_forest", f"""{with_lines('')}, {REQUESTS}
+select quantity, unit_price, hour, day_of_week, month, country, price_category, quantity_category, is_weekend,
+  is_business_hours, true as predicted_revenue from binned_requests""")
+def judged_orders_forest(spark, folder):
+    """M8 with the forest: every request with its inputs as used, and whether its prediction is above 0."""
+    return judged(score_orders_forest(spark, folder))
+
+
+@query("judged_simple_forest", with_lines("""select Quantity as quantity, cast(UnitPrice as double) as unit_price,
+  true as predicted_revenue, cast(cents as double) / 100 as actual_revenue from lines"""))
+def judged_simple_forest(spark, folder):
+    """M9 with the forest: whether predictions are above 0."""
+    return judged(score_simple_forest(spark, folder))
+
+
+@query("judged_samples_forest", with_lines("""select InvoiceNo, StockCode, Quantity, cast(UnitPrice as double) as UnitPrice,
+  true as predicted_revenue, cast(cents as double) / 100 as actual_revenue, true as fits from lines"""))
+def judged_samples_forest(spark, folder):
+    """M10 with the forest; ``fits``: the difference is that of prediction and revenue."""
+    scored = score_samples_forest(spark, folder)
     gap = F.abs(F.col("difference") - F.abs(F.col("predicted_revenue") - F.col("actual_revenue")))
     return judged(scored.withColumn("fits", gap < 0.0101)).drop("difference")
 

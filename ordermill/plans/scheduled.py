@@ -41,8 +41,8 @@ def run_scheduled(
     labelled = lines if sample_size is None else settled(sample_n(lines, sample_size, E.row_key()))
     dictionary = label_dictionary(labelled, S.CATEGORY_FEATURES)
     train, test = train_test_split(labelled)
-    encoded = label_encode(train, dictionary, S.CATEGORY_FEATURES).select(*FEATURES, "Revenue")
-    model = train_revenue_model(encoded, **({"minInstancesPerNode": 1} | forest))
+    encoded = label_encode(train, dictionary, S.CATEGORY_FEATURES).select(*FEATURES, "Revenue", E.row_key().alias("row_key"))
+    model = train_revenue_model(encoded, **({"min_leaf": 1} | forest))
     save_model(model, dictionary, f"{folder}/models", "cleaned order lines")
     loaded, encoders, _ = load_model(spark, f"{folder}/models")
     scored = loaded.transform(label_encode(test, encoders, S.CATEGORY_FEATURES))
@@ -54,7 +54,7 @@ def run_scheduled(
         ("read_orders", read_rows.get["rows"], None),
         ("clean_data", cleaned_rows.get["rows"], not lines.isEmpty()),
         ("batch_process_data", metric_rows.get["rows"], not spark.read.text(document).isEmpty()),
-        ("train_model", samples["samples"] if samples else 0, loaded.stages[-1].getNumTrees > 0),
+        ("train_model", samples["samples"] if samples else 0, not loaded.nodes.isEmpty()),
     ]
     table = spark.createDataFrame(stages, "stage string, rows bigint, file_created boolean")
     return table, run_report(table, total_tasks)
