@@ -3,8 +3,11 @@
 Documents are added up by the set of sources they belong to. A pattern can give its words once for nothing, a second
 and a third time at rising cost; a source takes words from the patterns it is part of up to its quota. The cost of a
 word depends only on how often its document has been given already, so the cheapest flow is found tier by tier: all
-that first copies can give, then second, then third ones, each by augmenting the flow so far. Only the patterns' sums
-reach the driver, of which there are at most ``MAX_PATTERNS``; more raise an error before anything is decided.
+that first copies can give, then second, then third ones, each by augmenting the flow so far.
+
+Flow only runs within groups of sources that some pattern ties together, each group in a task of its own; a source
+whose patterns are of that source alone gives what its quota takes, which Spark SQL works out for any number of
+sources. The driver sees two numbers a round of sharing out the targets, however many sources there are.
 
 Within a pattern whole copies go to all documents, and the rest to documents in a seeded order until its words are
 reached. That order is a digest of the seed and the id; its first digits make buckets whose sums tell where the rest
@@ -15,15 +18,16 @@ from __future__ import annotations
 
 from collections import deque
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.llm.ordering import numbered
 from ordermill.llm.store import written
 
 # The contract's weights in turn, and the most copies of a document.
 WEIGHTS = (1, 2, 3)
 COPIES = 3
-MAX_PATTERNS = 5_000
 SEED = "mix"
 #: Hexadecimal digits of a document's place that make its bucket.
 DIGITS = 4
@@ -96,60 +100,147 @@ def pattern_key(sources: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(named), ""), F.lit(""))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, copies: int = COPIES, seed: str = SEED) -> DataFrame:
-    """Adds ``source_size``, ``target``, ``repeats`` and ``taken`` to ``docs`` of id, sources (an array) and size.
+def source_goals(patterns: DataFrame, weights=WEIGHTS, copies: int = COPIES) -> DataFrame:
+    """``source, number, source_size, target`` of every source of the stored ``pattern, members, size``.
 
-    ``docs`` is read three times, so it should be a stored table; columns are ``id`` (text), ``sources``, ``size`` and
-    any others. Source size and target of a document are those of its first source.
+    Sources are numbered in the order of code points, null last, by ranges. Targets are shared out in rounds: sources
+    whose share is above ``copies`` times their size stop there, and what is over goes to the others, until none is.
     """
-    spark = docs.sparkSession
-    placed = (
-        docs.withColumn("pattern", pattern_key(F.col("sources")))
-        .withColumn("place", F.md5(F.concat(F.lit(seed + ":"), F.coalesce("id", F.lit("null"))).cast("binary")))
-        .withColumn("bucket", F.substring("place", 1, DIGITS))
-    )
-    members = F.array_sort(F.array_distinct("sources")).alias("sources")
-    found = placed.groupBy("pattern", members).agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} different sets of sources")
-    patterns = [(tuple(dict.fromkeys(r["sources"] or ())), r["size"]) for r in sorted(found, key=lambda r: r["pattern"])]
-    keys = sorted(r["pattern"] for r in found)
-    sizes: dict = {}
-    for own, size in patterns:
-        for s in own:
-            sizes[s] = sizes.get(s, 0) + size
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    goal = targets(sizes, weight, sum(size for _, size in patterns), copies)
-    flow = cheapest_flow(patterns, {s: round(goal[s]) for s in order}, copies)
-    plan = []
-    for key, (own, size), given in zip(keys, patterns, flow, strict=True):
-        words_out = sum(given.values())
-        whole, rest = divmod(words_out, size) if size else (0, 0)
-        first = own[0] if own else None
-        plan.append((key, sizes.get(first, 0) if own else 0, float(goal[first]) if own else 0.0, whole, rest))
-    kinds = "pattern string, source_size bigint, target double, whole bigint, rest bigint"
-    # one row for each pattern, so at most MAX_PATTERNS
-    planned = F.broadcast(spark.createDataFrame(plan, kinds))
+    big = "decimal(38,0)"
+    each = patterns.select(F.explode("members").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size"))
+    keys = [F.col("source").isNull().asc(), F.col("source").asc()]
+    order = numbered(written(each, "mixing-sources"), keys, "mixing-order").withColumnRenamed("row_number", "number")
+    cycle = F.array(*[F.lit(w) for w in weights])
+    order = written(order.withColumn("weight", F.get(cycle, (F.col("number") % len(weights)).cast("int"))), "mixing-weights")
+    cap, weight = F.col("source_size").cast(big) * copies, F.col("weight").cast(big)
+    total = patterns.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    left, open_weight = total, order.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    while True:
+        full = F.lit(left).cast(big) * weight > cap * F.lit(open_weight).cast(big)
+        found = order.where(full).agg(F.coalesce(F.sum(cap), F.lit(0)).alias("cap"), F.coalesce(F.sum("weight"), F.lit(0)).alias("weight")).first()
+        fewer, lighter = total - int(found["cap"]), order.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0] - found["weight"]
+        if (fewer, lighter) == (left, open_weight):
+            break
+        left, open_weight = fewer, lighter
+    share = F.lit(left).cast("double") * F.col("weight") / F.lit(open_weight or 1)
+    target = F.when(full, (F.col("source_size") * copies).cast("double")).otherwise(share)
+    return order.select("source", "number", "source_size", target.alias("target"))
+
+
+def _flow_of(copies: int):
+    def flowed(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("pattern")
+        patterns = [(tuple(str(n) for n in own), int(size)) for own, size in zip(group["numbers"], group["size"])]
+        quotas = {str(n): int(q) for own, room in zip(group["numbers"], group["quotas"]) for n, q in zip(own, room)}
+        out = [sum(given.values()) for given in cheapest_flow(patterns, quotas, copies)]
+        return pd.DataFrame({"pattern": group["pattern"], "words_out": out})
+
+    return flowed
 
+
+def _tied(members: DataFrame) -> DataFrame:
+    """``number, tie``: the sources that patterns of several sources tie together, and the least number of their group.
+
+    ``members`` is a stored ``pattern, number``. Least numbers go from sources to patterns and back until none changes.
+    """
+    several = members.join(members.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("pattern"), "pattern")
+    edges = written(several, "mixing-edges")
+    ties = written(edges.select("number").distinct().withColumn("tie", F.col("number")), "mixing-ties")
+    while True:
+        least = edges.join(ties, "number").groupBy("pattern").agg(F.min("tie").alias("least"))
+        after = edges.join(least, "pattern").groupBy("number").agg(F.min("least").alias("least")).join(ties, "number")
+        after = written(after.select("number", "tie", F.least("least", "tie").alias("least")), "mixing-ties")
+        if after.where("least < tie").isEmpty():
+            return ties
+        ties = after.select("number", F.col("least").alias("tie"))
+
+
+def mixing_plan(docs: DataFrame, weights=WEIGHTS, copies: int = COPIES, seed: str = SEED) -> DataFrame:
+    """What every pattern of the stored ``docs`` (id, sources, size) gives: ``pattern, source_size, target, whole, rest, edge, before``.
+
+    ``whole`` copies of all its documents, and ``rest`` words more, which end within the bucket ``edge`` of the seeded
+    order, ``before`` words from its beginning.
+    """
+    placed = _placed(docs, seed)
+    members = F.array_sort(F.array_distinct("sources")).alias("members")
+    patterns = written(placed.groupBy("pattern", members).agg(F.sum("size").alias("size")), "mixing-patterns")
+    goals = written(source_goals(patterns, weights, copies), "mixing-goals")
+    quota = F.bround("target", 0).cast("bigint").alias("quota")
+
+    spread = patterns.select("pattern", "size", F.posexplode("members").alias("at", "source"))
+    same = F.col("source").eqNullSafe(F.col("name"))
+    named = goals.select(F.col("source").alias("name"), "number", "source_size", "target", quota)
+    known = written(spread.join(named, same).drop("name", "source"), "mixing-members")
+    first = known.where("at = 0").select("pattern", "source_size", "target")
+    ties = _tied(known.select("pattern", "number"))
+    tied = known.join(ties, "number").groupBy("tie", "pattern", "size").agg(F.collect_list("number").alias("numbers"), F.collect_list("quota").alias("quotas"))
+    flowed = tied.groupBy("tie").applyInPandas(_flow_of(copies), "pattern string, words_out bigint")
+    alone = known.join(ties, "number", "left_anti").select("pattern", F.least("quota", F.col("size") * copies).alias("words_out"))
+    planned = patterns.select("pattern", "size").join(first, "pattern", "left").join(alone.unionByName(flowed), "pattern", "left")
+    some = F.col("size") > 0
+    words_out = F.coalesce("words_out", F.lit(0))
+    planned = planned.select(
+        "pattern",
+        F.coalesce("source_size", F.lit(0)).alias("source_size"),
+        F.coalesce("target", F.lit(0.0)).alias("target"),
+        F.when(some, F.floor(words_out / F.col("size")).cast("bigint")).otherwise(0).alias("whole"),
+        F.when(some, words_out % F.col("size")).otherwise(0).alias("rest"),
+    )
     each = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = (
         each.withColumn("upto", F.sum("words").over(run))
-        .join(planned, "pattern")
+        .join(planned.select("pattern", "rest"), "pattern")
         .where((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")))
         .groupBy("pattern")
         .agg(F.min_by(F.struct(F.col("bucket").alias("edge"), (F.col("upto") - F.col("words")).alias("before")), "bucket").alias("e"))
         .select("pattern", "e.edge", "e.before")
     )
-    decided = placed.join(planned, "pattern").join(F.broadcast(edge), "pattern", "left")
-    sure = decided.where("edge is null or bucket != edge").withColumn("extra", F.coalesce((F.col("bucket") < F.col("edge")).cast("bigint"), F.lit(0)))
-    row = Window.partitionBy("pattern").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = F.col("before") + F.coalesce(F.sum("size").over(row), F.lit(0))
-    near = decided.where("bucket = edge").withColumn("extra", (2 * so_far + F.col("size") <= 2 * F.col("rest")).cast("bigint"))
-    out = sure.unionByName(near).withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(F.least("whole", F.lit(1))))
-    out = out.withColumn("repeats", F.least("repeats", F.lit(copies)).cast("bigint")).withColumn("taken", F.col("repeats") * F.col("size"))
-    return out.drop("pattern", "place", "bucket", "whole", "rest", "edge", "before", "extra")
+    return planned.join(edge, "pattern", "left")
+
+
+def _placed(docs: DataFrame, seed: str) -> DataFrame:
+    return (
+        docs.withColumn("pattern", pattern_key(F.col("sources")))
+        .withColumn("place", F.md5(F.concat(F.lit(seed + ":"), F.coalesce("id", F.lit("null"))).cast("binary")))
+        .withColumn("bucket", F.substring("place", 1, DIGITS))
+    )
+
+
+def decided(docs: DataFrame, plan: DataFrame, size: Column, some: Column, copies: int = COPIES, seed: str = SEED) -> DataFrame:
+    """``docs`` (id, sources, ...) with ``repeats``, ``source_size`` and ``target`` by a stored ``mixing_plan``.
+
+    ``size`` is only worked out for the documents of each pattern's last bucket, ``some`` (has any words) for all. The
+    plan is dealt out over the first digits of the seeded order, so a pattern of very many documents is no hot key.
+    """
+    salt = F.substring("bucket", 1, 1)
+    salts = F.explode(F.array(*[F.lit(c) for c in "0123456789abcdef"]))
+    joined = _placed(docs, seed).withColumn("salt", salt).join(plan.withColumn("salt", salts), ["pattern", "salt"]).drop("salt")
+    sure = joined.where("edge is null or bucket != edge").withColumn("extra", F.coalesce((F.col("bucket") < F.col("edge")).cast("bigint"), F.lit(0)))
+    row = Window.partitionBy("pattern").orderBy("place", "id", "words").rowsBetween(Window.unboundedPreceding, -1)
+    near = joined.where("bucket = edge").withColumn("words", size)
+    so_far = F.col("before") + F.coalesce(F.sum("words").over(row), F.lit(0))
+    near = near.withColumn("extra", (2 * so_far + F.col("words") <= 2 * F.col("rest")).cast("bigint")).drop("words")
+    out = sure.unionByName(near)
+    repeats = F.when(some, F.col("whole") + F.col("extra")).otherwise(F.least("whole", F.lit(1)))
+    return out.withColumn("repeats", F.least(repeats, F.lit(copies)).cast("bigint")).drop(
+        "pattern", "place", "bucket", "whole", "rest", "edge", "before", "extra"
+    )
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, copies: int = COPIES, seed: str = SEED) -> DataFrame:
+    """Adds ``source_size``, ``target``, ``repeats`` and ``taken`` to ``docs`` of id, sources (an array) and size.
+
+    ``docs`` is read several times, so it should be a stored table; columns are ``id`` (text), ``sources``, ``size`` and
+    any others. Source size and target of a document are those of its first source.
+    """
+    plan = written(mixing_plan(docs.select("id", "sources", "size"), weights, copies, seed), "mixing-plan")
+    out = decided(docs, plan, F.col("size"), F.col("size") > 0, copies, seed)
+    return out.withColumn("taken", F.col("repeats") * F.col("size"))
+
+
+def _sized(docs: DataFrame, *more) -> DataFrame:
+    return docs.select(*more, F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), words(F.col("text")).alias("size"))
 
 
 def mixture(docs: DataFrame) -> DataFrame:
@@ -157,20 +248,26 @@ def mixture(docs: DataFrame) -> DataFrame:
     the words the mix takes of it.
 
     Null texts have no words and are never taken; a null source is a source of its own, the last; rows of equal id
-    have the same place in the seeded order. Without any words all targets are 0.
+    have the same place in the seeded order. There may be any number of sources, and texts of any length, as only
+    their sizes are kept. Without any words all targets are 0. An empty table gives no rows; other columns aren't
+    looked at.
     """
-    sized = written(
-        docs.select("doc_id", F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), words(F.col("text")).alias("size")),
-        "mixing",
-    )
-    return mixed(sized).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(written(_sized(docs, "doc_id"), "mixing")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def drawn(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with all their columns and ``repeats``, the copies of each."""
-    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    sized = docs.select(columns, F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources"), words(F.col("text")).alias("size"))
-    return mixed(sized).where("taken > 0").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], "repeats")
+    """The rows of ``docs`` that the mix takes, with all their columns and ``repeats``, the copies of each.
+
+    A column ``repeats`` of ``docs`` is replaced. Words are counted once, into a slim table that the plan is made of;
+    the rows then only meet the plan. Nulls, ties and empty tables are as in ``mixture``.
+    """
+    plan = written(mixing_plan(written(_sized(docs), "mixing")), "mixing-plan")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("string").alias("id"), F.array("source").alias("sources")
+    )
+    some = F.coalesce(F.rlike("row.text", F.lit(WORD)), F.lit(False))
+    out = decided(rows, plan, words(F.col("row.text")), some).where(some & (F.col("repeats") > 0))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "repeats"], "repeats")
 
 
 ORACLE = f"""

@@ -162,11 +162,57 @@ def test_overlapping_sources(spark):
     assert sum(r["taken"] for r in got) == 3000 and {r["repeats"] for r in got} == {1}
 
 
-def test_too_many_patterns(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
-    rows = [(str(k), [str(k)], 10) for k in range(4)]
-    with pytest.raises(ValueError, match="more than 3"):
-        mixing.mixed(spark.createDataFrame(rows, "id string, sources array<string>, size bigint"))
+def test_any_number_of_sources(spark):
+    """100,000 sources and no cap, against the targets by plain arithmetic."""
+    rows = spark.range(150_000).selectExpr(
+        "cast(id as string) as id", "array(concat('s', cast(id % 100000 as string))) as sources", "cast(1 + pow(id % 100000, 2) % 97 as bigint) as size"
+    )
+    got = mixing.mixed(rows).select("sources", "size", "source_size", "target", "taken").collect()
+    sizes = {}
+    for r in got:
+        sizes[r["sources"][0]] = sizes.get(r["sources"][0], 0) + r["size"]
+    goal = mixing.targets(sizes, {s: 1 + k % 3 for k, s in enumerate(sorted(sizes))}, sum(sizes.values()))
+    assert len(got) == 150_000 and all(r["target"] == pytest.approx(goal[r["sources"][0]]) for r in got)
+    taken = {}
+    for r in got:
+        taken[r["sources"][0]] = taken.get(r["sources"][0], 0) + r["taken"]
+        assert r["taken"] <= 3 * r["size"] and r["source_size"] == sizes[r["sources"][0]]
+    assert all(abs(taken[s] - goal[s]) <= 98 for s in sizes)
+
+
+def test_tied_sources_flow_together_and_others_alone(spark):
+    """Groups of overlapping sources beside single ones give what one flow over all of them gives."""
+    pick = random.Random(9)
+    rows = []
+    for k in range(400):
+        group = pick.choice("abc")
+        own = [f"{group}{n}" for n in range(4)]
+        rows.append((str(k), pick.sample(own, pick.choice([1, 2, 3])) if group != "c" else [pick.choice(own)], pick.randrange(1, 30)))
+    got = mixing.mixed(spark.createDataFrame(rows, "id string, sources array<string>, size bigint")).collect()
+    patterns, total = {}, 0
+    for _, own, size in rows:
+        patterns[tuple(sorted(own))] = patterns.get(tuple(sorted(own)), 0) + size
+        total += size
+    sizes = {}
+    for own, size in patterns.items():
+        for s in own:
+            sizes[s] = sizes.get(s, 0) + size
+    goal = mixing.targets(sizes, {s: 1 + k % 3 for k, s in enumerate(sorted(sizes))}, total)
+    each = sorted(patterns.items())
+    flow = mixing.cheapest_flow(each, {s: round(g) for s, g in goal.items()})
+    taken = {}
+    for r in got:
+        taken[tuple(sorted(r["sources"]))] = taken.get(tuple(sorted(r["sources"])), 0) + r["taken"]
+    assert abs(sum(taken.values()) - sum(sum(f.values()) for f in flow)) <= 30 * len(each)
+    cost = sum(max(0, n - patterns[own]) + max(0, n - 2 * patterns[own]) for own, n in taken.items())
+    best = sum(max(0, sum(f.values()) - size) + max(0, sum(f.values()) - 2 * size) for (_, size), f in zip(each, flow))
+    assert cost <= best + 60 * len(each)
+
+
+def test_a_column_called_repeats_is_replaced(docs):
+    table = docs((1, "a b"), (2, None)).withColumn("repeats", F.lit("clash")).withColumn("pattern", F.lit("clash"))
+    left = mixing.drawn(table)
+    assert left.columns == [*[c for c in table.columns if c != "repeats"], "repeats"] and [r["repeats"] for r in left.collect()] == [1]
 
 
 def _same(got, want):
@@ -178,7 +224,7 @@ def _same(got, want):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"create view {table} as select * from read_parquet('{SMALL}/{table}.parquet')")
     df = QUERIES[name](spark, SMALL)
     result = con.execute(ORACLES[name])
@@ -186,7 +232,7 @@ def test_oracle(spark, name):
 
 
 def test_queries_say_what_they_do():
-    assert {q.split("_")[0] for q in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {q.split("_")[0] for q in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
     assert all(q.__doc__ for q in QUERIES.values()) and all(f.__doc__ for _, f in corpus_pipeline.STAGES)
 
 
