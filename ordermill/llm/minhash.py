@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import text as tx
+from ordermill.llm.ordering import numbered
 from ordermill.llm.store import scratch, written
 
 SHINGLE = 5
@@ -87,14 +88,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = (np.array([d[k] for d in digests], dtype=np.uint64).view(np.int64) for k in (0, 1))
             values = [batch.column("doc_id").slice(row, end - row), pa.array(sizes, pa.int64()), pa.array(a), pa.array(b)]
             values.append(pa.array([bands.get(k) for k in range(len(sizes))], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands"])
+            values.append(batch.column("text_hash").slice(row, end - row))
+            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands", "text_hash"])
+
+
+def _own(docs: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Id and text of each row, and a hash of the text that tells rows of one id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias(name), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
 def signed(docs: DataFrame) -> DataFrame:
     """Set size, set digest and buckets of each document, written to the shared folder."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, digest_a bigint, digest_b bigint, bands array<bigint>"
-    return written(source.mapInArrow(_sign, schema), "minhash-signatures")
+    schema = "doc_id bigint, n_shingles bigint, digest_a bigint, digest_b bigint, bands array<bigint>, text_hash bigint"
+    return written(_own(docs).mapInArrow(_sign, schema), "minhash-signatures")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,17 +212,18 @@ def _rest(group: pa.Table, similar: int) -> pa.Table:
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """Confirmed links (a, b) among ``classes`` (id, bands, n_shingles): enough to join all that are linked.
+    """Confirmed links (a, b) among ``classes`` (id, doc_id, text_hash, bands, n_shingles): enough to join all that are linked.
 
-    ``classes`` is a stored table.
+    ``classes`` is a stored table; doc_id and text_hash name a row that has the set of the class.
     """
     spread = classes.select("id", F.explode("bands").alias("bucket"))
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = written(spread.join(centres, "bucket").where("id != centre"), "members")
     pairs = members.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     wanted = written(members.select("id").union(members.select(F.col("centre").alias("id"))).distinct(), "wanted")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "id bigint, shingles binary"), "sets")
+    wanted = written(classes.select("id", "doc_id", "text_hash").join(wanted, "id"), "wanted")
+    texts = _own(docs).join(wanted, ["doc_id", "text_hash"]).select("id", "text")
+    sets = written(texts.mapInArrow(_sets, "id bigint, shingles binary").dropDuplicates(["id"]), "sets")
     tested = written(confirmed(pairs, sets), "tested")
     links = written(tested.where(100 * F.col("common") >= similar * F.col("joint")).select("a", "b"), "links")
 
@@ -241,17 +249,34 @@ def linked_classes(docs: DataFrame, classes: DataFrame, similar: int = SIMILAR)
 
 
 def grouped(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of ``docs``, stored; see ``near_duplicates``."""
+    """``doc_id, text_hash, n_shingles, component_id, class, keeps`` of each row of ``docs``, stored; see ``near_duplicates``.
+
+    ``class`` numbers the different sets in the order of their smallest ids, and so tells texts of one id apart;
+    ``keeps`` is true for rows of that smallest id in the class that a component is named by.
+    """
     with scratch(docs.sparkSession):
         signs = signed(docs)
         full = signs.where("n_shingles > 0 and doc_id is not null")
         key = ["n_shingles", "digest_a", "digest_b"]
-        classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
+        first = F.struct("doc_id", "text_hash")
+        classes = full.groupBy(*key).agg(F.min(first).alias("first"), F.min_by("bands", first).alias("bands"))
+        classes = written(classes.select(*key, "first.doc_id", "first.text_hash", "bands"), "classes")
+        classes = numbered(classes, [F.col(c).asc() for c in ("doc_id", *key)], "class-order").withColumnRenamed("row_number", "id")
+        classes = written(classes, "classes")
         found = components(linked_classes(docs, classes, similar))
-        named = classes.select(*key, "id").join(found, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+        named = classes.select(*key, "id", F.col("doc_id").alias("least")).join(found, "id", "left")
+        named = named.withColumn("component", F.coalesce("component", "id"))
+        roots = classes.select(F.col("id").alias("component"), F.col("doc_id").alias("component_id"))
+        named = named.join(roots, "component").withColumn("root", F.col("id") == F.col("component"))
         in_set = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-        component = F.when(in_set, F.col("component_id")).otherwise(F.col("doc_id"))
-        out = signs.drop("bands").join(named, key, "left").select("doc_id", "n_shingles", component.alias("component_id"))
+        out = signs.drop("bands").join(named, key, "left").select(
+            "doc_id",
+            "text_hash",
+            "n_shingles",
+            F.when(in_set, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(in_set, F.col("id")).alias("class"),
+            F.when(in_set, F.col("root") & (F.col("doc_id") == F.col("least"))).alias("keeps"),
+        )
         return written(out, "near-duplicates", keep=True)
 
 
@@ -260,26 +285,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents whose sets have a Jaccard similarity of 0.85 or more are linked; a component is named by its smallest
     id, and that document is the one kept. Null and empty texts, and texts without words, have no set and are linked
-    with nothing, and neither are rows with a null id (they are kept, in no component). Rows of equal id count as one
-    document. Texts are handled whole.
+    with nothing, and neither are rows with a null id (they are kept, in no component). Rows of equal id are linked
+    by their own texts. An empty table gives no rows. Texts are handled whole.
     """
     return grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, similar: int = STAGE_SIMILAR) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are the first of their component; of rows of equal id one.
+    """The rows of ``docs``, with all their columns, that are the first of their component.
 
-    Documents are linked from a similarity of ``similar`` percent on. Rows with a null id all stay.
+    Documents are linked from a similarity of ``similar`` percent on. It goes by row: of rows of one id and the same
+    set of shingles one stays, those of one id and different texts stand or fall each by its own. Rows with a null id
+    and rows without words all stay. An empty table stays one.
     """
-    groups = grouped(docs, similar).where("doc_id is not null").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
-    # what to do with the ids that aren't simply kept, a table of its own whose size Spark knows
-    rules = groups.where("doc_id != component_id or rows > 1").select(F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("component_id")).alias("first"))
+    rows = grouped(docs, similar).where("class is not null").groupBy("doc_id", "text_hash", "class", "keeps").agg(F.count(F.lit(1)).alias("n"))
+    rows = written(rows, "near-duplicate-rows", keep=True)
+    each = rows.groupBy("doc_id", "class", "keeps").agg(F.sum("n").alias("n")).where("not keeps or n > 1").drop("n", "keeps")
+    # what to do with the rows that aren't simply kept, a table of its own whose size Spark knows
+    rules = rows.join(each, ["doc_id", "class"]).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "class", "keeps")
     rules = written(rules, "near-duplicate-rules", keep=True)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    ruled = docs.select(row, F.col("doc_id").cast("bigint").alias("id")).join(rules, "id", "left")
-    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row.text"), F.length("row.text")))
-    repeated = ruled.where("first").withColumn("nth", nth).where("nth = 1")
-    return ruled.where("first is null").select("row").union(repeated.select("row")).select("row.*")
+    ruled = docs.select(row, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    ruled = ruled.join(rules, ["id", "hash"], "left")
+    nth = F.row_number().over(Window.partitionBy("id", "class").orderBy("hash", F.length("row.text")))
+    repeated = ruled.where("keeps").withColumn("nth", nth).where("nth = 1")
+    return ruled.where("keeps is null").select("row").union(repeated.select("row")).select("row.*")
 
 
 ORACLE = f"""

@@ -186,10 +186,16 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, copies: int = COPIES, seed: st
         F.when(some, F.floor(words_out / F.col("size")).cast("bigint")).otherwise(0).alias("whole"),
         F.when(some, words_out % F.col("size")).otherwise(0).alias("rest"),
     )
-    each = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
-    run = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # running sums over the buckets: within those of one first digit pair, and over these pairs
+    each = placed.groupBy("pattern", F.substring("bucket", 1, 2).alias("head"), "bucket").agg(F.sum("size").alias("words"))
+    heads = each.groupBy("pattern", "head").agg(F.sum("words").alias("words"))
+    earlier = Window.partitionBy("pattern").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select("pattern", "head", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("so_far"))
+    run = Window.partitionBy("pattern", "head").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = (
-        each.withColumn("upto", F.sum("words").over(run))
+        each.withColumn("inside", F.sum("words").over(run))
+        .join(heads, ["pattern", "head"])
+        .withColumn("upto", F.col("so_far") + F.col("inside"))
         .join(planned.select("pattern", "rest"), "pattern")
         .where((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")))
         .groupBy("pattern")

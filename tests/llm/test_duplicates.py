@@ -81,6 +81,16 @@ def test_null_ids_and_repeated_rows(docs):
     assert left.columns == docs((1, "")).columns
 
 
+def test_rows_of_one_id_stand_by_their_own_texts(docs):
+    one, other, third = ("a b c d e f", "v w x y z", "k l m n o")
+    rows = [(1, one), (5, one), (5, other), (5, third), (5, third + " "), (9, other), (7, ""), (7, "")]
+    left = sorted((r["doc_id"], r["text"]) for r in minhash.without_near_duplicates(docs(*rows)).collect())
+    # 5 loses its copy of 1's text and one of its two equal ones; 9 is a copy of what 5 still has
+    assert [(i, t.strip()) for i, t in left] == [(1, one), (5, third), (5, other), (7, ""), (7, "")]
+    got = minhash.near_duplicates(docs(*rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (5, 1), (5, 5), (5, 5), (5, 5), (7, 7), (7, 7), (9, 5)]
+
+
 def test_the_stage_links_pairs_from_eight_tenths_on(spark, docs):
     """Pairs at 0.79, 0.80, 0.82, 0.84 and 0.90 of texts without a repeated word: the stage drops all but the first."""
     rng, rows = random.Random(9), []
