@@ -22,16 +22,15 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.store import scratch, written
 
-#: Most labelled rows that are learned from (picked by a hash of the id), and most terms of the lexicon.
+#: Most labelled rows that are learned from, picked by a hash of the id. The lexicon is bounded by their words alone.
 LABELLED_ROWS = 20_000
-LEXICON_TERMS = 2_000
 #: A term must be in so many toxic rows, and so many times likelier there.
 LEAST_ROWS, LEAST_ODDS = 3, 8.0
 #: Words without any bearing on the label that are expected to come into the lexicon by chance.
 BY_CHANCE = 1.0
 #: Words added to each text's length, so that one hit in a very short text isn't all.
 LENGTH_PRIOR = 20
-#: Phrases in which a lexicon term says nothing bad.
+#: Phrases in which a lexicon term says nothing bad, for callers that want to give some; others are learned.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy")
 
 # Letters of other alphabets that look like Latin ones, and signs used in place of letters.
@@ -108,7 +107,7 @@ def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             found, labels = [], []
             part = batch.slice(at, 500)
             for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
-                own = {w for w in WORD.findall(fold(text or "")) if 3 <= len(w) <= 40}
+                own = {w for w in WORD.findall(fold(text or "")) if len(w) >= 2}
                 found.extend(own)
                 labels.extend([label] * len(own))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())], names=["word", "toxic"])
@@ -119,11 +118,12 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, exceptions=EXCEPTIONS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, exceptions=()) -> Model:
     """Fit the lexicon and the curve to at most ``rows`` labelled texts, none of them held out.
 
     Ids without a label, labels without a text, and null ids or labels are left out; an id labelled more than once
-    is toxic if any of its labels says so. Without labels of both kinds the lexicon is empty.
+    is toxic if any of its labels says so. Without labels of both kinds the lexicon is empty. ``exceptions`` are phrases
+    besides those that the clean rows tell, see ``clean_phrases``.
     """
     picked = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -185,13 +185,12 @@ def _fitted(texts: DataFrame, exceptions) -> Model:
         .where(likelier >= LEAST_ODDS)
         .withColumn("evidence", part("bad", share) + part("good", 1 - share))
         .where(F.col("evidence") > needed)
-        .orderBy(F.desc("evidence"), F.desc("bad"), "word")
-        .limit(LEXICON_TERMS)
         .collect()
     )
     # a term's weight is the logarithm of how many times likelier it is in toxic rows at least
     weights = {r["word"]: least_log_odds(r["bad"], r["good"], needed) - math.log(n[1] / n[0]) for r in lexicon}
-    model = Model(weights, tuple(fold(e) for e in exceptions))
+    odds = {r["word"]: r["bad"] / (r["bad"] + r["good"]) for r in lexicon}
+    model = Model(weights, tuple(sorted({fold(e) for e in exceptions} | clean_phrases(texts, odds, needed))))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = matcher(model)
@@ -205,6 +204,37 @@ def _fitted(texts: DataFrame, exceptions) -> Model:
     return Model(weights, model.exceptions, slope, middle)
 
 
+def clean_phrases(texts: DataFrame, odds: dict[str, float], needed: float) -> set[str]:
+    """Phrases of a lexicon term and the word before or after it that clean rows alone have, too often for chance.
+
+    ``odds`` is the share of each term's rows that are toxic. That all of n rows with one of its phrases are clean has a
+    chance of (1 - share)^n; it must be beyond the evidence that was asked of the terms.
+    """
+
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, terms, labels = [], [], []
+            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                own, folded = set(), fold(text.as_py() or "")
+                spans = [(m.start(), m.end()) for m in WORD.finditer(folded)]
+                for k, (start, end) in enumerate(spans):
+                    if folded[start:end] in odds:
+                        for a, b in ((spans[k - 1][0] if k else start, end), (start, spans[k + 1][1] if k + 1 < len(spans) else end)):
+                            if b - a > end - start:
+                                own.add((folded[a:b], folded[start:end]))
+                found += [phrase for phrase, _ in own]
+                terms += [term for _, term in own]
+                labels += [label] * len(own)
+            columns = [pa.array(found, pa.string()), pa.array(terms, pa.string()), pa.array(labels, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["phrase", "term", "toxic"])
+
+    if not odds:
+        return set()
+    seen = texts.mapInArrow(phrases, "phrase string, term string, toxic int").groupBy("phrase", "term")
+    clean = seen.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("rows")).where("bad = 0 and rows >= 3").collect()
+    return {r["phrase"] for r in clean if -r["rows"] * math.log1p(-min(odds[r["term"]], 1 - 1e-9)) > needed}
+
+
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """Slope and middle of the curve that fits the labels best, by Newton's method with a weak pull to 0."""
     order = np.lexsort((y, x))
@@ -242,8 +272,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> D
     """One row for each row of ``docs``: whether its label was held out, its score, and 1 where that is 0.5 or more.
 
     One pass over the texts picks the labelled ones, which the model is learned from, and one scores all; neither
-    shuffles a text.
-    Repeated rows get equal scores; a null id counts as not held out or held out by the empty string's checksum.
+    shuffles a text. Null, empty and wordless texts score as having no hits, very long ones as a whole, by their hits
+    per words. Repeated rows get equal scores, and so do equal texts; a null id counts as not held out or held out by
+    the empty string's checksum. An empty table gives no rows; other columns aren't looked at.
     """
     scored = scores(docs, learn(docs, labels, rows))
     return scored.select(
@@ -255,7 +286,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> D
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that score under 0.5, with all their columns."""
+    """The rows of ``docs`` that score under 0.5, with all their columns.
+
+    Each row is judged by its text alone: repeated rows go or stay together, null and empty texts stay unless having no
+    hit already scores 0.5. Very long texts are scored whole. An empty table stays one; columns may have any names.
+    """
     schema = docs.schema
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

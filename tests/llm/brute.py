@@ -231,3 +231,14 @@ def trie(conversations):
         ends = ",".join(str(c) for c in sorted(who) if len(conversations[c]) == len(p))
         out.append((min(who), len(p), min(members[p[:-1]]) if p else None, len(who), children[p], *below[p], sha(ends)))
     return out
+
+
+def toxic_score(folded, model):
+    """Score of a folded text: term hits between letters, less those within an exception phrase, by a plain search"""
+    def hits(term):
+        return [m.span() for m in re.finditer(rf"(?<![^\W\d_]){re.escape(term)}(?![^\W\d_])", folded)]
+
+    spared = [s for phrase in model.exceptions for s in hits(phrase)]
+    total = sum(w for term, w in model.weights.items() for a, b in hits(term) if not any(x <= a and b <= y for x, y in spared))
+    x = math.log1p(100 * total / (len(folded.split()) + 20))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * (x - model.middle)))))

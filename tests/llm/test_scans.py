@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -228,3 +229,60 @@ def test_held_out_accuracy(spark):
 
 def test_patterns_of_fixed_values():
     assert all(re.fullmatch("[a-z]+", t) for t in (*url_filter.STRICT, *url_filter.SOFT))
+
+
+def test_constants_are_not_put_together_without_end():
+    """A text of a megabyte that adds up a long constant takes neither its sum's memory nor its time."""
+    text = 'a = "' + "Zq9" * 1300 + '"\nsecret_token = ' + "a + " * 250_000 + "a\n"
+    tracemalloc.start()
+    base, further = secret_scan.find_secrets(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 50_000_000 and [kind for _, _, kind in further] == ["literal"]
+
+
+def test_long_values_score_as_their_text_would():
+    for parts in (["aB3$" * 100] * 30, ["x" * 300] * 40, ["<", "b" * 5000, ">"], ["your_", "c" * 5000], ["ab ", "c" * 5000]):
+        pieces = secret_scan.Value(*parts)
+        whole = "".join(parts)
+        bits = secret_scan.Value(whole)
+        assert pieces.counts == bits.counts and pieces.length == len(whole)
+        assert (secret_scan.literal_score(pieces) < 0) == bool(secret_scan.STAND_IN.match(whole) or " " in whole)
+        assert secret_scan.literal_score(pieces) == pytest.approx(secret_scan.literal_score(bits))
+
+
+def test_one_soft_term_never_blocks():
+    terms = url_filter.automaton(url_filter.STRICT, url_filter.SOFT)
+    assert url_filter.terms_in("http://a.org/viagra/viagra?viagra", terms) == (0, 1, 2)
+    assert url_filter.terms_in("http://a.org/cheap-viagra", terms) == (0, 2, 3)
+    assert url_filter.terms_in("http://a.org/xxx/" + "y" * 100_000, terms)[0] == 1
+
+
+def test_one_soft_term_is_allowed_several_are_not(spark):
+    urls = ["http://a.org/viagra", "http://a.org/viagra/viagra", "http://a.org/cheap-viagra", "http://a.org/free/casino", "http://a.org/" + "z" * 1_000_000]
+    pages = spark.createDataFrame([(k, u, "clash") for k, u in enumerate(urls)], "page_id bigint, url string, verdict string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(pages).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "block", 3: "block", 4: "allow"}
+
+
+def test_clean_phrases_are_learned(spark, docs):
+    """A term that is bad alone but harmless in one phrase; a plain scorer by the same model agrees on every text."""
+    rows = [(k, f"you are a scum person {k}", 1) for k in range(60)] + [(100 + k, f"the pond scum grows {k}", 0) for k in range(30)]
+    rows += [(200 + k, f"a walk in the park {k}", 0) for k in range(200)]
+    documents = docs(*[r[:2] for r in rows])
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.learn(documents, labels)
+    assert toxicity.fold("scum") in model.weights and toxicity.fold("pond scum") in model.exceptions
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(documents, model).collect()}
+    for i, text, _ in rows:
+        assert got[i] == pytest.approx(brute.toxic_score(toxicity.fold(text), model))
+    left = {r["doc_id"] for r in toxicity.without_toxic(documents.withColumn("score", F.lit(9)), model).collect()}
+    assert left == {i for i in got if got[i] < 0.5} and not left & set(range(60)) and left >= set(range(100, 130))
+
+
+def test_without_toxic_keeps_columns_and_odd_rows(spark, docs):
+    model = toxicity.Model({"bad": 5.0}, (), 2.0, 1.0)
+    table = docs((1, None), (2, ""), (3, "bad"), (3, "bad"), (None, "good"), (4, "good " * 400_000 + "bad"))
+    left = toxicity.without_toxic(table, model)
+    assert left.columns == table.columns and sorted(repr(r["doc_id"]) for r in left.collect()) == ["1", "2", "4", "None"]
+    assert toxicity.without_toxic(table.where("false"), model).count() == 0
