@@ -212,18 +212,22 @@ def _rest(group: pa.Table, similar: int) -> pa.Table:
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """Confirmed links (a, b) among ``classes`` (id, doc_id, text_hash, bands, n_shingles): enough to join all that are linked.
+    """Confirmed links (a, b) among ``classes`` (id, doc_id, text_hash, repeated, bands, n_shingles): enough to join all that are linked.
 
-    ``classes`` is a stored table; doc_id and text_hash name a row that has the set of the class.
+    ``classes`` is a stored table; doc_id and text_hash name the rows that have the set of the class, of which there
+    are several if ``repeated``. Only such texts are shuffled to be made one.
     """
     spread = classes.select("id", F.explode("bands").alias("bucket"))
     centres = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = written(spread.join(centres, "bucket").where("id != centre"), "members")
     pairs = members.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     wanted = written(members.select("id").union(members.select(F.col("centre").alias("id"))).distinct(), "wanted")
-    wanted = written(classes.select("id", "doc_id", "text_hash").join(wanted, "id"), "wanted")
-    texts = _own(docs).join(wanted, ["doc_id", "text_hash"]).select("id", "text")
-    sets = written(texts.mapInArrow(_sets, "id bigint, shingles binary").dropDuplicates(["id"]), "sets")
+    wanted = written(classes.select("id", "doc_id", "text_hash", "repeated").join(wanted, "id"), "wanted")
+    texts = _own(docs).join(wanted, ["doc_id", "text_hash"]).select("id", "text", "repeated")
+    once = texts.where("not repeated").select("id", "text")
+    if not wanted.where("repeated").isEmpty():
+        once = once.unionByName(texts.where("repeated").select("id", "text").dropDuplicates(["id"]))
+    sets = written(once.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
     tested = written(confirmed(pairs, sets), "tested")
     links = written(tested.where(100 * F.col("common") >= similar * F.col("joint")).select("a", "b"), "links")
 
@@ -261,6 +265,8 @@ def grouped(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
         first = F.struct("doc_id", "text_hash")
         classes = full.groupBy(*key).agg(F.min(first).alias("first"), F.min_by("bands", first).alias("bands"))
         classes = written(classes.select(*key, "first.doc_id", "first.text_hash", "bands"), "classes")
+        repeated = full.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "text_hash", F.lit(True).alias("r"))
+        classes = classes.join(repeated, ["doc_id", "text_hash"], "left").withColumn("repeated", F.coalesce("r", F.lit(False))).drop("r")
         classes = numbered(classes, [F.col(c).asc() for c in ("doc_id", *key)], "class-order").withColumnRenamed("row_number", "id")
         classes = written(classes, "classes")
         found = components(linked_classes(docs, classes, similar))
