@@ -223,7 +223,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, similar: int = SIMILAR)
     pairs = members.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     wanted = written(members.select("id").union(members.select(F.col("centre").alias("id"))).distinct(), "wanted")
     wanted = written(classes.select("id", "doc_id", "text_hash", "repeated").join(wanted, "id"), "wanted")
-    texts = _own(docs).join(wanted, ["doc_id", "text_hash"]).select("id", "text", "repeated")
+    # by the ids alone first, a table of one column: what is joined by more than them is small then
+    ids = written(wanted.select("doc_id").distinct(), "wanted-ids")
+    texts = _own(docs).join(ids, "doc_id", "left_semi").join(wanted, ["doc_id", "text_hash"]).select("id", "text", "repeated")
     once = texts.where("not repeated").select("id", "text")
     if not wanted.where("repeated").isEmpty():
         once = once.unionByName(texts.where("repeated").select("id", "text").dropDuplicates(["id"]))
