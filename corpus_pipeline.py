@@ -2,6 +2,10 @@
 
 Each stage is a function of the session, the documents its predecessor kept, and the folder of the other tables. All
 but the last return the columns of documents; the last adds ``repeats``, how often the mix takes a document.
+
+Every stage takes an empty table for one, texts of any length whole, and other columns of any name along with their
+rows; the last one replaces a column called ``repeats``. Rows are judged one by one: repeated rows stay or go alike in
+the first two and the fourth stage, one of them stays in the third, and the last gives each its own copies.
 """
 
 from __future__ import annotations
@@ -29,7 +33,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates (a similarity of 0.8 or more)."""
+    """One document, that of the smallest id, of each group of near-duplicates (a similarity of 0.8 or more).
+
+    Rows without an id or without words all stay; rows of one id are judged by their own texts.
+    """
     ship(spark)
     return minhash.without_near_duplicates(docs, minhash.STAGE_SIMILAR)
 
