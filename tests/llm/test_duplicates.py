@@ -204,20 +204,36 @@ def test_line_dedup_keeps_columns_and_drops_emptied_documents(docs):
     assert by_id(got, "text", "n_chars", "row") == {1: (rows[0][1], 27, "x"), 3: (None, None, "x"), 4: ("", 0, "x"), 5: ("other\n", 6, "x")}
 
 
-def test_longer_runs_by_doubling():
-    """Names at depth three join two overlapping names of depth two."""
-    import pyarrow as pa
-
-    from ordermill.llm.blocks import Block
-
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a\nb\nc\nd", "b\nc\nd\na\nb\nc"])], names=["doc_id", "text"])
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
-    block = Block(sink.getvalue())
-    found = line_dedup.Lines(block)
-    depth, at, names = found.names(3, 99)[-1]
-    assert depth == 3 and at.tolist() == [0, 1, 4, 5, 6, 7] and names[0] == names[5] and names[1] == names[2]
+@pytest.mark.parametrize("least", [1, 3, 4, 7])
+def test_longer_runs_by_doubling(docs, least):
+    """Rounds beyond the first, and depths for which the last pair overlaps."""
+    rng, pool = random.Random(least), ["a", "b", "c d", "e f g h i"]
+    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 14)))) for k in range(25)]
+    rows += [(100, "\n".join(["a", "b"] * 9)), (101, rows[5][1]), (102, "\n" + rows[5][1].replace("\n", "\n\n"))]
+    got = by_id(line_dedup.line_report(docs(*rows), least, 5 if least > 1 else 1), "n_lines", "n_deleted", "n_runs", "kept_sha256")
+    assert got == {i: (*r[:3], brute.sha(r[3])) for i, r in brute.lines(rows, least, 5 if least > 1 else 1).items()}
+
+
+def test_lines_of_one_id_and_of_no_id(docs):
+    long, pair = "one two three four five six", "x\ny"
+    rows = [(3, long), (3, long), (3, pair), (3, pair + "\nz"), (None, long + "\nown"), (None, pair), (4, "")]
+    got = sorted((repr(r["doc_id"]), r["n_lines"], r["n_deleted"]) for r in line_dedup.line_report(docs(*rows)).collect())
+    assert got == [("3", 1, 0), ("3", 1, 0), ("3", 2, 0), ("3", 3, 0), ("4", 0, 0), ("None", 2, 1), ("None", 2, 2)]
+
+
+def test_lines_that_sums_of_powers_confuse(docs):
+    """A Thue-Morse word and its complement are different lines and different words."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three four {word}"), (2, f"one two three four {other}")]
+    assert by_id(line_dedup.line_report(docs(*rows)), "n_deleted") == {1: (0,), 2: (0,)}
+
+
+def test_a_text_of_very_many_lines_and_one_very_long_line(docs):
+    every = [f"line {k}" for k in range(60_000)]
+    rows = [(1, "\n".join(every)), (2, "\n".join(["new", *every[20_000:], "end"])), (3, "w" * 1_000_000), (4, "w" * 1_000_000 + "\nx")]
+    got = by_id(line_dedup.line_report(docs(*rows)), "n_lines", "n_deleted", "n_runs")
+    assert got == {1: (60_000, 0, 0), 2: (40_002, 40_000, 1), 3: (1, 0, 0), 4: (2, 0, 0)}
 
 
 def test_one_text_of_two_million_characters(docs):
