@@ -50,10 +50,9 @@ def ship(spark: SparkSession) -> None:
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept on shared storage, where it outlives lost executors.
 
-    For small tables that several later steps read, such as a sample or a dictionary.
+    Parquet, so that later steps read only the columns and rows they need.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = fresh_path(spark, "settled")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
