@@ -105,3 +105,14 @@ def test_windows_leave_the_state(spark):
     left = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
     assert left[-1] <= 2
     assert orders.latest_rows(spark.read.parquet(f"{path}/out/windows"), ["window_start"]).count() == 10
+
+
+def test_messages_are_parsed_and_typed_once(spark):
+    messages = spark.createDataFrame([('{"InvoiceNo": "1", "Quantity": "2", "UnitPrice": "0.5", "InvoiceDate": "1/2/2024 3:04"}',), ("x",), (None,)], "value string")
+    parsed = spark.createDataFrame(messages.collect(), "value string").rdd.toDF("value string")
+    for out in (orders.parse_orders(parsed), orders.stream_revenue(orders.stream_clean(orders.parse_orders(parsed)))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+        assert plan.count("M/d/yyyy H:mm:ss") == 1
+    assert [(r["InvoiceNo"], r["Quantity"], str(r["InvoiceDate"])) for r in orders.parse_orders(parsed).collect()] == [("1", 2, "2024-01-02 03:04:00")]
+    assert orders.dead_letters(parsed).count() == 2
