@@ -58,28 +58,40 @@ class Value:
     """A literal as it is put together: its first and last characters, length and how often it has each character.
 
     That is all a score takes, so what a document makes of its constants is never built beyond ``KEPT`` characters,
-    whatever their sum is.
+    whatever their sum is; it takes room for its distinct characters. Counts are of units of 2 ** ``scale`` characters, so that
+    doubling a constant over and over doesn't lengthen them: the scale leaves 0 only where a unit is under the precision of a score.
     """
 
     def __init__(self, *parts: "str | Value"):
-        self.length, self.counts, self.head, self.tail, self.text = 0, Counter(), "", "", ""
+        self.length, self.counts, self.scale, self.head, self.tail, self.text = 0, Counter(), 0, "", "", ""
         for part in parts:
             self.add(part)
 
     def add(self, part: "str | Value") -> None:
         if isinstance(part, str):
-            length, counts, head, tail = len(part), part, part[:16], part[-1:]
+            length, counts, scale, head, tail, text = len(part), Counter(part), 0, part[:16], part[-1:], part
         else:
-            length, counts, head, tail = part.length, part.counts, part.head, part.tail
-        self.text = self.text + (part if isinstance(part, str) else part.text) if self.length + length <= KEPT else ""
+            length, counts, scale, head, tail, text = part.length, part.counts, part.scale, part.head, part.tail, part.text
+        if not length:
+            return
+        self._coarser(max(0, scale - self.scale))
+        if scale < self.scale:
+            length, counts = _in_units(length, counts, self.scale - scale)
         self.length += length
         self.counts.update(counts)
+        self.text = self.text + text if self.scale == 0 and self.length <= KEPT else ""
+        self._coarser(PRECISION if self.length >> (2 * PRECISION) else 0)
         self.head = (self.head + head)[:16]
-        self.tail = tail or self.tail
+        self.tail = tail
+
+    def _coarser(self, bits: int) -> None:
+        if bits:
+            self.length, self.counts = _in_units(self.length, self.counts, bits)
+            self.scale += bits
 
     def stands_in(self) -> bool:
         """Whether it only holds the place of a secret (longer ones: by their characters, beginning and end)."""
-        if self.length <= KEPT:
+        if self.scale == 0 and self.length <= KEPT:
             return bool(STAND_IN.match(self.text))
         wrapped = (self.head.startswith("<") and self.tail == ">") or (self.head.startswith("${") and self.tail == "}")
         return wrapped or set(self.counts) <= set("xX") or set(self.counts) == {"*"} or self.head.lower().startswith(("your_", "your-"))
@@ -87,12 +99,19 @@ class Value:
 
 #: Characters of a value that are remembered as they are.
 KEPT = 4096
+#: Bits of the counts of a value of any length: twice what a double holds.
+PRECISION = 128
+
+
+def _in_units(length: int, counts: Counter, bits: int) -> tuple[int, Counter]:
+    """Counts in units of 2 ** ``bits``, at least one where there was any."""
+    return length >> bits, Counter({c: max(1, n >> bits) for c, n in counts.items()})
 
 
 def literal_score(value: "str | Value") -> float:
     """How far a literal looks made by chance: bits per character and kinds of characters, 0 to 0.5."""
     value = Value(value) if isinstance(value, str) else value
-    if value.length < 8 or " " in value.counts or value.stands_in():
+    if (value.scale == 0 and value.length < 8) or " " in value.counts or value.stands_in():
         return -1.0
     bits = -sum(n / value.length * math.log2(n / value.length) for n in value.counts.values())
     used = "".join(value.counts)
@@ -103,16 +122,20 @@ def literal_score(value: "str | Value") -> float:
 def pairs(text: str) -> Iterator[tuple[int, int, str, Value]]:
     """Assignments: start and end in the text, target name, and the value with names replaced by what they hold.
 
-    Names hold values of up to ``KEPT`` characters; a name that was given a longer one is not replaced.
+    Names hold values of any length, as ``Value`` keeps them; a name that stands for another one shares its value.
     """
     known: dict[str, Value] = {}
     for m in PAIR.finditer(text):
-        name, at, value, resolved = m[1] or m[2] or m[3], m.end(), None, False
+        name, at, value, shared, resolved = m[1] or m[2] or m[3], m.end(), None, False, False
         while piece := PIECE.match(text, at):
-            value = value or Value()
             quoted = piece[1] if piece[1] is not None else piece[2]
             held = known.get(piece[3]) if quoted is None else None
-            value.add(quoted if quoted is not None else piece[3] if held is None else held)
+            part = quoted if quoted is not None else piece[3] if held is None else held
+            if value is None and held is not None:
+                value, shared = held, True
+            else:
+                value, shared = Value() if value is None else Value(value) if shared else value, False
+                value.add(part)
             resolved = resolved or quoted is not None or held is not None
             at = piece.end()
             plus = PLUS.match(text, at)
@@ -120,7 +143,7 @@ def pairs(text: str) -> Iterator[tuple[int, int, str, Value]]:
                 break
             at = plus.end()
         if value is not None:
-            if resolved and value.length <= KEPT:
+            if resolved:
                 known[name] = value
             yield m.start(), at, name, value
 

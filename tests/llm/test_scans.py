@@ -286,3 +286,18 @@ def test_without_toxic_keeps_columns_and_odd_rows(spark, docs):
     left = toxicity.without_toxic(table, model)
     assert left.columns == table.columns and sorted(repr(r["doc_id"]) for r in left.collect()) == ["1", "2", "4", "None"]
     assert toxicity.without_toxic(table.where("false"), model).count() == 0
+
+
+def test_constants_of_any_length_stand_for_their_literals():
+    long = 'a = "' + "Zq9" * 1500 + '"\nsecret_token = a\n'
+    for text in (long, 'a = "Zq9kW3xT"\n' + "a = a + a\n" * 400 + "secret_token = a\n"):
+        found = secret_scan.find_secrets(text)[1]
+        assert "secret_token = a" in [text[a:b] for a, b, _ in found]
+    many = 'a = "Zq9kW3xT"\n' + "a = a + a\n" * 20_000 + 'b = a + "é"\nsecret_token = b + a\n'
+    tracemalloc.start()
+    value = [v for _, _, name, v in secret_scan.pairs(many) if name == "secret_token"][0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    assert secret_scan.literal_score(value) == pytest.approx(secret_scan.literal_score("Zq9kW3xT" * 100 + "é"), abs=0.06)
+    assert set(value.counts) == set("Zq9kW3xTé")
