@@ -244,3 +244,23 @@ def test_one_text_of_two_million_characters(docs):
     assert got == {1: (len(text), 0), 2: (1_000_000, 1_000_000), 3: (4, 0)}
     assert by_id(minhash.near_duplicates(docs(*rows)), "component_id") == {1: (1,), 2: (2,), 3: (3,)}
     assert tx.PIECE < len(text)
+
+
+def test_files_of_blocks_have_short_row_groups(spark, docs):
+    """A reader decodes a few blocks at once, however many a file has."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    corpus = blocks.Corpus(docs(*[(i, random.Random(i).randbytes(2000).hex()) for i in range(200)]).coalesce(1), block_bytes=4000)
+    try:
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{corpus.path.removeprefix('file:')}/*.parquet")]
+        groups = [m.row_group(k) for m in files for k in range(m.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == 200
+        corpus.close()
+        corpus = blocks.Corpus(docs(*[(i, random.Random(i).randbytes(1 << 19).hex()) for i in range(24)]).coalesce(1), block_bytes=1 << 20)
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{corpus.path.removeprefix('file:')}/*.parquet")]
+        groups = [m.row_group(k) for m in files for k in range(m.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == 24 and max(g.total_byte_size for g in groups) < 6 * blocks.BLOCK
+    finally:
+        corpus.close()
