@@ -111,18 +111,24 @@ def train_features(raw: DataFrame, sample_size: int | None = 50000) -> tuple[Dat
 
 
 def prepare_ml_dataset(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scaled train and test rows of the coarser feature set, and its label dictionary."""
-    lines = raw.transform(C.drop_critical_nulls).transform(C.positive_lines).transform(C.trim_p99)
+    """Scaled train and test rows of the coarser feature set, and its label dictionary.
+
+    ``raw`` is read once, into a slim table of what the later steps need.
+    """
+    kept = raw.transform(C.drop_critical_nulls).transform(C.positive_lines)
+    lines = settled(kept.select("Quantity", "UnitPrice", "InvoiceDate", "Country", E.row_key().alias("row_key")))
     lines = (
-        lines.transform(C.with_revenue)
+        lines.transform(C.trim_p99)
+        .transform(C.with_revenue)
         .transform(C.with_time_parts)
         .transform(C.with_calendar_flags)
         .transform(C.with_ranges)
     )
+    lines = settled(lines.select(*S.NUMERIC_FEATURES, *S.RANGE_FEATURES, "Revenue", "row_key"))
     dictionary = label_dictionary(lines, S.RANGE_FEATURES)
     encoded = label_encode(lines, dictionary, S.RANGE_FEATURES)
     columns = S.NUMERIC_FEATURES + RANGE_ENCODED
-    rows = settled(encoded.select(*columns, "Revenue", E.row_key().alias("row_key")))
+    rows = settled(encoded.select(*columns, "Revenue", "row_key"))
     train, test = train_test_split(rows, key=F.col("row_key"))
     stats = settled(scaling(train, columns))
     return standard_scale(train, stats, columns), standard_scale(test, stats, columns), dictionary
