@@ -1,20 +1,21 @@
 """Removal of repeated runs of lines, by a suffix array over sequences of line ids.
 
 Every line that isn't blank has an id, the first half of the SHA-256 of its bytes; a document is the sequence of its
-ids. The suffixes of all sequences are ordered by distributed prefix doubling. Ranks at depth one are the places of the
-repeated ids in a sort by ranges. At depth 2h a suffix is the pair of its rank at depth h and that of the suffix h lines
-on; the distinct pairs are sorted by ranges again, and their places are the next ranks. Suffixes of one rank at depth h
-are an interval of the suffix array whose neighbours have a common prefix of h lines or more. A suffix that no other is
-tied with is in no such interval and leaves, and so does one that reaches a line that stands nowhere else, so that each
-round moves only what is still tied. Rounds end at ``MIN_LINES``, the least length of a run: the order beyond it changes
-no deletion. (For a depth between two powers the last pair overlaps.)
-
-In each interval all members but the first, by document id and line, begin a later copy; copies that follow each other
-line by line make up a maximal repeated run, and its lines are deleted. A single line is a run of its own if it has
-``MIN_WORDS`` words: the intervals of depth one.
+ids. The suffixes of all sequences are ordered by distributed prefix doubling: they are sorted by ranges of their first
+id, then those still tied at depth h by their rank and that of the suffix h lines on, until no two are tied. A rank is the
+place at which a suffix's group of ties begins, so it stays when the group is split, and a suffix that is alone has its
+place in the suffix array. (A sequence that ends comes before all that go on; ends are told apart by their sequence.)
+
+Where a round splits a group, the two suffixes beside the cut are neighbours in the suffix array whose common prefix has
+h lines or more, and less than 2h. Its length is found by going down the depths: at h/2, h/4, ... it grows by the depth
+if what follows in both has the same rank there. Places in a row whose common prefixes have ``MIN_LINES`` lines or more
+make up an interval. All members of an interval but the first, by document id and line, begin a later copy; copies that
+follow each other line by line make up a maximal repeated run, and its lines are deleted. A single line is a run of its
+own if it has ``MIN_WORDS`` words: the intervals of common prefixes of one line or more.
 
 Documents of the same sequence are sorted once: those with larger ids than the first lose every line that is in a run.
-Ids and pairs are counted before they move, and Spark splits the ones that many suffixes share when ranks come back.
+A suffix that is alone isn't sorted again, and sequences without ties leave, so each round moves only what is still tied
+and what stands beside it. No task holds all members of a group: ranges cut through them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.ordering import numbered
-from ordermill.llm.store import scratch, written
+from ordermill.llm.ordering import in_ranges
+from ordermill.llm.store import dropped, scratch, written
 
 #: Lines that a repeated run has at least, and words that a run of one line has at least.
 MIN_LINES = 2
@@ -38,39 +39,112 @@ def _words_at_least(line: Column, n: int) -> Column:
     return line.rlike(rf"^[{BLANK}]*+(?:[^{BLANK}]++[{BLANK}]++){{{n - 1}}}[^{BLANK}]" if n > 1 else rf"[^{BLANK}]")
 
 
-def _sequences(docs: DataFrame, min_words: int) -> DataFrame:
-    """``docs`` (ord, text, ...) with ``entries``, its numbered lines, ``ids`` of those that aren't blank, and ``digest`` of all ids."""
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """``docs`` (text, ...) with ``entries``, the numbered lines of the text, and ``longs``, for each that isn't blank whether it has ``min_words``."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     entries = docs.withColumn("entries", F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"), _words_at_least(x, 1).alias("solid"))))
-    ids = F.transform(
-        F.filter("entries", lambda e: e["solid"]),
-        lambda e: F.struct(F.unhex(F.substring(F.sha2(e["x"], 256), 1, 32)).alias("id"), _words_at_least(e["x"], min_words).alias("long")),
-    )
-    return entries.withColumn("ids", ids).withColumn("digest", F.unhex(F.sha2(F.array_join(F.transform("ids", lambda x: F.hex(x["id"])), ""), 256)))
-
+    return entries.withColumn("longs", F.transform(F.filter("entries", lambda e: e["solid"]), lambda e: _words_at_least(e["x"], min_words)))
 
-def _tied(suffixes: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The suffixes (d, ord, k, long, keys) that share ``keys`` with another, with their ``rank`` by these keys.
-
-    ``least`` is the smallest document id of the interval.
-    """
-    names = suffixes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("least")).where("n > 1")
-    ranks = numbered(written(names, f"{name}-names"), [F.col(c).asc() for c in keys], f"{name}-ranks")
-    back = suffixes.join(ranks.withColumnRenamed("row_number", "place"), keys)
-    return written(back.select("d", "ord", "k", "long", "least", F.col("place").alias("rank")), name)
 
+def _sequences(docs: DataFrame, min_words: int) -> DataFrame:
+    """``docs`` (text, ...) with ``ids`` of the lines that aren't blank, and ``digest`` of all ids."""
+    solid = F.filter("entries", lambda e: e["solid"])
+    ids = F.zip_with(solid, "longs", lambda e, long: F.struct(F.unhex(F.substring(F.sha2(e["x"], 256), 1, 32)).alias("id"), long.alias("long")))
+    found = _lines(docs, min_words).withColumn("ids", ids).drop("entries", "longs")
+    return found.withColumn("digest", F.unhex(F.sha2(F.array_join(F.transform("ids", lambda x: F.hex(x["id"])), ""), 256)))
 
-def _doubled(tied: DataFrame, step: int, name: str) -> DataFrame:
-    """The suffixes still tied when those of ``tied`` are told apart through the rank ``step`` lines on, too."""
-    ahead = Window.partitionBy("d").orderBy("k").rangeBetween(step, step)
-    pairs = tied.drop("least").withColumn("second", F.first("rank").over(ahead)).where("second is not null")
-    return _tied(pairs, ["rank", "second"], name)
 
+def _ranked(suffixes: DataFrame, key: str, name: str) -> DataFrame:
+    """Suffixes (d, ord, k, long, rank, key), tied by ``rank``, with the rank that ``key`` gives them within their ties.
 
-def _later(tied: DataFrame) -> DataFrame:
+    ``alone``: no other has that rank; ``cut``: the first of its new rank, but not of its old one; then ``e, m`` are
+    sequence and line of the suffix before it. A null key is like no other.
+    """
+    dealt = in_ranges(suffixes, [F.col(c).asc() for c in ("rank", key, "d", "k")], f"{name}-sorted")
+    cell = F.struct("rank", key, "d", "k")
+    own, parts = Window.partitionBy("part").orderBy("at"), Window.orderBy("part")
+    # one row for each range, of which there are at most as many as shuffle partitions
+    ends = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min_by(cell, "at").alias("first"), F.max_by(cell, "at").alias("last"))
+    before = F.coalesce(F.sum("rows").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = ends.select("part", before.alias("before"), F.lag("last").over(parts).alias("earlier"), F.lead("first").over(parts).alias("later"))
+    beside = {"prior": F.coalesce(F.lag(cell).over(own), F.col("earlier")), "next": F.coalesce(F.lead(cell).over(own), F.col("later"))}
+    met = dealt.join(F.broadcast(ends), "part").withColumns(beside).withColumn("place", F.col("before") + F.col("at"))
+    tied = F.coalesce(F.col("prior.rank") == F.col("rank"), F.lit(False))
+    same = {c: F.coalesce((F.col(f"{c}.rank") == F.col("rank")) & (F.col(f"{c}.{key}") == F.col(key)), F.lit(False)) for c in beside}
+    flagged = met.select(
+        "part", "place", "d", "ord", "k", "long", "rank", (~same["prior"] & ~same["next"]).alias("alone"), (tied & ~same["prior"]).alias("cut"),
+        F.col("prior.d").alias("e"), F.col("prior.k").alias("m"), (~tied).alias("opens"), (~same["prior"]).alias("begins"),
+    )
+    started = _started(flagged, ["opens", "begins"], name)
+    out = written(started.withColumn("rank", F.col("rank") + F.col("begins") - F.col("opens")).drop("part", "place", "opens", "begins"), name)
+    dropped(dealt)
+    return out
+
+
+def _started(placed: DataFrame, marks: list[str], name: str) -> DataFrame:
+    """``placed`` (part, place, ...) with each of ``marks`` replaced by the last place up to a row's own at which it holds."""
+    flagged = written(placed.withColumns({c: F.when(F.col(c), F.col("place")) for c in marks}), f"{name}-marks")
+    upto = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = flagged.groupBy("part").agg(*[F.max(c).alias(c) for c in marks]).select("part", *[F.max(c).over(parts).alias(f"{c}_before") for c in marks])
+    started = {c: F.coalesce(F.max(c).over(upto), F.col(f"{c}_before")) for c in marks}
+    return flagged.join(F.broadcast(ends), "part").withColumns(started).drop(*[f"{c}_before" for c in marks])
+
+
+def _doubled(ranked: DataFrame, others: DataFrame | None, depth: int) -> DataFrame:
+    """All suffixes of sequences that still have ties, with ``second``, the rank of the suffix ``depth`` lines on."""
+    every = ranked.select("d", "ord", "k", "long", "rank", "alone")
+    if others is not None:
+        every = every.unionByName(others.where("alone").drop("second"))
+    own = Window.partitionBy("d").orderBy("k")
+    ahead = {"second": F.first("rank").over(own.rangeBetween(depth, depth)), "open": F.max(~F.col("alone")).over(Window.partitionBy("d"))}
+    return written(every.withColumns(ahead).where("open").drop("open"), f"lines-{depth}-pairs")
+
+
+def _common_prefixes(rounds: list[DataFrame]) -> DataFrame:
+    """``place`` and ``lcp``, the lines that the suffix at a place has in common with the one before, where there are any.
+
+    ``rounds`` are the ranks at depth 1, 2, 4, ...
+    """
+    cuts = [r.where("cut").select(F.col("rank").alias("place"), "d", "k", "e", "m", F.lit(1 << t).cast("bigint").alias("lcp")) for t, r in enumerate(rounds[1:])]
+    if not cuts:
+        return rounds[0].select(F.col("rank").alias("place"), F.lit(0).cast("bigint").alias("lcp")).limit(0)
+    # those that a round has split wait until the depths below that of their round
+    pairs = cuts[-1]
+    for t in range(len(cuts) - 2, -1, -1):
+        names = rounds[t].where("not alone")
+        here = names.select("d", F.col("k").alias("k_on"), F.col("rank").alias("rank_d"))
+        there = names.select(F.col("d").alias("e"), F.col("k").alias("m_on"), F.col("rank").alias("rank_e"))
+        ahead = pairs.withColumns({"k_on": F.col("k") + F.col("lcp"), "m_on": F.col("m") + F.col("lcp")})
+        met = ahead.join(here, ["d", "k_on"], "left").join(there, ["e", "m_on"], "left")
+        longer = F.when(F.col("rank_d") == F.col("rank_e"), F.lit(1 << t)).otherwise(F.lit(0))
+        pairs = written(met.select("place", "d", "k", "e", "m", (F.col("lcp") + longer).alias("lcp")), f"lines-{1 << t}-common").unionByName(cuts[t])
+    return pairs.select("place", "lcp")
+
+
+def suffix_array(sequences: DataFrame) -> DataFrame:
+    """From sequences (d, ord, ids): ``place, d, ord, k, long`` of every suffix, and its ``lcp`` with that of the place before.
+
+    Suffixes whose first line stands nowhere else, and have nothing in common with any, are left out; their places stay free.
+    """
+    lines = sequences.select("d", "ord", F.posexplode("ids").alias("at", "line")).select("d", "ord", F.col("at").cast("bigint").alias("k"), "line.id", "line.long")
+    rounds, state = [_ranked(lines.withColumn("rank", F.lit(0).cast("bigint")), "id", "lines-1")], None
+    while not rounds[-1].where("not alone").isEmpty():
+        depth = 1 << (len(rounds) - 1)
+        state = _doubled(rounds[-1], state, depth)
+        rounds.append(_ranked(state.where("not alone").drop("alone"), "second", f"lines-{2 * depth}"))
+    done = [r.where("alone").select(F.col("rank").alias("place"), "d", "ord", "k", "long") for r in (rounds[1:] or rounds)]
+    every = done[0]
+    for own in done[1:]:
+        every = every.unionByName(own)
+    return every.join(_common_prefixes(rounds), "place", "left").withColumn("lcp", F.coalesce("lcp", F.lit(0)))
+
+
+def _later(members: DataFrame, interval: str) -> DataFrame:
     """The suffixes that aren't the first of their interval, by document id and line."""
-    own = Window.partitionBy("d", "rank").orderBy("k")
-    return tied.withColumn("nth", F.row_number().over(own)).where("ord > least or nth > 1")
+    least = members.groupBy(interval).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("least")).where("n > 1").drop("n")
+    own = Window.partitionBy("d", interval).orderBy("k")
+    return members.join(least, interval).withColumn("nth", F.row_number().over(own)).where("ord > least or nth > 1")
 
 
 def repeated_lines(sequences: DataFrame, min_lines: int) -> DataFrame:
@@ -78,17 +152,13 @@ def repeated_lines(sequences: DataFrame, min_lines: int) -> DataFrame:
 
     Sequences that lose nothing have no row.
     """
-    lines = sequences.select("d", "ord", F.posexplode("ids").alias("at", "line")).select("d", "ord", F.col("at").cast("bigint").alias("k"), "line.id", "line.long")
-    tied = _tied(lines, ["id"], "lines-1")
-    hits = [_later(tied.where("long") if min_lines > 1 else tied).select("d", "k")]
-    depth = 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
-        tied, depth = _doubled(tied, step, f"lines-{depth + step}"), depth + step
-    if depth > 1:
-        hits.append(_later(tied).select("d", F.explode(F.sequence("k", F.col("k") + F.lit(depth - 1))).alias("k")))
-    every = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
-    return every.groupBy("d").agg(F.array_sort(F.collect_set("k")).alias("gone"))
+    placed = in_ranges(written(suffix_array(sequences), "line-suffixes"), [F.col("place").asc()], "line-array").drop("at")
+    marked = placed.withColumns({"one": F.col("lcp") < 1, "run": F.col("lcp") < min_lines}).drop("lcp")
+    members = written(_started(marked, ["one", "run"], "line-array"), "line-intervals")
+    hits = _later(members, "run").select("d", F.explode(F.sequence("k", F.col("k") + F.lit(min_lines - 1))).alias("k"))
+    if min_lines > 1:
+        hits = hits.unionByName(_later(members.where("long"), "one").select("d", "k"))
+    return hits.groupBy("d").agg(F.array_sort(F.collect_set("k")).alias("gone"))
 
 
 def line_runs(docs: DataFrame, kept: list[str], min_lines: int, min_words: int) -> DataFrame:
@@ -103,13 +173,14 @@ def line_runs(docs: DataFrame, kept: list[str], min_lines: int, min_words: int)
         found = stored.select("d", "digest", F.col("ord").alias("first"), "copies").join(own, "d", "left").where("copies > 1 or gone is not null")
         # only a copy of a sequence with a larger id than the first loses lines that the first keeps
         in_runs = F.filter(
-            F.transform("ids", lambda x, k: F.when((F.size("ids") >= min_lines) | x["long"], k.cast("bigint"))), lambda k: k.isNotNull()
+            F.transform("longs", lambda long, k: F.when((F.size("longs") >= min_lines) | long, k.cast("bigint"))), lambda k: k.isNotNull()
         )
         gone = F.when(F.col("ord") > F.col("first"), in_runs).otherwise(F.coalesce("gone", F.array().cast("array<bigint>")))
-        met = rows.join(found.drop("d", "copies").hint("shuffle_hash"), "digest", "left").withColumn("gone", gone)
+        # texts are cut into lines again, so that these don't move beside them
+        met = rows.drop("ids").join(found.drop("d", "copies").hint("shuffle_hash"), "digest", "left").transform(_lines, min_words).withColumn("gone", gone)
         flags = F.concat(
             F.flatten(F.transform("gone", lambda g, i: F.concat(F.array_repeat(F.lit(False), (g - F.when(i > 0, F.get("gone", i - 1)).otherwise(-1) - 1).cast("int")), F.array(F.lit(True))))),
-            F.array_repeat(F.lit(False), (F.size("ids") - 1 - F.when(F.size("gone") > 0, F.element_at("gone", -1)).otherwise(-1)).cast("int")),
+            F.array_repeat(F.lit(False), (F.size("longs") - 1 - F.when(F.size("gone") > 0, F.element_at("gone", -1)).otherwise(-1)).cast("int")),
         )
         flagged = met.withColumn("flags", F.when(F.size("gone") > 0, flags))
         # zipped, as an expression looked up within a lambda may be worked out for each element
@@ -117,7 +188,7 @@ def line_runs(docs: DataFrame, kept: list[str], min_lines: int, min_words: int)
         rest = F.array_sort(F.concat(F.filter("entries", lambda e: ~e["solid"]), solid))
         out = flagged.select(
             "row",
-            F.size("ids").cast("bigint").alias("n_lines"),
+            F.size("longs").cast("bigint").alias("n_lines"),
             F.size("gone").cast("bigint").alias("n_deleted"),
             F.size(F.filter("gone", lambda g, i: (i == 0) | (F.get("gone", i - 1) != g - 1))).cast("bigint").alias("n_runs"),
             F.when(F.size("gone") > 0, F.array_join(F.transform(rest, lambda e: e["x"]), "\n")).otherwise(F.col("text")).alias("text"),

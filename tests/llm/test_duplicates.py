@@ -1,12 +1,13 @@
 """MinHash near-deduplication, suffix deduplication and line deduplication against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from ordermill.llm import blocks, line_dedup, minhash, suffix_dedup
+from ordermill.llm import blocks, line_dedup, minhash, store, suffix_dedup
 from ordermill.llm import text as tx
 from tests.llm import brute
 from tests.llm.brute import by_id
@@ -214,6 +215,32 @@ def test_longer_runs_by_doubling(docs, least):
     assert got == {i: (*r[:3], brute.sha(r[3])) for i, r in brute.lines(rows, least, 5 if least > 1 else 1).items()}
 
 
+def test_suffix_array_of_lines(spark):
+    """Every suffix that begins with a repeated line has its place, and the exact prefix it shares with its neighbour."""
+    rng = random.Random(4)
+    seqs = {d: [rng.choice("abc") if d < 9 else f"{rng.choice('ab')}{rng.randrange(30)}" for _ in range(rng.randrange(0, 12))] for d in range(14)}
+    seqs |= {20: ["a"] * 9, 21: list("abcabcabcabc") + ["own"], 22: list("bcabcabcabc"), 23: ["alone"], 24: seqs[3] + ["x"]}
+    rows = [(d, 100 - d, [(line.encode(), False) for line in own]) for d, own in seqs.items()]
+    lines = spark.createDataFrame(rows, "d bigint, ord bigint, ids array<struct<id:binary,long:boolean>>").repartition(5)
+    with store.scratch(spark):
+        got = [tuple(r) for r in line_dedup.suffix_array(lines).select("place", "d", "k", "lcp", "ord").orderBy("place").collect()]
+    every = sorted(([*own[k:], ""], d, k) for d, own in seqs.items() for k in range(len(own)))
+    counts = Counter(line for own in seqs.values() for line in own)
+
+    def common(a, b):
+        return next((n for n, (x, y) in enumerate(zip(a, b)) if x != y or x == ""), min(len(a), len(b)))
+
+    expected = [(p, d, k, common(s, every[p - 1][0]) if p else 0, 100 - d) for p, (s, d, k) in enumerate(every) if counts[s[0]] > 1]
+    assert got == expected
+    assert max(r[3] for r in got) > 8
+
+
+def test_suffix_array_without_lines(spark):
+    lines = spark.createDataFrame([(1, 1, [])], "d bigint, ord bigint, ids array<struct<id:binary,long:boolean>>")
+    with store.scratch(spark):
+        assert line_dedup.suffix_array(lines).collect() == []
+
+
 def test_lines_of_one_id_and_of_no_id(docs):
     long, pair = "one two three four five six", "x\ny"
     rows = [(3, long), (3, long), (3, pair), (3, pair + "\nz"), (None, long + "\nown"), (None, pair), (4, "")]
