@@ -4,6 +4,7 @@ import tracemalloc
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ordermill.operators import features
@@ -85,6 +86,58 @@ def test_an_open_order_leaves_the_state_when_it_completes():
     assert tracker.open.value is None
 
 
+class Map:
+    """Keyed values, and the round trips to them: each call is one, and every hundred entries of an iterator."""
+
+    def __init__(self, held=()):
+        self.held, self.trips = dict(held), 0
+
+    def exists(self):
+        self.trips += 1
+        return bool(self.held)
+
+    def iterator(self):
+        for k, entry in enumerate(list(self.held.items())):
+            self.trips += k % 100 == 0
+            yield entry
+
+    def getValue(self, key):
+        self.trips += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.trips += 1
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.trips += 1
+        del self.held[key]
+
+
+def followed(state, events):
+    tracker = flow.BucketTracker()
+    tracker.open = state
+    frames = [pd.DataFrame(events[k : k + 700], columns=["order_id", "arrives", "micros", "seq"]) for k in range(0, len(events), 700)]
+    return sorted(tuple(None if pd.isna(v) else v for v in r) for out in tracker.handleInputRows((1,), iter(frames), None) for r in out.itertuples(index=False))
+
+
+def test_orders_that_a_batch_settles_cost_no_look_each():
+    events = [(f"o{k}", a, 10 * k + 3 * (not a), 2 * k + (not a)) for a in (False, True) for k in range(1000)]
+    state = Map()
+    assert followed(state, events) == sorted((f"o{k}", 10 * k, 10 * k + 3) for k in range(1000))
+    assert state.trips == 1
+    state = Map({(f"o{k}",): (-5, 0) for k in range(300)})
+    completions = [("o7", False, 1, 1), *[(f"o{k}", True, 2, 2) for k in range(400, 900)], ("x", False, 1, 1)]
+    assert followed(state, completions) == [("o7", -5, 1)]
+    assert len(state.held) == 799 and state.trips == 1 + 3 + 500 + 1
+
+
+def test_few_orders_are_looked_up_among_many_open_ones():
+    state = Map({(f"o{k}",): (k, 0) for k in range(5000)})
+    assert followed(state, [("o4999", False, 9000, 1), ("new", True, 1, 2)]) == [("o4999", 4999, 9000)]
+    assert state.trips < 20 and len(state.held) == 5000 and state.held["new",] == (1, 2)
+
+
 def test_orders_are_judged_without_lambdas(spark):
     messages = spark.createDataFrame([("{}",)], "value string")
     assert "lambda" not in stream.parse_orders(messages)._jdf.queryExecution().optimizedPlan().toString()

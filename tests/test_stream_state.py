@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 from datetime import timedelta
 
 import pytest
@@ -130,3 +131,27 @@ def test_a_stop_between_the_two_outputs_loses_and_doubles_nothing(spark, monkeyp
     letters = spark.read.parquet(f"{path}/dead_letters")
     assert sorted(r["value"] for r in letters.collect()) == sorted(p for p in payloads if "broken" in p or "InvoiceNo" not in p)
     assert {(r["reason"], tuple(r["rejected_fields"] or ())) for r in letters.collect()} == {("not JSON", ()), ("missing", ("InvoiceNo", "UnitPrice"))}
+
+
+@pytest.mark.parametrize("ahead", [flow.READ_AHEAD, 0])
+def test_buckets_of_orders_follow_each_order_by_itself(spark, monkeypatch, ahead):
+    """Arrivals that replace each other, completions of nothing, and missing ids, times and numbers, over three batches."""
+    monkeypatch.setattr(flow, "READ_AHEAD", ahead)
+    pick, held, want, frames = random.Random(4), {}, [], []
+    ids = [None, "", *[f"o{k}" for k in range(40)]]
+    for batch in range(3):
+        events = [(pick.choice(ids), pick.choice(["arrive", "complete", None]), at(1000 * batch + pick.randrange(900)), pick.randrange(50)) for _ in range(150)]
+        events += [("late", k, t, n) for k, t, n in (("arrive", None, None), ("complete", None, 3)) if batch == 1]
+        events = list({(e[0], e[2], e[3]): e for e in events}.values())
+        frames.append(events)
+        for order, kind, ts, _ in sorted(events, key=lambda e: (e[2] is not None, e[2] or DAY, e[3] is not None, e[3] or 0)):
+            if kind == "arrive":
+                held[order] = ts
+            elif order in held:
+                want.append((order, held.pop(order), ts))
+    path = fresh_path(spark, "buckets")
+    flow.order_flow(files(spark, frames, EVENTS), path).awaitTermination()
+    completed = spark.read.parquet(f"{path}/completed")
+    assert rows(completed, "order_id", "arrival_time", "completion_time") == sorted(want, key=repr)
+    assert completed.select("batch_id").distinct().count() == 3 and ("late", None, None) in want
+    assert rows(flow.last_open(spark, path), "order_id", "arrival_time") == sorted(held.items(), key=repr)
