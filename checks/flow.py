@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from checks.base import RAW, half_up, query, raw, text, with_lines
 from checks.model import PRICED, fitted
 from checks.quality import DATE, PRICE
-from checks.sources import foreign_messages
+from checks.sources import foreign_message_files
 from ordermill.operators import flow, metrics
 from ordermill.session import fresh_path
-from checks.warehouse import TABLES, metric_readings, order_lifecycle, order_messages, table
+from checks.warehouse import FILES_A_BATCH, TABLES, metric_readings, order_lifecycle, order_messages, table, write_messages
 from ordermill.streaming import alerts
 from ordermill.streaming import flow as stream_flow
 from ordermill.streaming import orders as stream
@@ -458,7 +458,7 @@ from fields where i % 23 = 0 or i % 19 = 0 or untyped <> '' group by 1, 2"""
 def stream_dead_letter_reasons(spark, folder):
     """ST1: the dead letters of the stream, a sink of their own, by reason and fields."""
     path = fresh_path(spark, "sinks")
-    foreign_messages(spark, folder).write.text(f"{path}/in")
-    stream.order_sinks(stream.read_order_stream(spark, f"{path}/in"), path).awaitTermination()
+    payloads = stream.read_order_stream(spark, foreign_message_files(spark, folder), files_per_batch=FILES_A_BATCH)
+    stream.order_sinks(payloads, path).awaitTermination()
     letters = spark.read.parquet(f"{path}/dead_letters")
     return letters.groupBy("reason", F.array_join("rejected_fields", ",").alias("fields")).agg(F.count(F.lit(1)).alias("n"))

@@ -176,13 +176,17 @@ def broken_json_rejects(spark, folder):
     return O.rejected_orders(broken_json(spark, folder)).groupBy("reason", "record").agg(F.count(F.lit(1)).alias("n"))
 
 
-def foreign_messages(spark, folder):
-    """Messages of a producer that writes microseconds, and for some invoices leaves fields out."""
+def foreign_message_files(spark, folder):
+    """Messages of a producer that writes microseconds, and for some invoices leaves fields out, as text files."""
     path = fresh_path(spark, "foreign-messages")
     whole, empty, part = json_of(RAW_COLUMNS), "'{}'", json_of(["InvoiceNo", "Quantity"])
     kind = f"case when InvoiceNo % 23 = 0 then {empty} when InvoiceNo % 19 = 0 then {part} else {whole} end"
-    foreign(spark, folder).selectExpr(f"{kind} as value").write.text(path)
-    return spark.read.text(path)
+    warehouse.write_messages(foreign(spark, folder).selectExpr(f"{kind} as value"), path)
+    return path
+
+
+def foreign_messages(spark, folder):
+    return spark.read.text(foreign_message_files(spark, folder))
 
 
 WHOLE = f"not ({BAD}) and cast(InvoiceNo as bigint) % 23 <> 0 and cast(InvoiceNo as bigint) % 19 <> 0"

@@ -88,6 +88,15 @@ def order_messages(raw: DataFrame, *more: str) -> DataFrame:
     return raw.select(F.when(corrupt, F.substring(payload, 1, 10)).otherwise(payload).alias("value"), *more)
 
 
+#: Messages a file, and files a micro-batch where a batch is kept while its sinks are written, so that what is kept is bounded.
+MESSAGES_A_FILE, FILES_A_BATCH = 500_000, 16
+
+
+def write_messages(messages: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Text files of a bounded number of messages, compressed, as they are several times the tables they are made of."""
+    messages.write.mode(mode).option("compression", "lz4").option("maxRecordsPerFile", MESSAGES_A_FILE).text(path)
+
+
 def order_lifecycle(events: DataFrame, order_id: str = "event_id") -> DataFrame:
     """Arrivals and completions ``order_id, kind, ts, seq`` from the events table.
 
