@@ -54,3 +54,16 @@ def test_dead_letters_keep_their_messages_once_and_in_batches(spark, small, monk
     assert rows(flow.stream_dead_letter_reasons(spark, small)) == whole
     [sinks] = [p for p in kept(spark) - before if "/sinks-" in p]
     assert len(batches(f"{sinks}/orders")) > 1
+
+
+def test_a_scored_stream_keeps_a_bounded_batch(spark, small, monkeypatch):
+    monkeypatch.setattr(warehouse, "MESSAGES_A_FILE", 500)
+    whole = rows(flow.stream_revenue_only(spark, small))
+    monkeypatch.setattr(flow, "FILES_A_BATCH", 2)
+    before = kept(spark)
+    assert rows(flow.stream_revenue_only(spark, small)) == whole
+    new = kept(spark) - before
+    [scores] = [p for p in new if "/scores-" in p]
+    assert len(batches(f"{scores}/scores")) > 1 and len(batches(f"{scores}/alerts")) > 1
+    [written] = [p for p in new if "/messages-" in p]
+    assert size(written) * 2 < sum(len(r["value"]) + 1 for r in spark.read.text(written).collect())
