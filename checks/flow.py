@@ -8,7 +8,7 @@ from checks.model import PRICED, fitted
 from checks.quality import DATE, PRICE
 from checks.sources import foreign_message_files
 from ordermill.operators import flow, metrics
-from ordermill.session import fresh_path
+from ordermill.session import fresh_path, shuffles_removed
 from checks.warehouse import FILES_A_BATCH, TABLES, metric_readings, order_lifecycle, order_messages, table, write_messages
 from ordermill.streaming import alerts
 from ordermill.streaming import flow as stream_flow
@@ -224,10 +224,12 @@ def yearly_messages(spark, folder):
     path = fresh_path(spark, "messages")
     dated = raw(spark, folder)
     years = dated.withColumn("year", F.coalesce(F.year("InvoiceDate"), F.lit(0)))
-    order_messages(years, "year").write.partitionBy("year").parquet(f"{path}-dated")
+    order_messages(years, "year").write.option("compression", "zstd").partitionBy("year").parquet(f"{path}-dated")
     stored = spark.read.schema("value string, year int").parquet(f"{path}-dated")
-    for year in [r["year"] for r in stored.select("year").distinct().orderBy("year").collect()]:
-        stored.where(F.col("year") == year).select("value").repartition(FILES_A_YEAR).write.mode("append").text(path)
+    with shuffles_removed(spark):
+        for year in [r["year"] for r in stored.select("year").distinct().orderBy("year").collect()]:
+            dealt = stored.where(F.col("year") == year).select("value").repartition(FILES_A_YEAR)
+            dealt.write.mode("append").option("compression", "lz4").text(path)
     return path
 
 

@@ -56,6 +56,18 @@ def test_dead_letters_keep_their_messages_once_and_in_batches(spark, small, monk
     assert len(batches(f"{sinks}/orders")) > 1
 
 
+def test_years_of_messages_come_in_compressed_files_in_their_order(spark, small):
+    before = kept(spark)
+    path = flow.yearly_messages(spark, small)
+    text = spark.read.text(path)
+    years = sorted({r["y"] for r in text.selectExpr("substr(get_json_object(value, '$.InvoiceDate'), 1, 4) as y").collect() if r["y"]})
+    assert len(files(path)) == flow.FILES_A_YEAR * len(years)
+    assert size(path) * 2 < sum(len(r["value"]) + 1 for r in text.collect())
+    assert rows(text) == rows(warehouse.order_messages(flow.raw(spark, small)))
+    assert kept(spark) - before == {path, f"{path}-dated"}
+    assert all(name.endswith("zstd.parquet") for _, _, names in os.walk(f"{path}-dated") for name in names if name.startswith("part-"))
+
+
 def test_a_scored_stream_keeps_a_bounded_batch(spark, small, monkeypatch):
     monkeypatch.setattr(warehouse, "MESSAGES_A_FILE", 500)
     whole = rows(flow.stream_revenue_only(spark, small))
